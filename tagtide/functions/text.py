@@ -104,11 +104,11 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(rf"[{WORD_CHARS}']+"), F.lit(0))
 
 
-def phrases(text: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
+def phrases(text: Column, stopwords: Sequence[str] = STOPWORDS, lo: int = MIN_ASPECT_LENGTH) -> Column:
     """Candidate phrases: longest runs of words without a stop word or punctuation.
 
     The stand-in for noun phrases (RAKE, Rose et al. 2010). In text order,
-    duplicates kept, 3 to 50 characters.
+    duplicates kept, at least ``lo`` characters.
     """
     marked = F.regexp_replace(F.lower(text), rf"[^{WORD_CHARS}'{SPACE_CHARS}-]+", " | ")
     stop = list(stopwords)
@@ -117,7 +117,33 @@ def phrases(text: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
         lambda w: F.when(w.isin(*stop) | w.rlike("^['-]+$"), F.lit("|")).otherwise(w),
     )
     runs = F.transform(F.split(F.array_join(cut, " "), r"\|"), F.trim)
-    return F.filter(runs, length_band)
+    return F.filter(runs, lambda p: F.length(p) >= lo)
+
+
+def dominant(parts: Column) -> Column:
+    """The most frequent element of an array; the first one seen wins a tie.
+
+    Equal elements are brought together by sorting, so long arrays stay cheap.
+    """
+    def best(pairs: Column) -> Column:
+        def is_start(i: Column) -> Column:
+            return (i == 0) | (F.get(pairs, i)["p"] != F.get(pairs, i - 1)["p"])
+
+        def pick(starts: Column) -> Column:
+            runs = F.transform(
+                starts,
+                lambda at, j: F.struct(
+                    (F.coalesce(F.get(starts, j + 1), F.size(pairs)) - at).alias("n"),
+                    (-F.get(pairs, at)["i"]).alias("early"),
+                    F.get(pairs, at)["p"].alias("p"),
+                ),
+            )
+            return F.array_max(runs)["p"]
+
+        return let(F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), is_start), pick)
+
+    ordered = F.array_sort(F.transform(parts, lambda p, i: F.struct(p.alias("p"), i.alias("i"))))
+    return let(ordered, lambda pairs: F.when(F.size(pairs) > 0, best(pairs)))
 
 
 def ngrams(parts: Column, longest: int) -> Column:

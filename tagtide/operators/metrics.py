@@ -15,11 +15,9 @@ from tagtide.functions.numbers import null_safe_div
 from tagtide.functions.sentiment import sentiment_category3
 from tagtide.functions.times import AsOf, bucket, since
 
-ROWS = F.lit(1)
-
 
 def _n(alias: str) -> Column:
-    return F.count(ROWS).alias(alias)
+    return F.count(F.lit(1)).alias(alias)
 
 
 def _avg(column: str, alias: str) -> Column:

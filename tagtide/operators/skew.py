@@ -85,8 +85,17 @@ def is_small(df: DataFrame, text: str, rows: int = BROADCAST_ROWS, size: int = B
     return n <= rows and (length or 0) <= size
 
 
-def lookup(many: DataFrame, table: DataFrame, on: str, split_by: Sequence[str], small: bool) -> DataFrame:
-    """Inner join of many rows with a lookup table that has one row per key."""
+def lookup(
+    many: DataFrame, table: DataFrame, on: str, split_by: Sequence[str], small: bool, how: str = "inner"
+) -> DataFrame:
+    """Join many rows with a lookup table that has one row per key.
+
+    A table counted to be small is broadcast; beyond that the rows are shuffled, with
+    hot keys in blocks. ``how="left"`` keeps rows without a match: every row sits in
+    exactly one block, so that is exact too.
+    """
     if small:
-        return many.join(F.broadcast(table), on)
-    return spread_join(table, many, [on], split_by)
+        return many.join(F.broadcast(table), on, how)
+    hot = hot_keys(count_by(many, [on]), [on], "rows")
+    few, blocked = spread(table, many, hot, [on], split_by)
+    return blocked.join(few, [on, "block"], how).drop("block")
