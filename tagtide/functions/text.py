@@ -116,7 +116,7 @@ def phrases(text: Column, stopwords: Sequence[str] = STOPWORDS, lo: int = MIN_AS
         words(marked),
         lambda w: F.when(w.isin(*stop) | w.rlike("^['-]+$"), F.lit("|")).otherwise(w),
     )
-    runs = F.transform(F.split(F.array_join(cut, " "), r"\|"), F.trim)
+    runs = F.transform(F.split(F.array_join(cut, " "), r"\|"), lambda p: F.trim(p))
     return F.filter(runs, lambda p: F.length(p) >= lo)
 
 

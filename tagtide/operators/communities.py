@@ -45,9 +45,12 @@ def _assess(links: Links, comm: DataFrame, m2: float, resolution: float) -> Data
     ``resolution * strength * (strength of C without the node) / m2``.
     """
     totals = comm.groupBy("c").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("rows"))
-    # Nodes of one large community are dealt to blocks before they look up its total.
-    few, many = spread(totals.drop("rows"), comm, hot_keys(totals, ["c"], "rows"), ["c"], ["u"])
-    placed = many.join(few, ["c", "block"]).select("u", "c", "tot")
+    if links.hot is None:
+        placed = comm.join(totals, "c").select("u", "c", "tot")
+    else:
+        # Nodes of one large community are dealt to blocks before they look up its total.
+        few, many = spread(totals.drop("rows"), comm, hot_keys(totals, ["c"], "rows"), ["c"], ["u"])
+        placed = many.join(few, ["c", "block"]).select("u", "c", "tot")
     here = F.col("w").isNull()
     near = (
         links.follow(placed)

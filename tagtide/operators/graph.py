@@ -15,6 +15,7 @@ from tagtide.session import cut_lineage, pin
 
 TAGS_PER_BLOCK = 2_000
 EDGES_PER_BLOCK = 100_000
+EDGES_PER_PARTITION = 2_000_000
 ROUNDS_PER_CHECK = 5
 
 
@@ -90,25 +91,33 @@ def adjacency(edges: DataFrame) -> DataFrame:
 
 
 class Links:
-    """An adjacency, cut in blocks for hub nodes and kept partitioned by (u, block).
+    """An adjacency that iterative jobs join their state to again and again.
 
-    Iterative jobs join their state to it again and again. The written copy keeps its
-    partitioning, so only the state is shuffled, and the neighbours of a hub are
-    spread over many tasks.
+    A small one is a written table of known size, so Catalyst may broadcast it. A
+    large one is cut in blocks for hub nodes and kept partitioned by (u, block): only
+    the state is shuffled, and the neighbours of a hub are spread over many tasks.
     """
 
     def __init__(self, adj: DataFrame, edges_per_block: int = EDGES_PER_BLOCK):
-        spark = adj.sparkSession
-        self.hot = cut_lineage(hot_keys(count_by(adj, ["u"]), ["u"], "rows", edges_per_block))
-        blocks = F.coalesce(F.col("blocks"), F.lit(1))
-        placed = adj.join(F.broadcast(self.hot), "u", "left").withColumn(
-            "block", F.pmod(F.xxhash64("v"), blocks).cast("int")
-        )
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.table = pin(placed.drop("blocks").repartition(parts, "u", "block"))
+        table = cut_lineage(adj)
+        rows = table.count()
+        # Without more rows than one block there can be no hub.
+        self.hot = None
+        if rows > edges_per_block:
+            self.hot = cut_lineage(hot_keys(count_by(table, ["u"]), ["u"], "rows", edges_per_block))
+            blocks = F.coalesce(F.col("blocks"), F.lit(1))
+            table = table.join(F.broadcast(self.hot), "u", "left").withColumn(
+                "block", F.pmod(F.xxhash64("v"), blocks).cast("int")
+            )
+            default = int(adj.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            parts = max(default, rows // EDGES_PER_PARTITION)
+            table = pin(table.drop("blocks").repartition(parts, "u", "block"))
+        self.table = table
 
     def follow(self, state: DataFrame) -> DataFrame:
         """``state`` (with a column ``u``) joined to the neighbours ``v, w`` of its nodes."""
+        if self.hot is None:
+            return state.join(self.table, "u")
         blocks = F.coalesce(F.col("blocks"), F.lit(1))
         copies = state.join(F.broadcast(self.hot), "u", "left").withColumn(
             "block", F.explode(F.sequence(F.lit(0), blocks - 1))

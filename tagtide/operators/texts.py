@@ -179,7 +179,7 @@ def aspect_sentiments(posts: DataFrame, scorer=score_simple, stopwords: Sequence
 
 
 def _aspects_of(stopwords: Sequence[str] = STOPWORDS) -> Column:
-    named = F.filter(phrases(F.col("clean"), stopwords), length_band)
+    named = F.filter(phrases(F.col("clean"), stopwords), lambda p: length_band(p))
     return aspect_map(F.col("sentences"), named, inline_hashtags(F.col("clean")))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtide import schemas
@@ -29,11 +29,13 @@ NOW = {"availableNow": True}
 QUERIES: dict[str, Query] = {}
 
 
+def _six(name: str) -> Column:
+    return F.round(F.col(name).cast("decimal(30,12)"), 6).cast("double").alias(name)
+
+
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles and floats to six decimal places."""
-    return df.select(
-        *[F.round(F.col(c).cast("double"), 6).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes]
-    )
+    """Doubles and floats to six decimal places, in decimal so that ties go one way."""
+    return df.select(*[_six(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
 
 def query(fn: Query) -> Query:
@@ -274,7 +276,7 @@ def scalar_functions(spark, sf):
 def iso_timestamp(spark, sf):
     stated = F.when(F.size("tags") > 0, F.col("created_at")).otherwise(F.lit("not a time"))
     return fixtures.statuses(spark, sf).select(
-        F.col("account.username").alias("user_name"), times.parse_iso(stated).alias("at")
+        F.col("account.username").alias("user_name"), times.parse_iso(stated).alias("said")
     )
 
 
@@ -358,7 +360,7 @@ def _rated_aspects(spark: SparkSession, sf: str) -> DataFrame:
     scores = texts.sentence_scores(fixtures.text_posts(spark, sf), lexicon=fixtures.lexicon(spark, sf))
     return scores.select(
         "post_id", "pos", F.concat(F.lit("s"), F.col("pos").cast("string")).alias("aspect"),
-        F.round("score", 6).alias("sentiment"), text.snippet(F.col("sentence"), 100).alias("context"),
+        _six("score").alias("sentiment"), text.snippet(F.col("sentence"), 100).alias("context"),
     )
 
 

@@ -103,8 +103,8 @@ def label5(s: str) -> str:
 
 
 def f32(x: str) -> str:
-    """As stored in 32 bits, rounded like every double."""
-    return f"round(CAST(CAST({x} AS FLOAT) AS DOUBLE), 6)"
+    """As stored in 32 bits, rounded like every double: half away from zero, in decimal."""
+    return f"round(CAST(CAST(CAST({x} AS FLOAT) AS DOUBLE) AS DECIMAL(30, 12)), 6)::DOUBLE"
 
 
 def each(expr: str, *names: str) -> str:
@@ -150,9 +150,9 @@ def lexicon_scores(name: str, source: str, keys: str, text: str) -> str:
     """A CTE with the mean polarity and subjectivity of the known words of each text."""
     return f"""
 {name}_list AS MATERIALIZED (SELECT {keys}, {tokens(text)} AS w FROM {source}),
-{name}_words AS (SELECT {keys}, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM {name}_list),
+{name}_words AS (SELECT {keys}, unnest(w) AS word, generate_subscripts(w, 1) AS spot FROM {name}_list),
 {name}_pairs AS (
-  SELECT *, lag(word) OVER (PARTITION BY {keys} ORDER BY at) AS before FROM {name}_words),
+  SELECT *, lag(word) OVER (PARTITION BY {keys} ORDER BY spot) AS before FROM {name}_words),
 {name}_hits AS (
   SELECT {', '.join('p.' + k.strip() for k in keys.split(','))}, l.subjectivity,
          greatest(-1.0::DOUBLE, least(1.0::DOUBLE, l.polarity
@@ -190,11 +190,11 @@ FOUR = ("PERSON", "ORG", "GPE", "PRODUCT")
 FIVE = (*FOUR, "EVENT")
 
 MESSAGES = f"""
-stamped AS (SELECT *, TIMESTAMP '2024-01-30 00:00:00' + to_seconds(doc_id % 86400) AS at FROM documents),
+stamped AS (SELECT *, TIMESTAMP '2024-01-30 00:00:00' + to_seconds(doc_id % 86400) AS said FROM documents),
 statuses AS (
   SELECT doc_id, 'user_' || (doc_id % 50) AS user_name, text AS content,
          CASE WHEN doc_id % 5 = 0 THEN [] ELSE [lang, source] END AS hashtags,
-         strftime(at, '%Y-%m-%dT%H:%M:%S') || '+02:00' AS timestamp, at FROM stamped),
+         strftime(said, '%Y-%m-%dT%H:%M:%S') || '+02:00' AS timestamp, said FROM stamped),
 messages AS MATERIALIZED (
   SELECT * EXCLUDE (content), content, {CLEAN.format('content')} AS clean
   FROM statuses WHERE length(content) % 7 <> 0)
@@ -214,7 +214,7 @@ def with_aspects(body: str) -> str:
 
 
 def r(x: str, name: str) -> str:
-    return f"round({x}, 6) AS {name}"
+    return f"round(CAST({x} AS DECIMAL(30, 12)), 6)::DOUBLE AS {name}"
 
 
 ORACLES: dict[str, str] = {}
@@ -283,7 +283,7 @@ ORACLES["cluster_summary"] = with_posts(
     " FROM clusters GROUP BY 1"
 )
 ORACLES["fill_zero"] = with_posts(
-    f", {CLUSTERS} SELECT user_name, round(CASE WHEN cluster_id > 1 THEN avg_sentiment ELSE 0 END, 6) AS avg_sentiment,"
+    f", {CLUSTERS} SELECT user_name, round(CAST(CASE WHEN cluster_id > 1 THEN avg_sentiment ELSE 0 END AS DECIMAL(30, 12)), 6)::DOUBLE AS avg_sentiment,"
     f" {r('avg_content_length', 'avg_content_length')}, post_count, unique_hashtags, cluster_id FROM clusters"
 )
 ORACLES["upsert_snapshot"] = with_posts(
@@ -384,7 +384,7 @@ ORACLES["detect_anomalies"] = with_posts(
 )
 ORACLES["recent_anomalies"] = with_posts(
     f", {anomalies('found', AS_OF, 1.0)} SELECT detected_at AS time, user_name,"
-    " round(round(CAST(anomaly_score AS DECIMAL(20, 10)), 2)::DOUBLE, 6) AS score, reason"
+    " round(CAST(round(CAST(anomaly_score AS DECIMAL(20, 10)), 2)::DOUBLE AS DECIMAL(30, 12)), 6)::DOUBLE AS score, reason"
     " FROM found WHERE detected_at > TIMESTAMP '2024-01-31 00:30:00' - INTERVAL '1 hour' ORDER BY time DESC, user_name LIMIT 20"
 )
 ORACLES["user_hashtag_network"] = with_posts(
@@ -395,7 +395,7 @@ ORACLES["hashtag_counter"] = with_posts("SELECT hashtag, count(*) AS count FROM
 ORACLES["dash_top10"] = with_posts(
     'SELECT hashtag AS "Hashtag", count(*) AS "Count" FROM posts GROUP BY 1 ORDER BY 2 DESC, min(post_id), 1 LIMIT 10'
 )
-SCAN = f"SELECT * REPLACE (round(sentiment, 6) AS sentiment) FROM posts WHERE "
+SCAN = f"SELECT * REPLACE (round(CAST(sentiment AS DECIMAL(30, 12)), 6)::DOUBLE AS sentiment) FROM posts WHERE "
 ORACLES["recent_filter"] = with_posts(SCAN + recent("24 hours"))
 ORACLES["posts_scan"] = with_posts(SCAN + recent("7 days"))
 
@@ -422,7 +422,7 @@ ORACLES["top_aspects"] = with_aspects("SELECT aspect, count(*) AS count FROM asp
 
 ORACLES["clean_html"] = f"SELECT page_id AS post_id, {CLEAN.format('html')} AS clean FROM pages"
 ORACLES["content_length"] = f"SELECT page_id AS post_id, length({CLEAN.format('html')})::DOUBLE AS content_length FROM pages"
-ORACLES["score_simple"] = f"WITH {ALL_TEXTS} SELECT post_id, round(score, 6) AS score FROM scored"
+ORACLES["score_simple"] = f"WITH {ALL_TEXTS} SELECT post_id, round(CAST(score AS DECIMAL(30, 12)), 6)::DOUBLE AS score FROM scored"
 ORACLES["simple_aspect"] = f"WITH {ALL_TEXTS} SELECT post_id, {aspect('clean')} AS aspect FROM scored"
 ORACLES["first_aspect"] = f"WITH {DOCS} SELECT post_id, {aspect('clean')} AS aspect FROM docs"
 ORACLES["sentiment_labels"] = with_posts(
@@ -431,7 +431,7 @@ ORACLES["sentiment_labels"] = with_posts(
 )
 ORACLES["inline_hashtags"] = (
     "SELECT doc_id AS post_id, array_to_string("
-    + inline_tags("regexp_replace(text, '^', '#', 'gm') || ' #Café_1'")
+    + inline_tags("regexp_replace(text, '(?m)^', '#', 'g') || ' #Café_1'")
     + ", ' ') AS tags FROM documents"
 )
 ORACLES["split_sentences"] = (
@@ -441,17 +441,17 @@ ORACLES["scalar_functions"] = with_posts(
     f"""SELECT post_id, hashtag, 2::INTEGER AS tags, length(hashtag) BETWEEN 3 AND 5 AS in_band, substring(hashtag, 1, 2) AS start,
   lower(trim('  ' || upper(hashtag))) AS aspect, date_trunc('minute', processing_time) AS minute,
   date_trunc('hour', processing_time) AS hour,
-  round(round(CAST(sentiment AS DECIMAL(20, 10)), 4)::DOUBLE, 6) AS rounded,
-  round(printf('%.3f', sentiment)::DOUBLE, 6) AS rounded_binary, printf('%.2f', sentiment) AS fixed,
-  round(sentiment / nullif(content_length, 0), 6) AS ratio,
-  round(CASE WHEN content_length > 100 AND sentiment <> 0 THEN sentiment ELSE 0 END, 6) AS filled,
-  round(abs(sentiment), 6) AS magnitude,
+  round(CAST(round(CAST(sentiment AS DECIMAL(20, 10)), 4)::DOUBLE AS DECIMAL(30, 12)), 6)::DOUBLE AS rounded,
+  round(CAST(printf('%.3f', sentiment)::DOUBLE AS DECIMAL(30, 12)), 6)::DOUBLE AS rounded_binary, printf('%.2f', sentiment) AS fixed,
+  round(CAST(sentiment / nullif(content_length, 0) AS DECIMAL(30, 12)), 6)::DOUBLE AS ratio,
+  round(CAST(CASE WHEN content_length > 100 AND sentiment <> 0 THEN sentiment ELSE 0 END AS DECIMAL(30, 12)), 6)::DOUBLE AS filled,
+  round(CAST(abs(sentiment) AS DECIMAL(30, 12)), 6)::DOUBLE AS magnitude,
   'Unusual posting rate: ' || post_id || ' posts (avg: ' || printf('%.1f', sentiment) || ')' AS reason,
   {tone('sentiment')} || CASE WHEN content_length > 50
     THEN ' tone; Most pronounced towards ''' || hashtag || ''' (' || printf('%.2f', sentiment) || ')' ELSE ' tone overall' END AS summary
 FROM posts"""
 )
-ORACLES["iso_timestamp"] = f"WITH {MESSAGES} SELECT user_name, CASE WHEN len(hashtags) > 0 THEN at END AS at FROM statuses"
+ORACLES["iso_timestamp"] = f"WITH {MESSAGES} SELECT user_name, CASE WHEN len(hashtags) > 0 THEN said END AS said FROM statuses"
 
 # Text jobs
 
@@ -459,7 +459,7 @@ ORACLES["lexicon_lookup"] = (
     f"WITH {DOCS}, {LEXICON}, w AS (SELECT unnest({tokens('clean')}) AS word FROM docs)"
     f" SELECT word, {r('polarity', 'polarity')}, count(*) AS n FROM w JOIN lexicon USING (word) GROUP BY word, lexicon.polarity"
 )
-ORACLES["sentence_scores"] = f"WITH {SENTENCES} SELECT post_id, pos, sentence, round(score, 6) AS score FROM rated"
+ORACLES["sentence_scores"] = f"WITH {SENTENCES} SELECT post_id, pos, sentence, round(CAST(score AS DECIMAL(30, 12)), 6)::DOUBLE AS score FROM rated"
 ORACLES["lexicon_sentiment"] = (
     f"WITH {DOCS}, {LEXICON}, {lexicon_scores('by_doc', 'docs', 'post_id', 'clean')}"
     f" SELECT post_id, {r('polarity', 'polarity')}, {r('subjectivity', 'subjectivity')} FROM by_doc"
@@ -502,24 +502,24 @@ pairs AS (
 DOC_PARTS = SENTENCES[len(DOCS):]
 ORACLES["aspect_sentences"] = (
     f"WITH {entities(FOUR)} {DOC_PARTS} {ENTITY_PAIRS}"
-    f" SELECT post_id, aspect, pos, round({score('sentence')}, 6) AS score FROM pairs"
+    f" SELECT post_id, aspect, pos, round(CAST({score('sentence')} AS DECIMAL(30, 12)), 6)::DOUBLE AS score FROM pairs"
 )
 BY_SENTENCE = lexicon_scores("by_sentence", "sents", "post_id, pos", "sentence")
 ORACLES["aspect_mean"] = (
     f"WITH {entities(FOUR)} {DOC_PARTS} {ENTITY_PAIRS}, {LEXICON}, {BY_SENTENCE}"
-    " SELECT post_id, aspect, round(avg(polarity), 6) AS sentiment FROM pairs JOIN by_sentence USING (post_id, pos) GROUP BY 1, 2"
+    " SELECT post_id, aspect, round(CAST(avg(polarity) AS DECIMAL(30, 12)), 6)::DOUBLE AS sentiment FROM pairs JOIN by_sentence USING (post_id, pos) GROUP BY 1, 2"
 )
 TAGS = "tags AS (SELECT DISTINCT post_id, unnest(['The', 'ch', lang]) AS hashtag FROM docs)"
 ORACLES["hashtag_sentences"] = (
     f"WITH {SENTENCE_LEXICON}, {lexicon_scores('by_doc', 'docs', 'post_id', 'clean')}, {TAGS},"
     " held AS (SELECT t.post_id, t.hashtag, avg(b.polarity) AS m FROM tags t JOIN sents s USING (post_id)"
     " JOIN by_sentence b USING (post_id, pos) WHERE contains(lower(s.sentence), lower(t.hashtag)) GROUP BY 1, 2)"
-    " SELECT t.post_id, t.hashtag, round(coalesce(h.m, d.polarity), 6) AS sentiment"
+    " SELECT t.post_id, t.hashtag, round(CAST(coalesce(h.m, d.polarity) AS DECIMAL(30, 12)), 6)::DOUBLE AS sentiment"
     " FROM tags t JOIN by_doc d USING (post_id) LEFT JOIN held h USING (post_id, hashtag)"
 )
 RATED = (
     SENTENCE_LEXICON
-    + ", listed AS MATERIALIZED (SELECT post_id, pos::INTEGER AS pos, 's' || pos AS aspect, round(polarity, 6) AS sentiment,"
+    + ", listed AS MATERIALIZED (SELECT post_id, pos::INTEGER AS pos, 's' || pos AS aspect, round(CAST(polarity AS DECIMAL(30, 12)), 6)::DOUBLE AS sentiment,"
     " substring(sentence, 1, 100) AS context FROM sents JOIN by_sentence USING (post_id, pos))"
 )
 ORACLES["top_aspects_by_intensity"] = (
@@ -570,10 +570,10 @@ FROM docs d JOIN by_doc b USING (post_id) JOIN focus f USING (post_id) LEFT JOIN
 
 RICH = f"""{entities(FIVE)} {DOC_PARTS},
 topic_lists AS MATERIALIZED (SELECT post_id, {phrases('clean', 4)} AS p FROM docs),
-topics AS (SELECT post_id, {each('p', 'aspect', 'at')} FROM topic_lists),
+topics AS (SELECT post_id, {each('p', 'aspect', 'spot')} FROM topic_lists),
 candidates AS MATERIALIZED (
-  SELECT post_id, 0 AS kind, pos AS at, surface AS aspect, type FROM entities
-  UNION ALL SELECT post_id, 1, at, aspect, 'TOPIC' FROM topics),
+  SELECT post_id, 0 AS kind, pos AS spot, surface AS aspect, type FROM entities
+  UNION ALL SELECT post_id, 1, spot, aspect, 'TOPIC' FROM topics),
 low AS MATERIALIZED (SELECT *, lower(sentence) AS low FROM rated),
 means AS MATERIALIZED (
   SELECT c.post_id, c.aspect, printf('%.3f', avg(l.score))::DOUBLE AS sentiment,
@@ -584,8 +584,8 @@ whole AS MATERIALIZED (SELECT post_id, lang, source, {score('clean')} AS overall
 """
 ORACLES["rich_aspect_analysis"] = f"""WITH {RICH},
 top AS (SELECT *, count(*) OVER (PARTITION BY post_id) AS n FROM named
-  QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY abs(sentiment) DESC, kind, at) = 1)
-SELECT post_id, round(printf('%.3f', overall)::DOUBLE, 6) AS overall_sentiment, 0.5::DOUBLE AS overall_subjectivity,
+  QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY abs(sentiment) DESC, kind, spot) = 1)
+SELECT post_id, round(CAST(printf('%.3f', overall)::DOUBLE AS DECIMAL(30, 12)), 6)::DOUBLE AS overall_sentiment, 0.5::DOUBLE AS overall_subjectivity,
   ({tone('overall')}) || CASE WHEN t.aspect IS NULL THEN ' tone overall'
     ELSE ' tone; Most pronounced towards ''' || t.aspect || ''' (' || printf('%.2f', t.sentiment) || ')' END AS sentiment_summary,
   coalesce(t.n, 0)::INTEGER AS n_aspects, t.aspect AS top_aspect, t.type AS top_type, t.context AS top_context
@@ -593,11 +593,11 @@ FROM whole LEFT JOIN top t USING (post_id)"""
 ORACLES["rich_hashtag_context"] = f"""WITH {RICH},
 tags AS (SELECT DISTINCT post_id, unnest([lang, source]) AS hashtag, overall FROM whole),
 held AS (SELECT t.post_id, t.hashtag, avg(l.score) AS m FROM tags t JOIN low l USING (post_id) WHERE contains(l.low, lower(t.hashtag)) GROUP BY 1, 2),
-near AS (SELECT t.post_id, t.hashtag, n.aspect, n.kind, n.at FROM tags t JOIN named n USING (post_id)
+near AS (SELECT t.post_id, t.hashtag, n.aspect, n.kind, n.spot FROM tags t JOIN named n USING (post_id)
   WHERE contains(lower(n.context), lower(t.hashtag))
-  QUALIFY row_number() OVER (PARTITION BY t.post_id, t.hashtag ORDER BY n.kind, n.at) <= 3)
-SELECT t.post_id, t.hashtag, round(printf('%.3f', coalesce(any_value(h.m), any_value(t.overall)))::DOUBLE, 6) AS sentiment,
-  coalesce(string_agg(n.aspect, '|' ORDER BY n.kind, n.at), '') AS related_aspects
+  QUALIFY row_number() OVER (PARTITION BY t.post_id, t.hashtag ORDER BY n.kind, n.spot) <= 3)
+SELECT t.post_id, t.hashtag, round(CAST(printf('%.3f', coalesce(any_value(h.m), any_value(t.overall)))::DOUBLE AS DECIMAL(30, 12)), 6)::DOUBLE AS sentiment,
+  coalesce(string_agg(n.aspect, '|' ORDER BY n.kind, n.spot), '') AS related_aspects
 FROM tags t LEFT JOIN held h USING (post_id, hashtag) LEFT JOIN near n USING (post_id, hashtag) GROUP BY 1, 2"""
 
 # Messages and tables
@@ -615,7 +615,7 @@ ORACLES["parse_messages"] = (
 ORACLES["explode_hashtags"] = f"WITH {MESSAGES}, {EXPLODED} SELECT user_name, content, hashtag, timestamp FROM exploded"
 ORACLES["enrich_basic"] = f"WITH {MESSAGES} SELECT user_name, content, timestamp, {BASIC} FROM messages"
 ORACLES["ingest_stream"] = (
-    f"WITH {MESSAGES}, {EXPLODED} SELECT user_name, content, hashtag, at AS timestamp, {BASIC} FROM exploded"
+    f"WITH {MESSAGES}, {EXPLODED} SELECT user_name, content, hashtag, said AS timestamp, {BASIC} FROM exploded"
 )
 STRUCT = f"""CASE WHEN none OR short THEN 0.0 ELSE {f32('score')} END"""
 STRUCT_SOURCE = f"""{MESSAGES},
@@ -632,7 +632,7 @@ FROM a"""
 ORACLES["write_posts"] = f"""WITH {STRUCT_SOURCE}
 SELECT user_name, content, unnest(hashtags) AS hashtag, {STRUCT} AS sentiment, NULL::VARCHAR AS sentiment_category,
   NULL::VARCHAR AS dominant_aspect, length(clean)::DOUBLE AS content_length, len(hashtags)::INTEGER AS hashtag_count,
-  {NOW} AS processing_time, at AS timestamp, {STRUCT_SUMMARY} AS sentiment_summary,
+  {NOW} AS processing_time, said AS timestamp, {STRUCT_SUMMARY} AS sentiment_summary,
   CASE WHEN NOT none AND NOT short THEN aspect END AS top_aspect, {STRUCT} AS top_aspect_sentiment
 FROM a"""
 MESSAGE_ASPECTS = f"""{MESSAGES},
@@ -642,10 +642,10 @@ src_sents AS (SELECT post_id, unnest(parts) AS sentence FROM src_split),
 src_rated AS MATERIALIZED (SELECT post_id, sentence, {score('sentence')} AS score FROM src_sents)
 {ASPECTS_OF}"""
 ORACLES["map_entries"] = f"""WITH {MESSAGE_ASPECTS}, {EXPLODED}
-SELECT e.user_name, e.hashtag, m.aspect, {f32('m.sentiment')} AS sentiment, {NOW} AS processing_time, e.at AS timestamp
+SELECT e.user_name, e.hashtag, m.aspect, {f32('m.sentiment')} AS sentiment, {NOW} AS processing_time, e.said AS timestamp
 FROM exploded e JOIN aspect_means m ON m.post_id = e.doc_id"""
 ORACLES["write_aspects"] = f"""WITH {MESSAGE_ASPECTS}, {EXPLODED}
-SELECT m.aspect, count(*) AS n, round(avg(CAST(CAST(m.sentiment AS FLOAT) AS DOUBLE)), 6) AS avg_sentiment
+SELECT m.aspect, count(*) AS n, round(CAST(avg(CAST(CAST(m.sentiment AS FLOAT) AS DOUBLE)) AS DECIMAL(30, 12)), 6)::DOUBLE AS avg_sentiment
 FROM exploded e JOIN aspect_means m ON m.post_id = e.doc_id GROUP BY 1"""
 ORACLES["enrich_aspects"] = f"""WITH {MESSAGE_ASPECTS},
 counted AS (SELECT post_id, count(*) AS n FROM aspect_means GROUP BY 1),
@@ -696,7 +696,7 @@ ORACLES["validate_posts_kept"] = (
     f"WITH {UNCHECKED} SELECT post_id, user_name, hashtag FROM unchecked WHERE user_name IS NOT NULL AND length(hashtag) <= 255"
 )
 ORACLES["conform_schema"] = with_posts(
-    "SELECT user_name, NULL::VARCHAR AS content, hashtag, round(sentiment, 6) AS sentiment, NULL::VARCHAR AS sentiment_category,"
+    "SELECT user_name, NULL::VARCHAR AS content, hashtag, round(CAST(sentiment AS DECIMAL(30, 12)), 6)::DOUBLE AS sentiment, NULL::VARCHAR AS sentiment_category,"
     " NULL::VARCHAR AS dominant_aspect, NULL::DOUBLE AS content_length, NULL::INTEGER AS hashtag_count, processing_time, timestamp,"
     " NULL::VARCHAR AS sentiment_summary, NULL::VARCHAR AS top_aspect, NULL::DOUBLE AS top_aspect_sentiment FROM posts"
 )

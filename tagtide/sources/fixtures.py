@@ -141,7 +141,8 @@ def gazetteer(spark: SparkSession, sf: str) -> DataFrame:
     found = F.concat(
         F.regexp_extract_all("text", F.lit(pair), F.lit(0)), F.regexp_extract_all("text", F.lit(single), F.lit(0))
     )
-    surfaces = table(spark, sf, "benchmark").select(F.lower(F.explode(found)).alias("surface")).distinct()
+    surfaces = table(spark, sf, "benchmark").select(F.explode(F.transform(found, lambda s: F.lower(s))).alias("surface"))
+    surfaces = surfaces.distinct()
     kinds = F.array(*[F.lit(t) for t in ("PERSON", "ORG", "GPE", "PRODUCT", "EVENT")])
     return surfaces.select("surface", let(kinds, lambda t: F.get(t, F.length("surface") % 5)).alias("type"))
 
