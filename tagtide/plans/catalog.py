@@ -16,7 +16,7 @@ from tagtide.functions import numbers, sentiment, text, times
 from tagtide.operators import graph, learning, metrics, quality, texts, topk, upkeep
 from tagtide.operators.betweenness import betweenness
 from tagtide.operators.communities import communities
-from tagtide.session import configure, scratch_path
+from tagtide.session import configure, cut_lineage, scratch_path
 from tagtide.sources import fixtures, messages, tables
 from tagtide.sources.fixtures import AS_OF
 from tagtide.streaming import ingest as ingesting
@@ -619,7 +619,8 @@ def profile_posts(spark, sf):
 
 
 def _edges(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.cooccurrence_edges(fixtures.posts(spark, sf), AS_OF)
+    """The written edge table of the last day, which the graph jobs read."""
+    return cut_lineage(graph.cooccurrence_edges(fixtures.posts(spark, sf), AS_OF))
 
 
 @query
