@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tagtide import schemas
 from tagtide.functions.numbers import let
+from tagtide.sources.tables import spread_rows
 
 AS_OF = "2024-01-31 00:00:00"
 DOCUMENT_TIME = "2024-01-30 00:00:00"
@@ -62,7 +63,7 @@ def aspects(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_posts(spark: SparkSession, sf: str) -> DataFrame:
     """One post per document, tagged with its language and source."""
-    return table(spark, sf, "documents").select(
+    return spread_rows(table(spark, sf, "documents"), "doc_id").select(
         F.col("doc_id").alias("post_id"),
         F.concat(F.lit("user_"), (F.col("doc_id") % 50).cast("string")).alias("user_name"),
         F.col("text").alias("content"),
@@ -72,7 +73,7 @@ def text_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_posts(spark: SparkSession, sf: str) -> DataFrame:
     """One post per page, with tags in its content."""
-    return table(spark, sf, "pages").select(F.col("page_id").alias("post_id"), F.col("html").alias("content"))
+    return spread_rows(table(spark, sf, "pages"), "page_id").select(F.col("page_id").alias("post_id"), F.col("html").alias("content"))
 
 
 def _iso(number: Column) -> Column:
@@ -113,7 +114,7 @@ def _values_of(documents: DataFrame) -> DataFrame:
 
 
 def raw_values(spark: SparkSession, sf: str) -> DataFrame:
-    return _values_of(table(spark, sf, "documents"))
+    return _values_of(spread_rows(table(spark, sf, "documents"), "doc_id"))
 
 
 def raw_values_stream(spark: SparkSession, sf: str) -> DataFrame:

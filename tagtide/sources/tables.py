@@ -33,6 +33,18 @@ def posts_since(posts: DataFrame, as_of: AsOf, interval: str) -> DataFrame:
     return since(posts, as_of, interval)
 
 
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores, if it comes in fewer splits than there are cores.
+
+    For texts in a few files, where the work per row is heavy. Large tables have more
+    splits than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def posts_columns(rows: DataFrame, variant: str = "basic") -> DataFrame:
     """Exploded, enriched rows in the layout of the posts table."""
     if variant == "struct":

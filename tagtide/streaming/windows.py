@@ -6,11 +6,13 @@ than the watermark are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tagtide.functions.sentiment import sentiment_category3
+from tagtide.functions.times import cutoff, moment
 
 WATERMARK = "10 minutes"
 
@@ -48,26 +50,30 @@ def stream_hourly_sentiment(posts: DataFrame, watermark: str = WATERMARK) -> Dat
     return _window_start(counted)
 
 
-def stream_hashtag_hours(posts: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """``window_end, hashtag, count`` for the last hour, once per minute.
-
-    Posts are counted per minute first, and only those counts are put in the sixty
-    windows they belong to. Needs output mode ``append``: a window comes out once, when
-    it is complete, which is what a ranking needs.
-    """
-    per_minute = (
+def stream_hashtag_minutes(posts: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """``minute_end, hashtag, n``. In output mode ``append`` each minute comes out once, when complete."""
+    counted = (
         posts.withWatermark("processing_time", watermark)
-        .groupBy(F.window("processing_time", "1 minute").alias("minute"), "hashtag")
+        .groupBy(F.window("processing_time", "1 minute").alias("window"), "hashtag")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    hours = per_minute.groupBy(
-        F.window(F.window_time("minute"), "1 hour", "1 minute").alias("window"), "hashtag"
-    ).agg(F.sum("n").alias("count"))
-    return hours.select(F.col("window.end").cast("timestamp_ntz").alias("window_end"), "hashtag", "count")
+    return counted.select(F.col("window.end").cast("timestamp_ntz").alias("minute_end"), "hashtag", "n")
+
+
+def hashtag_hours(minutes: DataFrame, after: Column, upto: Column) -> DataFrame:
+    """``window_end, hashtag, count``: the last hour, at each minute in ``(after, upto]``."""
+    first = F.greatest(F.col("minute_end"), after + F.expr("INTERVAL 1 MINUTE"))
+    last = F.least(F.col("minute_end") + F.expr("INTERVAL 59 MINUTES"), upto)
+    ends = F.sequence(first, last, F.expr("INTERVAL 1 MINUTE"))
+    placed = minutes.filter(first <= last).select(F.explode(ends).alias("window_end"), "hashtag", "n")
+    return placed.groupBy("window_end", "hashtag").agg(F.sum("n").alias("count"))
 
 
 def rank_hashtags(counts: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` most frequent tags of each window, with ``rank``."""
+    """The ``k`` most frequent tags of each window, with ``rank``.
+
+    Spark keeps the ``k`` best of each task before the shuffle.
+    """
     order = Window.partitionBy("window_end").orderBy(F.desc("count"), "hashtag")
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -80,12 +86,34 @@ def start_top_hashtags(
     k: int = 10,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write ``window_end, hashtag, count, rank`` for every complete window."""
+    """Write ``window_end, hashtag, count, rank`` for every complete minute to ``path/top``.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rank_hashtags(batch, k).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    The state holds counts of open minutes only. Each batch joins the minutes it has
+    completed to those of the hour before, which the previous batch left in
+    ``path/hour``, and ranks the windows that end with its own minutes. A batch that
+    runs again reads the same folder and replaces its own.
+    """
 
-    writer = stream_hashtag_hours(posts, watermark).writeStream.outputMode("append")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            hour = batch.limit(0)
+            if batch_id > 0:
+                hour = spark.read.schema(batch.schema).parquet(f"{path}/hour/batch_id={batch_id - 1}")
+            before = hour.agg(F.max("minute_end")).first()[0]
+            start, upto = batch.agg(F.min("minute_end"), F.max("minute_end")).first()
+            minutes = hour.unionByName(batch)
+            left = minutes.filter(F.col("minute_end") > cutoff(upto, "1 hour")) if upto else hour
+            left.write.mode("overwrite").parquet(f"{path}/hour/batch_id={batch_id}")
+            if upto:
+                after = moment(before) if before else cutoff(start, "1 minute")
+                top = rank_hashtags(hashtag_hours(minutes, after, moment(upto)), k)
+                top.write.mode("overwrite").parquet(f"{path}/top/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = stream_hashtag_minutes(posts, watermark).writeStream.outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
