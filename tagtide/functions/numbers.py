@@ -2,21 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once.
-
-    An expression used inside a lambda is computed again for every element.
-    Binding it to a lambda variable first avoids that.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def fixed_point(c: Column, digits: int) -> Column:
     """Text with ``digits`` decimals, as ``f"{x:.<digits>f}"`` gives it.
 

@@ -9,7 +9,8 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagtide.functions.numbers import fixed_point, let
+from tagtide.functions.arrays import let
+from tagtide.functions.numbers import fixed_point
 from tagtide.functions.text import MIN_CONTENT_LENGTH
 
 # The word lists of the simple scorer.
@@ -29,12 +30,21 @@ def score_simple(
 
     A word counts once and anywhere inside another word: "badge" holds "bad".
     """
-    low = F.lower(F.coalesce(text, F.lit("")))
+    p, n = word_hits(F.lower(F.coalesce(text, F.lit(""))), pos, neg)
+    return balance(p, n)
+
+
+def word_hits(low: Column, pos: Sequence[str] = POSITIVE_WORDS, neg: Sequence[str] = NEGATIVE_WORDS) -> tuple[Column, Column]:
+    """How many of the listed words a text in lower case contains."""
 
     def hits(words: Sequence[str]) -> Column:
         return reduce(add, [F.contains(low, F.lit(w)).cast("int") for w in words])
 
-    p, n = hits(pos), hits(neg)
+    return hits(pos), hits(neg)
+
+
+def balance(p: Column, n: Column) -> Column:
+    """``(p - n) / (p + n)``, 0 if both are 0."""
     return F.coalesce(F.try_divide(p - n, p + n), F.lit(0.0))
 
 
@@ -98,53 +108,37 @@ def reason_text(recent: Column, average: Column) -> Column:
 
 def scored_sentences(sentences: Column, scorer=score_simple) -> Column:
     """``array<struct<text, low, score>>`` for an array of sentences."""
+
+    def rate(low: Column) -> Column:
+        if scorer is not score_simple:
+            return scorer(low)
+        # Inside a lambda Spark does not share equal parts of an expression.
+        p, n = word_hits(low)
+        return let(F.struct(p.alias("p"), n.alias("n")), lambda x: balance(x["p"], x["n"]))
+
     return F.transform(
         sentences,
         lambda s: let(
             F.struct(s.alias("text"), F.lower(s).alias("low")),
-            lambda x: F.struct(x["text"].alias("text"), x["low"].alias("low"), scorer(x["low"]).alias("score")),
+            lambda x: F.struct(x["text"].alias("text"), x["low"].alias("low"), rate(x["low"]).alias("score")),
         ),
     )
 
 
-def mean_where(sentences: Column, needle: Column) -> Column:
-    """Mean score of the scored sentences that contain ``needle``; NULL if none does."""
-    hits = F.filter(sentences, lambda s: F.contains(s["low"], needle))
+def mean_score(sentences: Column, hits: Column) -> Column:
+    """Mean score of the sentences with the given positions; NULL if there is none."""
     zero = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"))
     return F.aggregate(
         hits,
         zero,
-        lambda acc, s: F.struct((acc["total"] + s["score"]).alias("total"), (acc["n"] + 1).alias("n")),
+        lambda acc, i: F.struct(
+            (acc["total"] + F.get(sentences, i)["score"]).alias("total"), (acc["n"] + 1).alias("n")
+        ),
         lambda acc: F.try_divide(acc["total"], acc["n"]),
     )
 
 
-def aspect_map(sentences: Column, phrases: Column, tags: Column) -> Column:
-    """``map<string, float>`` from aspect to the mean score of its sentences.
-
-    Phrases first; a tag written in the text is added under its own name unless a
-    phrase has it, scored on the sentences that hold ``#tag``. Works on one row, so
-    it needs no shuffle and streams as it is.
-    """
-    def rated(names: Column, sent: Column, prefix: str) -> Column:
-        return F.filter(
-            F.transform(
-                names,
-                lambda a: F.struct(
-                    a.alias("aspect"),
-                    mean_where(sent, F.concat(F.lit(prefix), a) if prefix else a).cast("float").alias("sentiment"),
-                ),
-            ),
-            lambda e: e["sentiment"].isNotNull(),
-        )
-
-    def combine(sent: Column) -> Column:
-        return let(
-            rated(F.array_distinct(phrases), sent, ""),
-            lambda found: F.concat(
-                found,
-                rated(F.array_except(tags, F.transform(found, lambda e: e["aspect"])), sent, "#"),
-            ),
-        )
-
-    return F.map_from_entries(let(sentences, combine))
+def positions(sentences: Column, needle: Column) -> Column:
+    """Positions of the scored sentences that contain ``needle``."""
+    found = F.transform(sentences, lambda s, i: F.when(F.contains(s["low"], needle), i))
+    return F.filter(found, lambda i: i.isNotNull())

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagtide.functions.numbers import let
+from tagtide.functions.arrays import let
 
 # Patterns and bounds that decide the results.
 TAG_PATTERN = r"<[^>]+>"

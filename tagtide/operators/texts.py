@@ -12,10 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagtide.functions.numbers import let, round_binary
+from tagtide.functions.arrays import let, unnest
+from tagtide.functions.numbers import round_binary
 from tagtide.functions.sentiment import (
-    aspect_map,
-    mean_where,
+    mean_score,
+    positions,
     score_simple,
     scored_sentences,
     sentiment_category5,
@@ -40,6 +41,7 @@ from tagtide.functions.text import (
     tokens,
 )
 from tagtide.functions.times import AsOf, moment
+from tagtide.operators.matching import with_hits
 from tagtide.operators.skew import is_small, lookup, spread_join
 
 # The rule of the lexicon scorer, and the kinds of entities that count.
@@ -56,7 +58,7 @@ TOPIC = "TOPIC"
 def sentence_rows(posts: DataFrame, variant: str = "punctuation") -> DataFrame:
     """``post_id, pos, sentence`` of the cleaned contents."""
     clean = posts.select("post_id", clean_html(F.col("content")).alias("clean"))
-    return clean.select("post_id", F.posexplode(split_sentences(F.col("clean"), variant)).alias("pos", "sentence"))
+    return unnest(clean, ["post_id"], split_sentences(F.col("clean"), variant), "sentence", pos="pos")
 
 
 def sentence_scores(
@@ -87,7 +89,7 @@ def lexicon_scores(rows: DataFrame, keys: Sequence[str], text: str, lexicon: Dat
     small = is_small(lexicon, "word")
     rated = lexicon.filter("polarity <> 0 OR subjectivity <> 0").select("word", "polarity", "subjectivity")
     scaling = lexicon.filter("intensity <> 1").select(F.col("word").alias("before"), "intensity")
-    spoken = rows.select(*keys, F.explode(let(tokens(F.col(text)), pairs)).alias("t")).select(*keys, "t.*")
+    spoken = unnest(rows, keys, let(tokens(F.col(text)), pairs), "t").select(*keys, "t.*")
     where = [*keys, "at"]
     found = lookup(spoken, rated, "word", where, small)
     found = lookup(found, scaling, "before", where, small, "left")
@@ -146,7 +148,7 @@ def scored_posts(
 def phrase_candidates(posts: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
     """``post_id, pos, phrase`` in text order."""
     clean = posts.select("post_id", clean_html(F.col("content")).alias("clean"))
-    return clean.select("post_id", F.posexplode(phrases(F.col("clean"), stopwords)).alias("pos", "phrase"))
+    return unnest(clean, ["post_id"], phrases(F.col("clean"), stopwords), "phrase", pos="pos")
 
 
 def dominant_phrase(candidates: DataFrame) -> DataFrame:
@@ -174,13 +176,47 @@ def aspect_mean(matches: DataFrame) -> DataFrame:
 
 def aspect_sentiments(posts: DataFrame, scorer=score_simple, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
     """``post_id, aspect, sentiment`` for phrases and tags found in each text."""
-    scored = scored_posts(posts, scorer)
-    return scored.select("post_id", F.explode(_aspects_of(stopwords)).alias("aspect", "sentiment"))
+    rated = with_aspect_map(scored_posts(posts, scorer), stopwords)
+    return unnest(rated, ["post_id"], "aspect_sentiments", "aspect", "sentiment")
 
 
-def _aspects_of(stopwords: Sequence[str] = STOPWORDS) -> Column:
+def with_aspect_map(scored: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
+    """Adds ``aspect_sentiments``, a ``map<string, float>`` of mean sentence scores.
+
+    Phrases first; a tag written in the text is added under its own name unless a
+    phrase has it, scored on the sentences that hold ``#tag``. Each row is complete in
+    itself, so there is no shuffle and streams work too.
+    """
     named = F.filter(phrases(F.col("clean"), stopwords), lambda p: length_band(p))
-    return aspect_map(F.col("sentences"), named, inline_hashtags(F.col("clean")))
+    listed = scored.withColumns(
+        {"_phrases": F.array_distinct(named), "_tags": F.array_distinct(inline_hashtags(F.col("clean")))}
+    )
+    listed = listed.withColumn(
+        "_needles", F.concat("_phrases", F.transform("_tags", lambda t: F.concat(F.lit("#"), t)))
+    )
+    matched = with_hits(listed, "_needles", "_hits")
+
+    def entries(names: str, offset: Column, sent: Column, hits: Column) -> Column:
+        rated = F.transform(
+            names,
+            lambda a, i: F.struct(
+                a.alias("aspect"), mean_score(sent, F.get(hits, offset + i)).cast("float").alias("sentiment")
+            ),
+        )
+        return F.filter(rated, lambda e: e["sentiment"].isNotNull())
+
+    def combine(x: Column) -> Column:
+        found = entries("_phrases", F.lit(0), x["s"], x["h"])
+        tagged = entries("_tags", F.size("_phrases"), x["s"], x["h"])
+        return let(
+            F.struct(found.alias("f"), F.transform(found, lambda e: e["aspect"]).alias("names")),
+            lambda y: F.concat(y["f"], F.filter(tagged, lambda e: ~F.array_contains(y["names"], e["aspect"]))),
+        )
+
+    both = F.struct(F.col("sentences").alias("s"), F.col("_hits").alias("h"))
+    return matched.withColumn("aspect_sentiments", F.map_from_entries(let(both, combine))).drop(
+        "_phrases", "_tags", "_needles", "_hits"
+    )
 
 
 def aspect_sentiments_of(
@@ -195,8 +231,8 @@ def aspect_sentiments_of(
     )
     found = aspect_mean(aspect_sentences(named, sentences))
     clean = posts.select("post_id", clean_html(F.col("content")).alias("clean"))
-    tags = clean.select("post_id", F.explode(F.array_distinct(inline_hashtags(F.col("clean")))).alias("tag"))
-    tagged = hashtag_sentences(tags.withColumnRenamed("tag", "hashtag"), sentences, literal=True)
+    tags = unnest(clean, ["post_id"], F.array_distinct(inline_hashtags(F.col("clean"))), "hashtag")
+    tagged = hashtag_sentences(tags, sentences, literal=True)
     tagged = tagged.select("post_id", F.col("hashtag").alias("aspect"), "sentiment")
     new = tagged.join(found.select("post_id", "aspect"), ["post_id", "aspect"], "left_anti")
     return found.unionByName(new)
@@ -269,7 +305,7 @@ def entity_rows(posts: DataFrame, gazetteer: DataFrame, types: Sequence[str] = E
     known = gazetteer.filter(F.col("type").isin(*types)).groupBy("surface").agg(F.min("type").alias("type"))
     longest = known.agg(F.max(F.size(F.split("surface", " ")))).first()[0] or 1
     clean = posts.select("post_id", clean_html(F.col("content")).alias("clean"))
-    runs = clean.select("post_id", F.inline(ngrams(tokens(F.col("clean")), longest)))
+    runs = unnest(clean, ["post_id"], ngrams(tokens(F.col("clean")), longest), "run").select("post_id", "run.*")
     hits = lookup(runs, known, "surface", ["post_id", "pos"], is_small(known, "surface"))
     best = F.max_by(F.struct("surface", "type"), F.col("n"))
     return hits.groupBy("post_id", "pos").agg(best.alias("e")).select("post_id", "pos", "e.surface", "e.type")
@@ -329,7 +365,9 @@ def post_sentiment(
             rated = rated.join(entity_aspects(posts, gazetteer).drop("type"), "post_id")
         rated = rated.withColumn(
             "aspect_score",
-            F.coalesce(let(F.col("sentences"), lambda s: mean_where(s, F.col("aspect"))), F.col("overall")),
+            F.coalesce(
+                let(F.col("sentences"), lambda s: mean_score(s, positions(s, F.col("aspect")))), F.col("overall")
+            ),
         )
     else:
         raise ValueError(f"unknown mode {mode!r}")
@@ -383,41 +421,41 @@ def rich_analysis(
         )
         named = scored.join(listed, "post_id", "left").withColumn("candidates", F.concat(entities, topics))
 
-    def rate(sent: Column) -> Column:
+    tags = F.array_distinct(F.array_compact(F.coalesce("hashtags", F.array().cast("array<string>"))))
+    listed = named.withColumn("tags", tags).withColumn(
+        "needles",
+        F.concat(F.transform("candidates", lambda c: c["aspect"]), F.transform("tags", lambda t: F.lower(t))),
+    )
+    matched = with_hits(listed, "needles")
+
+    def rate(x: Column) -> Column:
         rated = F.transform(
-            F.col("candidates"),
-            lambda c: F.struct(
+            "candidates",
+            lambda c, i: F.struct(
                 c["aspect"].alias("aspect"),
                 c["kind"].alias("aspect_type"),
-                round_binary(mean_where(sent, c["aspect"]), 3).alias("sentiment"),
-                snippet(
-                    F.get(F.filter(sent, lambda s: F.contains(s["low"], c["aspect"])), F.lit(0))["text"], 100
-                ).alias("context"),
+                round_binary(mean_score(x["s"], F.get(x["h"], i)), 3).alias("sentiment"),
+                snippet(F.get(x["s"], F.get(F.get(x["h"], i), F.lit(0)))["text"], 100).alias("context"),
             ),
         )
         return F.filter(rated, lambda a: a["sentiment"].isNotNull())
 
-    def tag_entry(tag: Column, sent: Column, aspects: Column) -> Column:
-        near = F.filter(aspects, lambda a: F.contains(F.lower(a["context"]), F.lower(tag)))
+    def tag_entry(tag: Column, i: Column, x: Column) -> Column:
+        near = F.filter(x["a"], lambda a: F.contains(F.lower(a["context"]), F.lower(tag)))
+        own = mean_score(x["s"], F.get(x["h"], F.size("candidates") + i))
         return F.struct(
             tag.alias("hashtag"),
             F.struct(
-                round_binary(F.coalesce(mean_where(sent, F.lower(tag)), F.col("overall")), 3).alias("sentiment"),
+                round_binary(F.coalesce(own, F.col("overall")), 3).alias("sentiment"),
                 F.slice(F.transform(near, lambda a: a["aspect"]), 1, 3).alias("related_aspects"),
             ).alias("context"),
         )
 
-    tags = F.array_distinct(F.array_compact(F.coalesce("hashtags", F.array().cast("array<string>"))))
-    rated = named.withColumn("aspect_sentiments", let(F.col("sentences"), rate))
-    rated = rated.withColumn(
-        "hashtag_context",
-        F.map_from_entries(
-            let(
-                F.struct(F.col("sentences").alias("s"), F.col("aspect_sentiments").alias("a")),
-                lambda x: F.transform(tags, lambda t: tag_entry(t, x["s"], x["a"])),
-            )
-        ),
-    )
+    parts = F.struct(F.col("sentences").alias("s"), F.col("hits").alias("h"))
+    rated = matched.withColumn("aspect_sentiments", let(parts, rate))
+    parts = F.struct(F.col("sentences").alias("s"), F.col("hits").alias("h"), F.col("aspect_sentiments").alias("a"))
+    contexts = let(parts, lambda x: F.transform("tags", lambda t, i: tag_entry(t, i, x)))
+    rated = rated.withColumn("hashtag_context", F.map_from_entries(contexts))
     by_strength = F.array_sort(
         F.transform(
             F.col("aspect_sentiments"),
@@ -478,13 +516,12 @@ def enrich_aspects(
     df: DataFrame, scorer=score_simple, now: AsOf = None, stopwords: Sequence[str] = STOPWORDS
 ) -> DataFrame:
     """As ``enrich_basic``, with label, aspect map and dominant aspect."""
-    scored = scored_posts(df, scorer)
+    rated = with_aspect_map(scored_posts(df, scorer), stopwords)
     return (
-        scored.withColumn("sentiment", F.col("overall").cast("float"))
+        rated.withColumn("sentiment", F.col("overall").cast("float"))
         .withColumns(
             {
                 "sentiment_category": sentiment_category5(F.col("sentiment")),
-                "aspect_sentiments": _aspects_of(stopwords),
                 "dominant_aspect": dominant(phrases(F.col("clean"), stopwords)),
                 "content_length": F.length("clean").cast("float"),
                 "hashtag_count": hashtag_count(F.col("hashtags")),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtide import schemas
-from tagtide.functions.numbers import let
+from tagtide.functions.arrays import let
 from tagtide.sources.tables import spread_rows
 
 AS_OF = "2024-01-31 00:00:00"

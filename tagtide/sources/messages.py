@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tagtide import schemas
+from tagtide.functions.arrays import unnest
 from tagtide.operators.quality import conform_schema
 
 # Fields a processed message must carry to be shown.
@@ -57,7 +58,7 @@ def normalize_status(statuses: DataFrame) -> DataFrame:
 
 def explode_hashtags(posts: DataFrame) -> DataFrame:
     """One row per tag of a post. Posts with an empty or NULL array vanish."""
-    return posts.withColumn("hashtag", F.explode("hashtags"))
+    return unnest(posts, ["*"], "hashtags", "hashtag")
 
 
 def to_kafka_value(rows: DataFrame) -> DataFrame:

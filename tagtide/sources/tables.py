@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtide import schemas
+from tagtide.functions.arrays import unnest
 from tagtide.functions.numbers import falsy_to_zero
 from tagtide.functions.times import AsOf, moment, parse_iso, since
 
@@ -70,13 +71,15 @@ def aspect_rows(rows: DataFrame) -> DataFrame:
     time = F.col("timestamp")
     if dict(rows.dtypes)["timestamp"] == "string":
         time = parse_iso(time)
-    return rows.select(
+    keep = [
         "user_name",
         "hashtag",
-        F.explode("aspect_sentiments").alias("aspect", "sentiment"),
         F.col("processing_time").cast("timestamp_ntz").alias("processing_time"),
         time.alias("timestamp"),
-    ).withColumn("sentiment", F.col("sentiment").cast("double"))
+    ]
+    found = unnest(rows, keep, "aspect_sentiments", "aspect", "sentiment")
+    found = found.withColumn("sentiment", F.col("sentiment").cast("double"))
+    return found.select(*schemas.ASPECT_SENTIMENTS.fieldNames())
 
 
 def write_batch(rows: DataFrame, batch_id: int, path: str, day: str = "processing_time") -> None:
