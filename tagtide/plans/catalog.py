@@ -182,8 +182,8 @@ def recent_anomalies(spark, sf):
 def append_run(spark, sf):
     path = scratch_path(spark, "runs")
     for day in ("2024-01-30 00:00:00", AS_OF):
-        tables.write_run(learning.predict_trending(fixtures.posts(spark, sf), day, "day", "7 days"), path)
-    return spark.read.parquet(path)
+        tables.write_run(learning.predict_trending(fixtures.posts(spark, sf), day, "day", "7 days"), path, day)
+    return spark.read.parquet(path).drop("run")
 
 
 # Joins and scalar functions over texts

@@ -16,21 +16,22 @@ from tagtide.operators.quality import conform_schema
 PROCESSED_FIELDS = ("user", "content", "hashtag", "timestamp")
 
 
-def read_raw(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options) -> DataFrame:
+def kafka_options(bootstrap: str, topic: str, **options: str) -> dict[str, str]:
+    """Read a topic from its newest offsets on, and go on if data was lost."""
+    return {
+        "kafka.bootstrap.servers": bootstrap,
+        "subscribe": topic,
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+        **options,
+    }
+
+
+def read_raw(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
     """The raw topic as a stream with a ``value`` column.
 
-    For Kafka pass ``bootstrap`` and ``topic``; reading starts at the newest
-    offsets and tolerates lost data. Any other streaming format takes a path.
+    For Kafka pass ``kafka_options``; any other streaming format takes a path.
     """
-    if fmt == "kafka":
-        topic, bootstrap = options.pop("topic"), options.pop("bootstrap")
-        options = {
-            "kafka.bootstrap.servers": bootstrap,
-            "subscribe": topic,
-            "startingOffsets": "latest",
-            "failOnDataLoss": "false",
-            **options,
-        }
     reader = spark.readStream.format(fmt).options(**options)
     return reader.load(path) if path else reader.load()
 

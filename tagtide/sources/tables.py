@@ -165,6 +165,7 @@ def append_run(rows: DataFrame, run_ts: AsOf, column: str = "predicted_at") -> D
     return rows.withColumn(column, moment(run_ts))
 
 
-def write_run(rows: DataFrame, path: str) -> None:
-    """Append the stamped results of one run."""
-    rows.write.mode("append").parquet(path)
+def write_run(rows: DataFrame, path: str, run_ts: AsOf) -> None:
+    """Append the stamped results of one run; a run that is repeated replaces its own."""
+    run = "".join(c if c.isalnum() else "-" for c in str(run_ts))
+    rows.write.mode("overwrite").parquet(f"{path}/run={run}")
