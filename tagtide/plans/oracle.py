@@ -613,6 +613,9 @@ ORACLES["parse_messages"] = (
     " UNION ALL SELECT NULL, NULL, NULL, NULL FROM documents WHERE length(text) % 7 = 0"
 )
 ORACLES["explode_hashtags"] = f"WITH {MESSAGES}, {EXPLODED} SELECT user_name, content, hashtag, timestamp FROM exploded"
+ORACLES["to_processed_json"] = f"WITH {MESSAGES}, {EXPLODED} SELECT '{{' || " + " || ',' || ".join(
+    f"'\"{c}\":' || to_json({c})::VARCHAR" for c in ("user_name", "content", "timestamp", "hashtag")
+) + " || '}' AS value FROM exploded"
 ORACLES["enrich_basic"] = f"WITH {MESSAGES} SELECT user_name, content, timestamp, {BASIC} FROM messages"
 ORACLES["ingest_stream"] = (
     f"WITH {MESSAGES}, {EXPLODED} SELECT user_name, content, hashtag, said AS timestamp, {BASIC} FROM exploded"

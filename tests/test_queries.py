@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, connect
 
-NO_SQL = {"cluster_users", "hashtag_communities", "to_processed_json"}
+NO_SQL = {"cluster_users", "hashtag_communities"}
 
 
 @pytest.fixture(scope="module")
