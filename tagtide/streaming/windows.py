@@ -6,7 +6,6 @@ than the watermark are dropped.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -88,30 +87,29 @@ def start_top_hashtags(
 ) -> StreamingQuery:
     """Write ``window_end, hashtag, count, rank`` for every complete minute to ``path/top``.
 
-    The state holds counts of open minutes only. Each batch joins the minutes it has
-    completed to those of the hour before, which the previous batch left in
-    ``path/hour``, and ranks the windows that end with its own minutes. A batch that
-    runs again reads the same folder and replaces its own.
+    The state holds counts of open minutes only. Each batch writes the minutes it has
+    completed to ``path/minutes``, adds those of the hour before, which the previous
+    batch left in ``path/hour``, and ranks the windows that end with its own minutes. A
+    batch that runs again reads the same folders and replaces its own.
     """
 
+    # Tables are read back in this session, where plans adapt to their sizes.
+    spark = posts.sparkSession
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            hour = batch.limit(0)
-            if batch_id > 0:
-                hour = spark.read.schema(batch.schema).parquet(f"{path}/hour/batch_id={batch_id - 1}")
-            before = hour.agg(F.max("minute_end")).first()[0]
-            start, upto = batch.agg(F.min("minute_end"), F.max("minute_end")).first()
-            minutes = hour.unionByName(batch)
-            left = minutes.filter(F.col("minute_end") > cutoff(upto, "1 hour")) if upto else hour
-            left.write.mode("overwrite").parquet(f"{path}/hour/batch_id={batch_id}")
-            if upto:
-                after = moment(before) if before else cutoff(start, "1 minute")
-                top = rank_hashtags(hashtag_hours(minutes, after, moment(upto)), k)
-                top.write.mode("overwrite").parquet(f"{path}/top/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        batch.write.mode("overwrite").parquet(f"{path}/minutes/batch_id={batch_id}")
+        reader = spark.read.schema("minute_end timestamp_ntz, hashtag string, n bigint")
+        new = reader.parquet(f"{path}/minutes/batch_id={batch_id}")
+        hour = reader.parquet(f"{path}/hour/batch_id={batch_id - 1}") if batch_id > 0 else new.limit(0)
+        before = hour.agg(F.max("minute_end")).first()[0]
+        start, upto = new.agg(F.min("minute_end"), F.max("minute_end")).first()
+        minutes = hour.unionByName(new)
+        left = minutes.filter(F.col("minute_end") > cutoff(upto, "1 hour")) if upto else hour
+        left.write.mode("overwrite").parquet(f"{path}/hour/batch_id={batch_id}")
+        if upto:
+            after = moment(before) if before else cutoff(start, "1 minute")
+            top = rank_hashtags(hashtag_hours(minutes, after, moment(upto)), k)
+            top.write.mode("overwrite").parquet(f"{path}/top/batch_id={batch_id}")
 
     writer = stream_hashtag_minutes(posts, watermark).writeStream.outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint)
