@@ -38,14 +38,20 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[_six(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
 
-def query(fn: Query) -> Query:
+def query(fn: Query, name: str | None = None) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return rounded(fn(configure(spark), sf))
 
-    QUERIES[fn.__name__] = run
+    QUERIES[name or fn.__name__] = run
     return fn
 
 
+def columns_of(fn: Query, keys: list[str], names: dict[str, list[str]]) -> None:
+    """Register parts of a query with several columns, one name per operator."""
+    for name, columns in names.items():
+        query(lambda spark, sf, columns=columns: fn(spark, sf).select(*keys, *columns), name)
+
+
 def on_posts(name: str, op: Callable[..., DataFrame], *args, **kwargs) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return rounded(op(fixtures.posts(configure(spark), sf), *args, **kwargs))
@@ -272,6 +278,30 @@ def scalar_functions(spark, sf):
     )
 
 
+columns_of(
+    sentiment_labels,
+    ["post_id", "hashtag"],
+    {"sentiment_category5": ["category5"], "sentiment_category3": ["category3"], "tone": ["tone"]},
+)
+columns_of(
+    scalar_functions,
+    ["post_id", "hashtag"],
+    {
+        "hashtag_count": ["tags"],
+        "length_band": ["in_band"],
+        "snippet": ["start"],
+        "norm_aspect": ["aspect"],
+        "date_trunc": ["minute", "hour"],
+        "round_n": ["rounded", "rounded_binary", "fixed"],
+        "null_safe_div": ["ratio"],
+        "falsy_to_zero": ["filled"],
+        "abs_z": ["magnitude"],
+        "reason_text": ["reason"],
+        "summary_pronounced": ["summary"],
+    },
+)
+
+
 @query
 def iso_timestamp(spark, sf):
     stated = F.when(F.size("tags") > 0, F.col("created_at")).otherwise(F.lit("not a time"))
@@ -397,6 +427,9 @@ def post_sentiment_struct(spark, sf):
     return texts.post_sentiment(_scored(spark, sf).select("post_id", "content"))
 
 
+columns_of(post_sentiment_struct, ["post_id"], {"summary_text": ["sentiment_summary"]})
+
+
 @query
 def post_sentiment_lexicon(spark, sf):
     found = texts.post_sentiment(
@@ -628,9 +661,7 @@ def degree_centrality(spark, sf):
     return graph.degree_centrality(_edges(spark, sf))
 
 
-@query
-def betweenness_centrality(spark, sf):
-    return betweenness(_edges(spark, sf))
+query(lambda spark, sf: betweenness(_edges(spark, sf)), "betweenness")
 
 
 @query
@@ -648,9 +679,7 @@ def top_central_hashtags(spark, sf):
     return topk.top_central_hashtags(graph.centrality(_edges(spark, sf)))
 
 
-@query
-def hashtag_communities(spark, sf):
-    return communities(_edges(spark, sf))
+query(lambda spark, sf: communities(_edges(spark, sf)), "communities")
 
 
 @query

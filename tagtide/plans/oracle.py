@@ -772,7 +772,7 @@ ORACLES["degree_centrality"] = (
     f"WITH {DAY_EDGES}, {DEGREE} SELECT hashtag, {r('degree_centrality', 'degree_centrality')} FROM degree"
 )
 ORACLES["pagerank"] = f"WITH RECURSIVE {DAY_EDGES}, {PAGERANK} SELECT hashtag, {r('pagerank', 'pagerank')} FROM pagerank"
-ORACLES["betweenness_centrality"] = (
+ORACLES["betweenness"] = (
     f"WITH RECURSIVE {DAY_EDGES}, {BETWEENNESS} SELECT hashtag, {r('betweenness_centrality', 'betweenness_centrality')} FROM betweenness"
 )
 CENTRALITY = f"WITH RECURSIVE {DAY_EDGES}, {DEGREE}, {PAGERANK}, {BETWEENNESS}"
@@ -808,3 +808,29 @@ SELECT window_end, hashtag, count, (row_number() OVER (PARTITION BY window_end O
 FROM counted WHERE window_end <= (SELECT max(minute + INTERVAL 1 MINUTE) FROM minutes WHERE minute + INTERVAL 1 MINUTE
   <= (SELECT max(date_trunc('millisecond', processing_time)) - INTERVAL 10 MINUTE FROM posts)) QUALIFY rank <= 10"""
 )
+
+# Single columns of the queries with several
+
+
+def part(whole: str, keys: str, **columns: str) -> None:
+    for name, listed in columns.items():
+        ORACLES[name] = f"SELECT {keys}, {listed} FROM ({ORACLES[whole]})"
+
+
+part("sentiment_labels", "post_id, hashtag", sentiment_category5="category5", sentiment_category3="category3", tone="tone")
+part(
+    "scalar_functions",
+    "post_id, hashtag",
+    hashtag_count="tags",
+    length_band="in_band",
+    snippet="start",
+    norm_aspect="aspect",
+    date_trunc="minute, hour",
+    round_n="rounded, rounded_binary, fixed",
+    null_safe_div="ratio",
+    falsy_to_zero="filled",
+    abs_z="magnitude",
+    reason_text="reason",
+    summary_pronounced="summary",
+)
+part("post_sentiment_struct", "post_id", summary_text="sentiment_summary")

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, connect
 
-NO_SQL = {"cluster_users", "hashtag_communities"}
+NO_SQL = {"cluster_users", "communities"}
 
 
 @pytest.fixture(scope="module")

@@ -9,15 +9,15 @@ from tagtide.functions import numbers, sentiment, text, times
 from tagtide.operators import texts
 
 POST = """
-    <p>I absolutely love the new iPhone 15! The camera is incredible. 
-    However, Apple's pricing strategy is getting ridiculous. 
-    Tim Cook needs to reconsider. #Apple #iPhone15 #TechReview</p>
-    """
+<p>We all love the new zPad 15! Its display is stunning.
+However, Lumen's repair policy is getting silly.
+Ada Stone should rethink it. #Lumen #zPad15 #GadgetTalk</p>
+"""
 MIXED = "<p>I LOVE this great phone, but the battery is bad</p>"
 
 
 def posts(spark, *contents):
-    rows = [(i, c, ["Apple", "TechReview"]) for i, c in enumerate(contents)]
+    rows = [(i, c, ["Lumen", "GadgetTalk"]) for i, c in enumerate(contents)]
     return spark.createDataFrame(rows, "post_id int, content string, hashtags array<string>")
 
 
@@ -37,7 +37,7 @@ def test_example_post(spark):
     assert row.top_aspect == "however"
     assert row.sentiment_summary == "Positive tone; focused on 'however' (1.00)"
     tags = value(spark, text.inline_hashtags(text.clean_html(F.lit(POST))))
-    assert tags == ["apple", "iphone15", "techreview"]
+    assert tags == ["lumen", "zpad15", "gadgettalk"]
 
 
 def test_mixed_post(spark):
@@ -142,21 +142,21 @@ def test_lexicon_rule(spark):
 
 
 def test_rich_analysis(spark):
-    gazetteer = spark.createDataFrame([("tim cook", "PERSON"), ("iphone 15", "PRODUCT"), ("apple", "ORG")], "surface string, type string")
+    gazetteer = spark.createDataFrame([("ada stone", "PERSON"), ("zpad 15", "PRODUCT"), ("lumen", "ORG")], "surface string, type string")
     some = posts(spark, POST)
     analysis = texts.rich_analysis(some, gazetteer)
     row = one(analysis)
-    # "Apple's" is a word of its own; "apple" is first met in the tag at the end.
+    # "Lumen's" is a word of its own; "lumen" is first met in the tag at the end.
     kinds = [(a.aspect, a.aspect_type) for a in row.aspect_sentiments if a.aspect_type != "TOPIC"]
-    assert kinds == [("iphone 15", "PRODUCT"), ("tim cook", "PERSON"), ("apple", "ORG")]
+    assert kinds == [("zpad 15", "PRODUCT"), ("ada stone", "PERSON"), ("lumen", "ORG")]
     assert row.aspect_sentiments[0].sentiment == 1.0
-    assert row.aspect_sentiments[0].context.strip().startswith("I absolutely love")
-    assert row.dominant_aspects[0].aspect == "iphone 15" and len(row.dominant_aspects) == 3
-    assert row.sentiment_summary == "Positive tone; Most pronounced towards 'iphone 15' (1.00)"
-    assert set(row.hashtag_context) == {"Apple", "TechReview"}
-    assert "apple" in row.hashtag_context["Apple"].related_aspects
+    assert row.aspect_sentiments[0].context.strip().startswith("We all love")
+    assert row.dominant_aspects[0].aspect == "zpad 15" and len(row.dominant_aspects) == 3
+    assert row.sentiment_summary == "Positive tone; Most pronounced towards 'zpad 15' (1.00)"
+    assert set(row.hashtag_context) == {"Lumen", "GadgetTalk"}
+    assert "lumen" in row.hashtag_context["Lumen"].related_aspects
     stored = one(texts.rich_struct(some, analysis))
-    assert (stored.top_aspect, stored.top_aspect_sentiment, stored.overall_sentiment) == ("iphone 15", 1.0, 1.0)
+    assert (stored.top_aspect, stored.top_aspect_sentiment, stored.overall_sentiment) == ("zpad 15", 1.0, 1.0)
     assert one(texts.rich_struct(posts(spark, ""), texts.rich_analysis(posts(spark, "")))).sentiment_summary == "No content"
 
 
