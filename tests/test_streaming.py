@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from tagtide.sources import messages, tables
 from tagtide.streaming import ingest, windows

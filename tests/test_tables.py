@@ -1,6 +1,5 @@
 """Stored tables, retention and checks."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from tagtide import schemas
