@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tagtide.llm import bpe, chats, exact_dedup, mixing, sharding
+from tagtide.llm import bpe, chats, epsilon_grid, exact_dedup, hyperminhash, mixing, quality, sharding
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,9 @@ QUERIES = {
         sharding.op2_sharding,
         bpe.op4_byte_bpe,
         mixing.op5_mixing,
+        quality.op7_quality,
+        epsilon_grid.op8_embedding_dedup,
+        hyperminhash.op9_minhash_dedup,
         chats.op10_chat_formatting,
     )
 }
@@ -18,5 +21,7 @@ QUERIES = {
 ORACLES = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op5_mixing": mixing.OP5_SQL,
+    "op8_embedding_dedup": epsilon_grid.OP8_SQL,
+    "op9_minhash_dedup": hyperminhash.OP9_SQL,
     "op10_chat_formatting": chats.OP10_SQL,
 }
