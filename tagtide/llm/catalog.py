@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tagtide.llm import bpe, chats, epsilon_grid, exact_dedup, hyperminhash, mixing, quality, sharding
+from tagtide.llm import bpe, chats, epsilon_grid, exact_dedup, hyperminhash, language_model, mixing, quality, sharding
 
 QUERIES = {
     f.__name__: f
     for f in (
         exact_dedup.op1_exact_dedup,
         sharding.op2_sharding,
+        language_model.op3_lm_scoring,
         bpe.op4_byte_bpe,
         mixing.op5_mixing,
         quality.op7_quality,
