@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tagtide.llm import bpe, chats, epsilon_grid, exact_dedup, hyperminhash, language_model, mixing, quality, sharding
+from tagtide.llm import bpe, chats, epsilon_grid, exact_dedup, hyperminhash, language_model, mixing, quality, sharding, substring_dedup
 
 QUERIES = {
     f.__name__: f
@@ -12,6 +12,7 @@ QUERIES = {
         language_model.op3_lm_scoring,
         bpe.op4_byte_bpe,
         mixing.op5_mixing,
+        substring_dedup.op6_substring_dedup,
         quality.op7_quality,
         epsilon_grid.op8_embedding_dedup,
         hyperminhash.op9_minhash_dedup,
@@ -22,6 +23,7 @@ QUERIES = {
 ORACLES = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op5_mixing": mixing.OP5_SQL,
+    "op6_substring_dedup": substring_dedup.OP6_SQL,
     "op8_embedding_dedup": epsilon_grid.OP8_SQL,
     "op9_minhash_dedup": hyperminhash.OP9_SQL,
     "op10_chat_formatting": chats.OP10_SQL,
