@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +22,15 @@ BROADCAST_ROWS = 500_000
 BATCH_ROWS, BATCH_BYTES, PIECE_BYTES = 2_000, 8 * 1024 * 1024, 1 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables. Arrow batches of the session are kept small from here on."""
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of the session are bounded in rows and bytes from here on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the input tables."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -159,3 +165,55 @@ def word_count(text):
 def signed(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as Spark's longs, bit by bit."""
     return np.ascontiguousarray(x).view(np.int64)
+
+
+#: Bits of a filter of keys, whatever the number of keys, and of one part of it.
+FILTER_BITS, FILTER_PART = 1 << 27, 1 << 19
+
+
+class KeyFilter:
+    """A Bloom filter of fixed size: it holds every key put in, and may let others pass."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        self.data = data
+
+    @staticmethod
+    def places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mixed, bits = mix64(keys ^ np.uint64(0xA0761D6478BD642F)), np.uint64(FILTER_BITS)
+        return (mixed % bits).astype(np.int64), ((mixed >> np.uint64(32)) * np.uint64(5) % bits).astype(np.int64)
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        """Positions of the keys that the filter lets pass."""
+        one, two = self.places(keys)
+        left = np.flatnonzero((self.data[one >> 3] >> (one & 7).astype(np.uint8)) & 1)
+        at = two[left]
+        return left[((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1) == 1]
+
+
+def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    whole: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for at in KeyFilter.places(batch.column(0).to_numpy().view(np.uint64)):
+            at = np.sort(at)
+            part = at // FILTER_PART
+            for p in np.unique(part):
+                inside = at[np.searchsorted(part, p) : np.searchsorted(part, p, "right")] % FILTER_PART
+                whole.setdefault(int(p), np.zeros(FILTER_PART, bool))[inside] = True
+    for p, bits in whole.items():
+        packed = np.packbits(bits, bitorder="little").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([packed])], ["part", "bits"])
+
+
+def _merge_part(rows: pa.Table) -> pa.Table:
+    data = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in rows["bits"].to_pylist()])
+    return pa.table({"part": rows["part"].slice(0, 1), "bits": pa.array([data.tobytes()], pa.binary())})
+
+
+def key_filter(keys: DataFrame) -> Broadcast:
+    """The bits of a KeyFilter of the only column of ``keys``, put together by Spark, then broadcast."""
+    parts = keys.mapInArrow(_filter_parts, "part int, bits binary")
+    found = parts.groupBy("part").applyInArrow(_merge_part, "part int, bits binary").toArrow()
+    data = np.zeros(FILTER_BITS // 8, np.uint8)
+    for part, bits in zip(found["part"].to_pylist(), found["bits"].to_pylist()):
+        data[part * FILTER_PART // 8 :][: FILTER_PART // 8] = np.frombuffer(bits, np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(data)

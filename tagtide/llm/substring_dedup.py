@@ -23,12 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import WordHasher, beside, mix64, parts_for, pieces, signed, stored, table, utf8
+from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, parts_for, pieces, signed, stored, table, utf8
 
 #: Words of a window and of an anchor, segments of a shard, distinct segments of an anchor from
-#: which on its windows go to shards one by one, bits of the fixed filter of anchors.
-WINDOW, ANCHOR, SHARD_SEGMENTS, HOT_SEGMENTS, FILTER_BITS = 13, 5, 8_000, 4_000, 1 << 27
-FILTER_PART = 1 << 19
+#: which on its windows go to shards one by one.
+WINDOW, ANCHOR, SHARD_SEGMENTS, HOT_SEGMENTS = 13, 5, 8_000, 4_000
 
 
 class WaveletMatrix:
@@ -201,52 +200,14 @@ def anchor_rows(window: int, anchor: int):
     return run
 
 
-def _places(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mixed = mix64(value ^ np.uint64(0xA0761D6478BD642F))
-    return (mixed % np.uint64(FILTER_BITS)).astype(np.int64), ((mixed >> np.uint64(32)) * np.uint64(5) % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``value`` to the parts of the anchor filter that are not empty."""
-    whole: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for at in _places(batch.column("value").to_numpy().view(np.uint64)):
-            at = np.sort(at)
-            part = at // FILTER_PART
-            for p in np.unique(part):
-                inside = at[np.searchsorted(part, p) : np.searchsorted(part, p, "right")] % FILTER_PART
-                bits = whole.setdefault(int(p), np.zeros(FILTER_PART, bool))
-                bits[inside] = True
-    for p, bits in whole.items():
-        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()])], ["part", "bits"])
-
-
-def merge_part(rows: pa.Table) -> pa.Table:
-    data = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in rows["bits"].to_pylist()])
-    return pa.table({"part": rows["part"].slice(0, 1), "bits": pa.array([data.tobytes()], pa.binary())})
-
-
-class Shared:
-    """The filter of anchors that occur in two documents: of fixed size, so it may let others pass."""
-
-    def __init__(self, data: np.ndarray) -> None:
-        self.data = data
-
-    def __call__(self, value: np.ndarray) -> np.ndarray:
-        one, two = _places(value)
-        left = np.flatnonzero((self.data[one >> 3] >> (one & 7).astype(np.uint8)) & 1)
-        at = two[left]
-        return left[((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1) == 1]
-
-
 def segment_rows(window: int, anchor: int, shared, with_words: bool):
     """``doc_id, text`` to the segments at shared anchors: their words, or where they stand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, may_matter = Anchors(window, anchor), Shared(shared.value)
+        a, known = Anchors(window, anchor), KeyFilter(shared.value)
         for batch in pieces(batches, "text"):
             a.of(batch.column("text"))
-            used = may_matter(a.value)
+            used = known.may_hold(a.value)
             ids = batch.column("doc_id").to_numpy()[a.owner[used]]
             keys = [pa.array(signed(a.value[used])), pa.array(signed(a.segment_keys()[used])), pa.array(ids)]
             if with_words:
@@ -281,16 +242,10 @@ def search_shard(window: int):
     return run
 
 
-def shared_anchors(texts: DataFrame, window: int, anchor: int):
-    """The fixed-size filter of the anchors that occur in two documents, broadcast."""
+def shared_anchors(texts: DataFrame, window: int, anchor: int) -> DataFrame:
+    """``value`` of the anchors that occur in two documents."""
     seen = texts.mapInArrow(anchor_rows(window, anchor), "value long, low long, high long")
-    both = seen.groupBy("value").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("value")
-    parts = both.mapInArrow(filter_parts, "part int, bits binary")
-    found = parts.groupBy("part").applyInArrow(merge_part, "part int, bits binary").toArrow()
-    data = np.zeros(FILTER_BITS // 8, np.uint8)
-    for part, bits in zip(found["part"].to_pylist(), found["bits"].to_pylist()):
-        data[part * FILTER_PART // 8 :][: FILTER_PART // 8] = np.frombuffer(bits, np.uint8)
-    return texts.sparkSession.sparkContext.broadcast(data)
+    return seen.groupBy("value").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("value")
 
 
 def repeated_windows(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -298,7 +253,8 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHO
 
     ``texts`` has ``doc_id, text`` without nulls.
     """
-    shared = shared_anchors(texts, window, anchor)
+    # The filter has a fixed size; what it lets pass beyond the shared anchors costs time only.
+    shared = key_filter(shared_anchors(texts, window, anchor))
     rows = texts.mapInArrow(segment_rows(window, anchor, shared, True), "value long, k long, doc_id long, words string")
     segments = rows.groupBy("value", "k", "words").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     segments = stored(segments)
