@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tagtide.llm.common import PIECE_BYTES, table
 
 #: Bytes of a leaf, parts kept in a worker's cache, and bytes of the parts that are worth keeping.
-LEAF_BYTES, CACHE_PARTS, CACHE_BYTES = 64, 300_000, 64
+LEAF_BYTES, CACHE_PARTS, CACHE_BYTES = 64, 600_000, 64
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,28 +40,33 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         import regex
 
-        self.ranks = ranks
+        self.ranks, self.never = ranks, len(ranks) + max(ranks.values(), default=0)
+        self.single = [bytes([x]) for x in range(256)]
+        self.double = [ranks.get(bytes([x, y]), self.never) for x in range(256) for y in range(256)]
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.names = {rank: str(rank) for rank in self.bytes_of}
         self.parts = regex.compile(pattern).findall
-        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.known: dict[str, tuple[str, list[int], bytes]] = {}
         self.settled: dict[tuple[int, int], bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Plain BPE: the adjacent pair of the lowest rank is merged, the leftmost first."""
-        ranks = self.ranks
-        tokens = [data[i : i + 1] for i in range(len(data))]
-        pairs = [ranks.get(a + b) for a, b in zip(tokens, tokens[1:])]
-        while True:
-            best = min((r for r in pairs if r is not None), default=None)
-            if best is None:
-                return [ranks[t] for t in tokens]
+        rank_of, never, single, double = self.ranks.get, self.never, self.single, self.double
+        tokens = [single[x] for x in data]
+        pairs = [double[x << 8 | y] for x, y in zip(data, data[1:])]
+        while pairs:
+            best = min(pairs)
+            if best == never:
+                break
             i = pairs.index(best)
-            tokens[i : i + 2] = [tokens[i] + tokens[i + 1]]
-            del pairs[i]
+            token = tokens[i] + tokens[i + 1]
+            tokens[i] = token
+            del tokens[i + 1], pairs[i]
             if i < len(pairs):
-                pairs[i] = ranks.get(tokens[i] + tokens[i + 1])
+                pairs[i] = rank_of(token + tokens[i + 1], never)
             if i:
-                pairs[i - 1] = ranks.get(tokens[i - 1] + tokens[i])
+                pairs[i - 1] = rank_of(tokens[i - 1] + token, never)
+        return [self.ranks[t] for t in tokens]
 
     def is_settled(self, left: int, right: int) -> bool:
         """True if no merge can cross the seam between these two tokens."""
@@ -111,16 +116,22 @@ class Coder:
             start = at
         yield text[start:]
 
+    def entries(self, text: str) -> Iterator[list[tuple[str, list[int], bytes]]]:
+        """Names, ids and decoded bytes of the parts of the text, a list for each piece of it."""
+        known, look_up = self.known.get, self._look_up
+        for piece in self.cuts(text):
+            yield [known(part) or look_up(part) for part in self.parts(piece)]
+
     def encode(self, text: str) -> list[int]:
-        return [i for piece in self.cuts(text) for part in self.parts(piece) for i in self.part(part)]
+        return [i for parts in self.entries(text) for _, ids, _ in parts for i in ids]
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of the tokens, one after the other."""
         return b"".join([self.bytes_of[i] for i in ids])
 
-    def _look_up(self, part: str) -> tuple[str, int, bytes]:
+    def _look_up(self, part: str) -> tuple[str, list[int], bytes]:
         ids = self.part(part)
-        entry = (",".join(map(str, ids)), len(ids), self.decode(ids))
+        entry = (",".join([self.names[i] for i in ids]), ids, self.decode(ids))
         if len(part) <= CACHE_BYTES:
             if len(self.known) >= CACHE_PARTS:
                 self.known.clear()
@@ -129,21 +140,22 @@ class Coder:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, digest of the ids joined by commas, and digest of the decoded bytes."""
-        ids, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
-        known, look_up = self.known.get, self._look_up
-        for piece in self.cuts(text):
-            entries = [known(part) or look_up(part) for part in self.parts(piece)]
-            if entries:
-                names, counts, data = zip(*entries)
-                ids.update(((b"," if n else b"") + ",".join(names).encode()))
+        names, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
+        for parts in self.entries(text):
+            if parts:
+                text_ids, ids, data = zip(*parts)
+                names.update((("," if n else "") + ",".join(text_ids)).encode())
                 decoded.update(b"".join(data))
-                n += sum(counts)
-        return n, ids.hexdigest(), decoded.hexdigest()
+                n += sum(map(len, ids))
+        return n, names.hexdigest(), decoded.hexdigest()
 
 
 def _coder(spark: SparkSession, path: str, pattern: str):
-    """A vocabulary is read by the driver and broadcast: its size is fixed, whatever the corpus."""
-    return spark.sparkContext.broadcast((load_ranks(path), pattern))
+    """A vocabulary is read by the driver and broadcast: its size is fixed, whatever the corpus.
+
+    A worker keeps its coder beside it, so that the parts it knows serve its next task too.
+    """
+    return spark.sparkContext.broadcast({"vocabulary": (load_ranks(path), pattern)})
 
 
 def _mapped(docs: DataFrame, column: str, path: str, pattern: str, work, fields: list[tuple[str, pa.DataType]], schema: str):
@@ -153,7 +165,9 @@ def _mapped(docs: DataFrame, column: str, path: str, pattern: str, work, fields:
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns if c not in names]).alias("row"), docs[column].alias("in"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(*shared.value)
+        held = shared.value
+        coder = held.setdefault("coder", None) or Coder(*held["vocabulary"])
+        held["coder"] = coder
         for batch in batches:
             made = [work(coder, value) for value in batch.column(1).to_pylist()]
             columns = [pa.array([m[i] for m in made], kind) for i, (_, kind) in enumerate(fields)]
@@ -184,6 +198,23 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return _mapped(texts, "_text", path, pattern, work, fields, schema).select("doc_id", *[n for n, _ in fields])
 
 
+def encode_with_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``docs`` with ``n_tokens``, ``token_ids`` and the digests of the ids and of the bytes they decode to."""
+
+    def work(coder: Coder, value: str | None) -> tuple:
+        ids, decoded = [], hashlib.sha256()
+        names = hashlib.sha256()
+        for parts in coder.entries(value or ""):
+            if parts:
+                names.update((("," if ids else "") + ",".join([p[0] for p in parts])).encode())
+                decoded.update(b"".join([p[2] for p in parts]))
+                ids += [i for p in parts for i in p[1]]
+        return len(ids), ids, names.hexdigest(), decoded.hexdigest()
+
+    fields = [("n_tokens", pa.int64()), ("token_ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    return _mapped(docs, "text", path, pattern, work, fields, "n_tokens long, token_ids array<int>, ids_sha256 string, decoded_sha256 string")
+
+
 def vocabulary() -> tuple[str, str]:
     """Path and pattern of the vocabulary that the registered queries use."""
     import public_tokenizers
