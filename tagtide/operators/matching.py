@@ -1,61 +1,51 @@
-"""Which sentences of a post contain which words.
-
-Looking for each of many phrases in each sentence costs phrases times text length. For
-the usual short post that is the cheapest way, and an expression. For a long text it
-grows with the square of its length; those rows alone go through an Arrow-batched
-helper that finds all phrases in one pass over the text (Aho and Corasick 1975).
-Both give the same positions.
-"""
+"""Which sentences of a post contain which words."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
 
 from tagtide.functions.arrays import let
-from tagtide.functions.sentiment import positions
-
-# Measured: from about this many characters on, the one-pass helper is faster.
-LONG_TEXT = 2_000
-
-
-def find_all(texts, needles) -> list[list[int]]:
-    """For each needle the positions of the texts that contain it, in order."""
-    hits = {needle: [] for needle in needles}
-    words = [needle for needle in hits if needle]
-    if words:
-        import ahocorasick
-
-        search = ahocorasick.Automaton()
-        for word in words:
-            search.add_word(word, word)
-        search.make_automaton()
-        for i, text in enumerate(texts):
-            for word in {found for _, found in search.iter(text)}:
-                hits[word].append(i)
-    if "" in hits:
-        hits[""] = list(range(len(texts)))
-    return [hits[needle] for needle in needles]
-
-
-def _long_hits(texts: Column, needles: Column) -> Column:
-    def run(texts: pd.Series, needles: pd.Series) -> pd.Series:
-        return pd.Series(
-            [None if t is None or n is None else find_all(t, n) for t, n in zip(texts, needles)], dtype=object
+
+# A text is looked through in runs of about as many sentences as there are runs, of these at least.
+RUN = 8
+
+
+def _runs(sentences: Column) -> Column:
+    """Runs of neighbouring sentences: where each starts, and its text in lower case."""
+    size = F.size(sentences)
+    length = F.greatest(F.lit(RUN), F.ceil(F.sqrt(size)).cast("int"))
+
+    def cut(length: Column) -> Column:
+        starts = F.when(size > 0, F.sequence(F.lit(0), size - 1, length)).otherwise(F.array().cast("array<int>"))
+        return F.transform(
+            starts,
+            lambda start: F.struct(
+                start.alias("start"),
+                length.alias("length"),
+                F.array_join(F.transform(F.slice(sentences, start + 1, length), lambda s: s["low"]), "\x01").alias("low"),
+            ),
         )
 
-    return F.pandas_udf(run, ArrayType(ArrayType(IntegerType())))(texts, needles)
+    return let(length, cut)
 
 
 def with_hits(posts: DataFrame, needles: str, name: str = "hits") -> DataFrame:
-    """Adds, for each element of the array column ``needles``, its sentence positions.
+    """Adds, for each element of the array column ``needles``, the positions of the sentences that contain it.
 
-    ``posts`` comes from ``scored_posts``; the needles are in lower case.
+    ``posts`` comes from ``scored_posts``; the needles are in lower case. A needle is looked
+    for in runs of sentences first and in single sentences only where a run contains it: a
+    text of n sentences costs about the root of n for each needle that is rare in it. Every
+    length of text goes the same way, row by row, so streams can use it too.
     """
-    long = F.length("clean") > LONG_TEXT
-    low = F.transform("sentences", lambda s: s["low"])
-    short = let(F.col("sentences"), lambda s: F.transform(needles, lambda n: positions(s, n)))
-    long_hits = _long_hits(F.when(long, low), F.when(long, F.col(needles)))
-    return posts.withColumn(name, F.when(long, long_hits).otherwise(short))
+
+    def found(needle: Column, x: Column) -> Column:
+        def inside(run: Column) -> Column:
+            part = F.slice(x["sentences"], run["start"] + 1, run["length"])
+            at = F.transform(part, lambda s, i: F.when(F.contains(s["low"], needle), run["start"] + i))
+            return F.filter(at, lambda i: i.isNotNull())
+
+        return F.flatten(F.transform(F.filter(x["runs"], lambda r: F.contains(r["low"], needle)), inside))
+
+    parts = F.struct(F.col("sentences"), let(F.col("sentences"), _runs).alias("runs"))
+    return posts.withColumn(name, let(parts, lambda x: F.transform(needles, lambda n: found(n, x))))

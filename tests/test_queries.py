@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from tagtide.plans.catalog import QUERIES
+from tagtide.plans.oracle import ORACLES
 
 NO_SQL = {"cluster_users", "communities"}
 
@@ -14,13 +16,13 @@ def con(sf):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_SQL
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == NO_SQL
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, sf, con, name):
-    assert compare(con, entry.oracle_sql()[name], entry.queries()[name](spark, sf)) is None
+    assert compare(con, ORACLES[name], QUERIES[name](spark, sf)) is None
 
 
 def test_entry(spark):

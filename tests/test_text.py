@@ -167,25 +167,15 @@ def test_first_entity_wins_over_phrase(spark):
     assert got == {0: ("new york city", "GPE"), 1: ("quiet morning walk", "TOPIC"), 2: (None, None)}
 
 
-def test_positions_of_both_ways():
-    from tagtide.operators.matching import find_all
+@pytest.mark.parametrize("run", [1, 3, 8])
+def test_positions_of_needles(spark, monkeypatch, run):
+    from tagtide.operators import matching
 
+    monkeypatch.setattr(matching, "RUN", run)
     rng = random.Random(4)
-    texts_ = ["".join(rng.choice("ab #") for _ in range(30)) for _ in range(40)]
     needles = ["ab", "b a", "#a", "abab", "zz", "ab", ""]
-    assert find_all(texts_, needles) == [[i for i, t in enumerate(texts_) if n in t] for n in needles]
-    assert find_all([], ["a"]) == [[]]
-
-
-@pytest.mark.parametrize("job", [texts.aspect_sentiments, texts.rich_analysis])
-def test_long_and_short_texts_agree(spark, sf, monkeypatch, job):
-    from tagtide.operators import matching
-    from tagtide.sources import fixtures
-
-    def rows(limit):
-        monkeypatch.setattr(matching, "LONG_TEXT", limit)
-        found = job(fixtures.text_posts(spark, sf))
-        return sorted(r[0] for r in found.select(F.to_json(F.struct("*"))).collect())
-
-    short = rows(10**9)
-    assert short == rows(0) and len(short) > 100
+    texts_ = [["".join(rng.choice("ab #") for _ in range(30)) for _ in range(n)] for n in (0, 1, 2, 7, 8, 9, 40, 130)]
+    rows = [(i, [(t,) for t in ts], needles) for i, ts in enumerate(texts_)]
+    frame = spark.createDataFrame(rows, "id int, sentences array<struct<low: string>>, needles array<string>")
+    got = {r.id: r.hits for r in matching.with_hits(frame, "needles").collect()}
+    assert got == {i: [[k for k, t in enumerate(ts) if n in t] for n in needles] for i, ts in enumerate(texts_)}
