@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tagtide.llm.common import beside, stored, table, word_count
 
-WEIGHTS, SHARE, EPOCHS, BLOCK_ROWS, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, 20_000, "mix"
+WEIGHTS, SHARE, EPOCHS, BLOCK_ROWS, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, 2_000, "mix"
 
 
 def text_weight(length: Column, words: Column) -> Column:
