@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tagtide.functions.times import AsOf, cutoff
 from tagtide.operators.metrics import aspect_stats, hashtag_stats
-from tagtide.sources.tables import replace_snapshot
+from tagtide.schemas import POSTS
+from tagtide.session import delete_folder, folders
+from tagtide.sources.tables import read_table, replace_snapshot, rewrite_day
 
 # The tables with a retention time, and the column it looks at.
 TIME_COLUMNS = {
@@ -39,6 +42,28 @@ def cleanup(
     return kept, reduce(DataFrame.unionByName, removed)
 
 
+def delete_old_days(
+    spark: SparkSession, path: str, as_of: AsOf, days_to_keep: int, schema: StructType = POSTS, column: str = "processing_time"
+) -> list[str]:
+    """Delete what is older than ``days_to_keep`` from a table that was written batch by batch.
+
+    Days that end before the edge go as folders, without reading them; the day that holds the
+    edge is written again without its old rows. Rows without a time stay. Returns the days
+    that are gone.
+    """
+    edge = spark.range(1).select(cutoff(as_of, f"{days_to_keep} days").alias("edge")).first().edge
+    days = [name.removeprefix("dt=") for name in folders(spark, path) if name.startswith("dt=")]
+    gone = sorted(d for d in days if d < str(edge.date()) and d[:1].isdigit())
+    for day in gone:
+        delete_folder(spark, f"{path}/dt={day}")
+    day = str(edge.date())
+    if day in days:
+        rows = read_table(spark, path, schema).filter(F.col("dt") == F.lit(day).cast("date"))
+        if not rows.filter(F.col(column) < F.lit(edge)).isEmpty():
+            rewrite_day(rows.filter(F.col(column) >= F.lit(edge)), path, day)
+    return gone
+
+
 def refresh_views(posts: DataFrame, aspects: DataFrame, out: str) -> None:
     """Compute both statistics tables anew and store them as snapshots."""
     replace_snapshot(hashtag_stats(posts), f"{out}/hashtag_stats")

@@ -558,7 +558,7 @@ def write_posts(spark, sf):
 def write_aspects(spark, sf):
     path = scratch_path(spark, "aspects")
     tables.write_aspects(ingesting.ingest(fixtures.raw_values(spark, sf), "aspects", now=AS_OF), 0, path)
-    stored = tables.read_table(spark, path)
+    stored = tables.read_table(spark, path, schemas.ASPECT_SENTIMENTS)
     return stored.groupBy("aspect").agg(F.count(F.lit(1)).alias("n"), F.avg("sentiment").alias("avg_sentiment"))
 
 
@@ -713,7 +713,7 @@ def dual_sink(spark, sf):
     ]
     ingesting.start_ingest(rows, sinks, checkpoint, NOW).awaitTermination()
     posts = tables.read_table(spark, f"{base}/posts").select("user_name", F.lit("posts").alias("sink"))
-    found = tables.read_table(spark, f"{base}/aspects").select("user_name", F.lit("aspects").alias("sink"))
+    found = tables.read_table(spark, f"{base}/aspects", schemas.ASPECT_SENTIMENTS).select("user_name", F.lit("aspects").alias("sink"))
     sent = spark.read.text(f"{base}/processed").select(
         F.get_json_object("value", "$.user_name").alias("user_name"), F.lit("processed").alias("sink")
     )

@@ -40,12 +40,12 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "tagtid
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session, which every executor can reach.
 
-    A local session without one gets a temporary folder. On a cluster the
-    setting is required: a folder of one machine would be lost with it.
+    ``spark.checkpoint.dir`` is required on a cluster: a folder of one machine would be
+    lost with it. A session whose executors are threads of the driver gets a temporary one.
     """
     folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="tagtide-")
     if spark.sparkContext.getCheckpointDir() is None:
@@ -59,15 +59,35 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written table.
 
     The table survives the loss of executors, and its known size lets Catalyst
-    choose the join of the next round anew.
+    choose the join of the next round anew. ``replaces`` is a table of an earlier round, made
+    here too, that nothing reads any more: it is deleted once the new one is complete.
     """
-    path = scratch_path(df.sparkSession, "table")
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    if replaces is not None and hasattr(replaces, "scratch_path"):
+        delete_folder(spark, replaces.scratch_path)
+    return table
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with all it holds, in whatever file system it is. False if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if it is not there."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(top):
+        return []
+    return [f.getPath().getName() for f in files.listStatus(top) if f.isDirectory()]
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -11,12 +11,22 @@ from pyspark.sql import functions as F
 
 from tagtide import schemas
 from tagtide.functions.arrays import let
-from tagtide.sources.tables import spread_rows
 
 AS_OF = "2024-01-31 00:00:00"
 DOCUMENT_TIME = "2024-01-30 00:00:00"
 
 
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores, if it comes in fewer splits than there are cores.
+
+    For texts in a few test files, where the work per row is heavy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

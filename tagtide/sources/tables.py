@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tagtide import schemas
 from tagtide.functions.arrays import unnest
 from tagtide.functions.numbers import falsy_to_zero
 from tagtide.functions.times import AsOf, moment, parse_iso, since
+from tagtide.session import cut_lineage, delete_folder
 
 # Which features each kind of consumer stores; the others are NULL.
 POST_VARIANTS = {
@@ -28,24 +31,16 @@ POST_VARIANTS = {
     ),
 }
 
+# The columns that every posts table has.
+POST_COLUMNS = ("user_name", "content", "hashtag", "processing_time", "timestamp")
+ROWS_PER_FILE = 5_000_000
+
 
 def posts_since(posts: DataFrame, as_of: AsOf, interval: str) -> DataFrame:
     """The recent part of a posts table."""
     return since(posts, as_of, interval)
 
 
-def spread_rows(df: DataFrame, key: str) -> DataFrame:
-    """``df`` over all cores, if it comes in fewer splits than there are cores.
-
-    For texts in a few files, where the work per row is heavy. Large tables have more
-    splits than cores and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def posts_columns(rows: DataFrame, variant: str = "basic") -> DataFrame:
     """Exploded, enriched rows in the layout of the posts table."""
     if variant == "struct":
@@ -85,14 +80,16 @@ def aspect_rows(rows: DataFrame) -> DataFrame:
 def write_batch(rows: DataFrame, batch_id: int, path: str, day: str = "processing_time") -> None:
     """Append one micro-batch, split by day.
 
-    The batch owns the folder ``batch_id=<id>``, so a batch that is run again
-    after a failure replaces its own rows and never doubles them.
+    The batch owns the folders ``dt=<day>/batch_id=<id>``, so a batch that is run again
+    after a failure replaces its own rows and never doubles them, and a reader of few days lists
+    the folders of these days only.
     """
     (
-        rows.withColumn("dt", F.to_date(day))
+        rows.withColumns({"dt": F.to_date(day), "batch_id": F.lit(batch_id).cast("long")})
         .write.mode("overwrite")
-        .partitionBy("dt")
-        .parquet(f"{path}/batch_id={batch_id}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt", "batch_id")
+        .parquet(path)
     )
 
 
@@ -106,9 +103,34 @@ def write_aspects(rows: DataFrame, batch_id: int, path: str) -> None:
     write_batch(aspect_rows(rows), batch_id, path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table written batch by batch; ``dt`` and ``batch_id`` prune files."""
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType = schemas.POSTS) -> DataFrame:
+    """A table written batch by batch, also one without rows yet; ``dt`` and ``batch_id`` prune files."""
+    whole = StructType([*schema.fields]).add("dt", "date").add("batch_id", "long")
+    return spark.read.schema(whole).parquet(path)
+
+
+def compact_day(spark: SparkSession, path: str, day: str, schema: StructType = schemas.POSTS) -> None:
+    """Bring the files of all batches of a closed day together, as its batch -1.
+
+    The rows are written apart first, then put in place of the day.
+    """
+    rewrite_day(read_table(spark, path, schema).filter(F.col("dt") == F.lit(day).cast("date")), path, day)
+
+
+def rewrite_day(rows: DataFrame, path: str, day: str) -> None:
+    """Put ``rows`` in place of all batches of a day. They may come from that day itself."""
+    spark = rows.sparkSession
+    safe = cut_lineage(rows.drop("dt", "batch_id").coalesce(1 + rows.select("dt").count() // ROWS_PER_FILE))
+    delete_folder(spark, f"{path}/dt={day}")
+    safe.write.parquet(f"{path}/dt={day}/batch_id=-1")
+    delete_folder(spark, safe.scratch_path)
+
+
+def jdbc_columns(rows: DataFrame, variant: str = "basic") -> DataFrame:
+    """Exploded, enriched rows in the columns that the variant's own table has."""
+    features = POST_VARIANTS[variant]
+    names = [n for n in schemas.POSTS.fieldNames() if n in POST_COLUMNS or n in features]
+    return posts_columns(rows, variant).select(*names)
 
 
 def write_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
@@ -117,10 +139,17 @@ def write_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str]
     flat.write.format("jdbc").mode("append").options(url=url, dbtable=table, **(properties or {})).save()
 
 
+def last_by_key(updates: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """One row per key: the one with the largest ``order``."""
+    newest = Window.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last())
+    return updates.withColumn("_at", F.row_number().over(newest)).filter("_at = 1").drop("_at")
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], now: AsOf) -> DataFrame:
     """``target`` with the rows of ``updates`` replaced or added by key.
 
-    Changed and new rows get ``updated_at = now``; the other rows keep theirs.
+    Changed and new rows get ``updated_at = now``; the other rows keep theirs. ``updates`` has
+    one row per key.
     """
     stamped = updates.withColumn("updated_at", moment(now))
     kept = target.join(updates.select(*keys), list(keys), "left_anti")
@@ -131,30 +160,55 @@ def replace_snapshot(rows: DataFrame, path: str) -> int:
     """Write ``rows`` as the next full version of a snapshot table.
 
     Readers see the old version until the new one is complete, and a job may read
-    the snapshot it replaces. Returns the version number.
+    the snapshot it replaces. What an unfinished version left is overwritten. The version before
+    the last one is deleted. Returns the version number.
     """
-    version = (latest_version(rows.sparkSession, path) or 0) + 1
-    rows.write.mode("overwrite").parquet(f"{path}/version={version}")
+    spark = rows.sparkSession
+    version = (latest_version(spark, path) or 0) + 1
+    data = f"{path}/data/version={version}"
+    rows.write.mode("overwrite").parquet(data)
+    # The schema is kept with the commit, as a version without rows has none of its own.
+    commit = spark.createDataFrame([(version, rows.schema.json())], "version int, schema string")
+    commit.write.mode("overwrite").parquet(f"{path}/commits/number={version}")
+    delete_folder(spark, f"{path}/data/version={version - 2}")
     return version
 
 
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest complete version, None before the first."""
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        versions = spark.read.parquet(path)
-    except AnalysisException:
+        return spark.read.schema("version int, schema string").parquet(f"{path}/commits")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return versions.agg(F.max("version")).first()[0]
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest complete version, None before the first."""
+    commits = _commits(spark, path)
+    return None if commits is None else commits.agg(F.max("version")).first()[0]
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a snapshot table."""
-    return spark.read.parquet(f"{path}/version={latest_version(spark, path)}")
+    """The newest complete version of a snapshot table."""
+    version = latest_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no complete version of {path}")
+    schema = _commits(spark, path).filter(F.col("version") == version).first().schema
+    return spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{path}/data/version={version}")
+
 
+def upsert_snapshot(updates: DataFrame, path: str, keys: Sequence[str], now: AsOf, order: str | None = None) -> int:
+    """Upsert into the snapshot table at ``path``.
 
-def upsert_snapshot(updates: DataFrame, path: str, keys: Sequence[str], now: AsOf) -> int:
-    """Upsert into the snapshot table at ``path``."""
+    Where ``updates`` repeats a key, the row with the largest ``order`` counts; without an order
+    a repeated key is an error.
+    """
     spark = updates.sparkSession
+    if order:
+        updates = last_by_key(updates, keys, order)
+    elif not updates.groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"updates of {path} repeat a key of {list(keys)}; name the column that orders them")
     if latest_version(spark, path) is None:
         return replace_snapshot(updates.withColumn("updated_at", moment(now)), path)
     return replace_snapshot(upsert(read_snapshot(spark, path), updates, keys, now), path)

@@ -16,7 +16,7 @@ from tagtide.functions.sentiment import score_simple
 from tagtide.functions.times import AsOf
 from tagtide.operators.texts import enrich_aspects, enrich_basic, enrich_struct
 from tagtide.sources.messages import explode_hashtags, parse_legacy_messages, parse_messages, to_kafka_value
-from tagtide.sources.tables import write_aspects, write_jdbc, write_posts
+from tagtide.sources.tables import jdbc_columns, write_aspects, write_jdbc, write_posts
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -65,7 +65,10 @@ def processed_sink(path: str) -> Sink:
 
 
 def kafka_sink(bootstrap: str, topic: str, **options: str) -> Sink:
-    """The processed messages to a Kafka topic."""
+    """The processed messages to a Kafka topic.
+
+    Appends: a batch that runs again is sent again (at least once). Put this sink last.
+    """
 
     def write(rows: DataFrame, batch_id: int) -> None:
         settings = {"kafka.bootstrap.servers": bootstrap, "topic": topic, **options}
@@ -75,10 +78,11 @@ def kafka_sink(bootstrap: str, topic: str, **options: str) -> Sink:
 
 
 def jdbc_sink(url: str, table: str, properties: dict[str, str], variant: str = "basic") -> Sink:
-    """Rows of the posts table to a database."""
-    from tagtide.sources.tables import posts_columns
+    """Rows of the posts table to a database, in the columns that the variant's table has.
 
-    return lambda rows, batch_id: write_jdbc(posts_columns(rows, variant), url, table, properties)
+    Appends: a batch that runs again is appended again (at least once). Put this sink last.
+    """
+    return lambda rows, batch_id: write_jdbc(jdbc_columns(rows, variant), url, table, properties)
 
 
 def batch_writer(sinks: Sequence[Sink]) -> Sink:

@@ -1,5 +1,6 @@
 """Stored tables, retention and checks."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tagtide import schemas
@@ -24,6 +25,85 @@ def test_upsert_updates_inserts_and_keeps(spark, tmp_path):
     assert got == {"a": (1, "2024-01-01"), "b": (20, "2024-01-02"), "c": (30, "2024-01-02")}
 
 
+def test_repeated_keys_of_an_update(spark, tmp_path):
+    path = str(tmp_path / "t")
+    twice = spark.createDataFrame([("a", 1, 1), ("a", 2, 3), ("a", 3, 2), ("b", 9, None)], "hashtag string, n int, at int")
+    with pytest.raises(ValueError, match="repeat a key"):
+        tables.upsert_snapshot(twice, path, ["hashtag"], AS_OF)
+    assert tables.latest_version(spark, path) is None
+    tables.upsert_snapshot(twice, path, ["hashtag"], AS_OF, order="at")
+    assert {r.hashtag: r.n for r in tables.read_snapshot(spark, path).collect()} == {"a": 2, "b": 9}
+
+
+def test_empty_replacement_is_visible(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "hashtag string, n int")
+    assert tables.replace_snapshot(rows.limit(0), path) == 1
+    assert tables.read_snapshot(spark, path).collect() == []
+    tables.replace_snapshot(rows, path)
+    assert tables.replace_snapshot(rows.filter("n > 5"), path) == 3
+    found = tables.read_snapshot(spark, path)
+    assert found.columns == ["hashtag", "n"] and found.collect() == []
+
+
+def test_unfinished_version_does_not_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1)], "hashtag string, n int")
+    with pytest.raises(FileNotFoundError):
+        tables.read_snapshot(spark, path)
+    tables.replace_snapshot(rows, path)
+    rows.withColumn("n", F.lit(7)).write.parquet(f"{path}/data/version=2")
+    assert [r.n for r in tables.read_snapshot(spark, path).collect()] == [1]
+    assert tables.replace_snapshot(rows.withColumn("n", F.lit(8)), path) == 2
+    assert [r.n for r in tables.read_snapshot(spark, path).collect()] == [8]
+
+
+def batch(spark, *times):
+    rows = [("u", "c", "t", None, t) for t in times]
+    df = spark.createDataFrame(rows, "user_name string, content string, hashtag string, timestamp string, processing_time string")
+    return df.withColumn("processing_time", F.col("processing_time").cast("timestamp_ntz"))
+
+
+def test_empty_first_batch(spark, tmp_path):
+    path = str(tmp_path / "posts")
+    tables.write_posts(batch(spark, AS_OF).limit(0), 0, path, "simple")
+    assert tables.read_table(spark, path).collect() == []
+    tables.write_posts(batch(spark, AS_OF), 1, path, "simple")
+    assert [(str(r.dt), r.batch_id) for r in tables.read_table(spark, path).collect()] == [("2024-01-31", 1)]
+
+
+def test_old_days_go_and_the_edge_is_cut(spark, tmp_path):
+    path = str(tmp_path / "posts")
+    times = ["2024-01-28 23:00:00", "2024-01-29 01:00:00", "2024-01-30 11:59:59", "2024-01-30 12:00:00", "2024-01-30 13:00:00", None]
+    tables.write_posts(batch(spark, *times), 0, path, "simple")
+    tables.write_posts(batch(spark, *times[2:5]), 1, path, "simple")
+    gone = upkeep.delete_old_days(spark, path, "2024-01-31 12:00:00", 1)
+    assert gone == ["2024-01-28", "2024-01-29"]
+    left = sorted(str(r.processing_time) for r in tables.read_table(spark, path).collect())
+    assert left == ["2024-01-30 12:00:00"] * 2 + ["2024-01-30 13:00:00"] * 2 + ["None"]
+    assert upkeep.delete_old_days(spark, path, "2024-01-31 12:00:00", 1) == []
+    assert upkeep.delete_old_days(spark, str(tmp_path / "none"), AS_OF, 1) == []
+
+
+def test_compacted_day_holds_the_same_rows(spark, tmp_path):
+    path = str(tmp_path / "posts")
+    for i in range(3):
+        tables.write_posts(batch(spark, f"2024-01-30 1{i}:00:00", AS_OF), i, path, "simple")
+    tables.compact_day(spark, path, "2024-01-30")
+    got = sorted((str(r.dt), r.batch_id) for r in tables.read_table(spark, path).collect())
+    assert got == [("2024-01-30", -1)] * 3 + [("2024-01-31", 0), ("2024-01-31", 1), ("2024-01-31", 2)]
+    files = [f for f in tables.read_table(spark, path).inputFiles() if "2024-01-30" in f]
+    assert len(files) == 1
+
+
+def test_jdbc_columns_are_those_of_the_variant(spark):
+    rows = batch(spark, AS_OF).withColumns({"sentiment": F.lit(0.5), "content_length": F.lit(3.0), "hashtag_count": F.lit(1)})
+    assert tables.jdbc_columns(rows, "simple").columns == ["user_name", "content", "hashtag", "processing_time", "timestamp"]
+    assert set(tables.jdbc_columns(rows, "basic").columns) == {
+        "user_name", "content", "hashtag", "sentiment", "content_length", "hashtag_count", "processing_time", "timestamp",
+    }
+
+
 def test_cleanup_boundary(spark):
     rows = [(1, "2024-01-29 23:59:59"), (2, "2024-01-30 00:00:00"), (3, None)]
     given = {
