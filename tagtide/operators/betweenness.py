@@ -33,7 +33,8 @@ def _distances(links: Links, sources: DataFrame) -> DataFrame:
             known.unionByName(steps)
             .groupBy("s", "u")
             .agg(F.min("d").alias("d"), F.min("old").alias("old"))
-            .select("s", "u", "d", (F.col("old").isNull() | (F.col("d") < F.col("old"))).alias("changed"))
+            .select("s", "u", "d", (F.col("old").isNull() | (F.col("d") < F.col("old"))).alias("changed")),
+            replaces=state,
         )
         if state.filter("changed").isEmpty():
             return state.select("s", "u", "d")
@@ -92,7 +93,9 @@ def betweenness(
 
     ``sources`` (a column ``hashtag``) asks for an estimate from those pivots only,
     scaled to all nodes (Brandes and Pich 2007). The default is exact. ``state_rows``
-    bounds the (source, node) rows one group of sources may hold.
+    bounds the (source, node) rows one group of sources may hold. The exact result takes a row
+    per pair of nodes in all, and as many groups one after the other: a graph of a million
+    tags calls for pivots.
     """
     nodes = cut_lineage(node_degrees(edges).select("hashtag"))
     n = nodes.count()

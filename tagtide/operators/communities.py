@@ -8,6 +8,8 @@ is left, communities become the nodes of a smaller graph and the rounds start ag
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +17,9 @@ from tagtide.operators.graph import Links, adjacency
 from tagtide.operators.skew import hot_keys, spread, spread_join
 from tagtide.session import cut_lineage
 
-MAX_ROUNDS = 60
 EPS = 1e-12
+# Rounds without a gain of ``threshold`` that end a level: each node has had its turn twice.
+PATIENCE = 4
 
 
 def _level_links(adj: DataFrame) -> Links:
@@ -100,20 +103,25 @@ def modularity(edges: DataFrame, communities: DataFrame, resolution: float = 1.0
     return per.agg(F.sum(F.col("inner") / m2 - resolution * F.pow(F.col("tot") / m2, F.lit(2)))).first()[0]
 
 
-def _one_level(adj: DataFrame, m2: float, resolution: float, threshold: float) -> tuple[DataFrame, bool]:
-    """``u, c`` after the moves of one level, and whether any node moved."""
+def _one_level(
+    adj: DataFrame, m2: float, resolution: float, threshold: float, patience: int
+) -> tuple[DataFrame, bool]:
+    """``u, c`` after the moves of one level, and whether any node moved.
+
+    Modularity is at most one, and ``patience`` rounds have to gain ``threshold``, so a level ends
+    by itself; no number of rounds cuts it off.
+    """
     links = _level_links(adj)
     comm = cut_lineage(links.table.filter("w IS NULL").select("u", F.col("u").alias("c"), F.col("kv").alias("k")))
     wants = F.col("best").isNotNull() & (F.col("best_gain") > F.col("own_gain") + EPS)
     start, history = comm, []
     best_comm, best_q = comm, None
-    for round_no in range(MAX_ROUNDS):
+    for round_no in count():
         assessed = cut_lineage(_assess(links, comm, m2, resolution))
         q, wanting = _measure(assessed, wants, m2, resolution)
         if best_q is None or q > best_q + threshold:
             best_comm, best_q = comm, q
-        # Four rounds give each node its turn twice; stop if they gain nothing.
-        stuck = len(history) >= 4 and best_q <= max(history[:-3]) + threshold
+        stuck = len(history) >= patience and best_q <= max(history[: len(history) - patience + 1]) + threshold
         history.append(q)
         if wanting == 0 or stuck:
             break
@@ -127,7 +135,8 @@ def _one_level(adj: DataFrame, m2: float, resolution: float, threshold: float) -
 def _contract(adj: DataFrame, comm: DataFrame) -> DataFrame:
     """The graph of the communities; links inside one become its self-loop."""
     ends = comm.select(F.col("u").alias("v"), F.col("c").alias("cv"))
-    joined = adj.join(comm, "u").join(ends, "v")
+    # Hubs are cut in blocks, once by each end.
+    joined = spread_join(ends, spread_join(comm, adj, ["u"], ["v"]), ["v"], ["u"])
     # A link inside a community is seen from both ends, a self-loop once.
     weight = F.when((F.col("c") == F.col("cv")) & (F.col("u") != F.col("v")), F.col("w") / 2).otherwise(F.col("w"))
     return joined.groupBy(F.col("c").alias("u"), F.col("cv").alias("v")).agg(F.sum(weight).alias("w"))
@@ -154,15 +163,21 @@ def dense_index(df: DataFrame, column: str, name: str) -> DataFrame:
     )
 
 
-def communities(edges: DataFrame, resolution: float = 1.0, threshold: float = 1e-7) -> DataFrame:
-    """``hashtag, community_id``. Ids count up by the smallest member, so they are stable."""
+def communities(
+    edges: DataFrame, resolution: float = 1.0, threshold: float = 1e-7, patience: int = PATIENCE
+) -> DataFrame:
+    """``hashtag, community_id``. Ids count up by the smallest member, so they are stable.
+
+    A level ends when no node wants to move, or when ``patience`` rounds together gain less than
+    ``threshold`` in modularity although some still do; it keeps the best round.
+    """
     adj = cut_lineage(adjacency(edges).withColumn("w", F.col("w").cast("double")))
     m2 = adj.agg(F.sum(F.when(F.col("u") == F.col("v"), 2 * F.col("w")).otherwise(F.col("w")))).first()[0]
     if not m2:
         return edges.select(F.col("src").alias("hashtag"), F.lit(None).cast("int").alias("community_id")).limit(0)
     member = cut_lineage(adj.select(F.col("u").alias("hashtag"), F.col("u").alias("c")).distinct())
     while True:
-        comm, moved = _one_level(adj, m2, resolution, threshold)
+        comm, moved = _one_level(adj, m2, resolution, threshold, patience)
         if not moved:
             break
         step = comm.select(F.col("u").alias("c"), F.col("c").alias("to"))

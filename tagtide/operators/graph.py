@@ -144,42 +144,49 @@ def pagerank(
     n = state.count()
     if n == 0:
         return state.select("hashtag", F.lit(None).cast("double").alias("pagerank"))
-    # ``ranks`` holds the rank before and after each round since the last check.
-    state = state.withColumn("ranks", F.array(F.lit(1.0 / n)))
-    done = 0
+    # ``r0, r1, …`` hold the rank before and after each round since the last check.
+    state, done = state.withColumn("r0", F.lit(1.0 / n)), 0
+    stored = state
     while done < max_iter:
         rounds = min(ROUNDS_PER_CHECK, max_iter - done)
-        state = state.withColumn("ranks", F.slice("ranks", -1, 1))
-        for _ in range(rounds):
-            state = _pagerank_round(links, state, alpha, n)
-        state = cut_lineage(state)
+        for i in range(rounds):
+            state = _pagerank_round(links, state, i, alpha, n)
+        stored = state = cut_lineage(state, replaces=stored)
         done += rounds
         changes = state.agg(
-            *[F.sum(F.abs(F.get("ranks", i + 1) - F.get("ranks", i))).alias(f"change_{i}") for i in range(rounds)]
+            *[F.sum(F.abs(F.col(f"r{i + 1}") - F.col(f"r{i}"))).alias(f"change_{i}") for i in range(rounds)]
         ).first()
         for i, change in enumerate(changes):
             if change < n * tol:
-                return state.select("hashtag", F.get("ranks", i + 1).alias("pagerank"))
+                return state.select("hashtag", F.col(f"r{i + 1}").alias("pagerank"))
+        state = state.select("hashtag", "out", F.col(f"r{rounds}").alias("r0"))
     raise RuntimeError(f"PageRank did not converge in {max_iter} rounds")
 
 
-def _pagerank_round(links: Links, state: DataFrame, alpha: float, n: int) -> DataFrame:
-    """Append one rank. Nodes pass on their own history beside the shares they send."""
+def _pagerank_round(links: Links, state: DataFrame, i: int, alpha: float, n: int) -> DataFrame:
+    """Add the rank after round ``i``. Nodes pass on their own history beside the shares they send.
+
+    Every aggregate is a number of fixed width, so the messages are hashed and not sorted.
+    """
     here = F.col("w").isNull()
     sent = links.follow(state.withColumnRenamed("hashtag", "u"))
     summed = sent.groupBy(F.col("v").alias("hashtag")).agg(
-        F.sum(F.element_at("ranks", -1) * F.col("w") / F.col("out")).alias("share"),
+        F.sum(F.col(f"r{i}") * F.col("w") / F.col("out")).alias("share"),
         F.max(F.when(here, F.col("out"))).alias("out"),
-        F.max(F.when(here, F.col("ranks"))).alias("ranks"),
+        *[F.max(F.when(here, F.col(f"r{k}"))).alias(f"r{k}") for k in range(i + 1)],
     )
     new = F.lit(alpha) * F.col("share") + (1 - alpha) / n
-    return summed.select("hashtag", "out", F.concat("ranks", F.array(new)).alias("ranks"))
+    return summed.withColumn(f"r{i + 1}", new).drop("share")
 
 
-def centrality(edges: DataFrame) -> DataFrame:
-    """Degree, betweenness and PageRank of every node."""
+def centrality(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """Degree, betweenness and PageRank of every node.
+
+    ``sources`` as in ``betweenness``: exact by default, which takes a row per pair of nodes;
+    an estimate from the given pivots.
+    """
     from tagtide.operators.betweenness import betweenness
 
     edges = cut_lineage(edges)
     degree = degree_centrality(edges)
-    return degree.join(betweenness(edges), "hashtag").join(pagerank(edges), "hashtag")
+    return degree.join(betweenness(edges, sources), "hashtag").join(pagerank(edges), "hashtag")

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagtide import schemas
 from tagtide.functions import numbers, sentiment, text, times
 from tagtide.operators import graph, learning, metrics, quality, texts, topk, upkeep
 from tagtide.operators.betweenness import betweenness
-from tagtide.operators.communities import communities
+from tagtide.operators.communities import communities, modularity
 from tagtide.session import configure, cut_lineage, scratch_path
 from tagtide.sources import fixtures, messages, tables
 from tagtide.sources.fixtures import AS_OF
@@ -178,6 +178,23 @@ def velocity_alerts(spark, sf):
     return topk.velocity_alerts(_predictions(spark, sf), AS_OF, window="1 hours")
 
 
+@query
+def velocity_alerts_quarter(spark, sf):
+    """With the panel's own quarter of an hour."""
+    return topk.velocity_alerts(_predictions(spark, sf), AS_OF, window="15 minutes")
+
+
+@query
+def raw_source(spark, sf):
+    """A folder of JSON lines, read as the raw stream and parsed, malformed values and all."""
+    path, out, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "messages"), scratch_path(spark, "state")
+    fixtures.raw_values(spark, sf).select("value").write.text(path)
+    rows = messages.parse_messages(messages.read_raw(spark, "text", path))
+    stream = rows.writeStream.option("checkpointLocation", checkpoint).trigger(**NOW).format("parquet")
+    stream.start(out).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out).withColumn("hashtags", F.array_join("hashtags", ","))
+
+
 @query
 def recent_anomalies(spark, sf):
     found = learning.detect_anomalies(fixtures.posts(spark, sf), AS_OF, threshold=1.0)
@@ -573,6 +590,38 @@ def upsert_snapshot(spark, sf):
     return tables.read_snapshot(spark, path)
 
 
+@query
+def replace_snapshot_empty(spark, sf):
+    """A table that a replacement leaves without rows, with the columns of another."""
+    path = scratch_path(spark, "communities")
+    rows = fixtures.hashtag_communities(spark, sf)
+    tables.replace_snapshot(rows, path)
+    tables.replace_snapshot(rows.filter("community_id < 0"), path)
+    return tables.read_snapshot(spark, path)
+
+
+@query
+def upsert_repeated_keys(spark, sf):
+    """Every event updates its user: the last one counts."""
+    path = scratch_path(spark, "last")
+    events = fixtures.posts(spark, sf).select("user_name", "post_id", "sentiment", "hashtag").filter("hashtag not like 'k%'")
+    tables.upsert_snapshot(events.filter("post_id % 2 = 0"), path, ["user_name"], "2024-01-30 00:00:00", order="post_id")
+    tables.upsert_snapshot(events.filter("post_id % 3 = 0"), path, ["user_name"], AS_OF, order="post_id")
+    return tables.read_snapshot(spark, path)
+
+
+@query
+def delete_old_days(spark, sf):
+    """A stored posts table after retention: written in two batches, cut at noon of a day."""
+    path = scratch_path(spark, "kept")
+    posts = fixtures.posts(spark, sf)
+    for batch in range(2):
+        tables.write_batch(posts.filter(F.col("post_id") % 2 == batch).select("post_id", "hashtag", "processing_time"), batch, path)
+    schema = posts.select("post_id", "hashtag", "processing_time").schema
+    upkeep.delete_old_days(spark, path, "2024-01-30 12:00:00", 7, schema)
+    return tables.read_table(spark, path, schema).drop("dt", "batch_id")
+
+
 @query
 def replace_snapshot(spark, sf):
     path = scratch_path(spark, "communities")
@@ -608,9 +657,9 @@ def cleanup_kept(spark, sf):
 def refresh_views(spark, sf):
     path = scratch_path(spark, "views")
     upkeep.refresh_views(fixtures.posts(spark, sf), fixtures.aspects(spark, sf), path)
-    tags = tables.read_snapshot(spark, f"{path}/hashtag_stats").select(F.col("hashtag").alias("name"), F.col("total_posts").alias("n"))
-    found = tables.read_snapshot(spark, f"{path}/aspect_stats").select(F.col("aspect").alias("name"), F.col("mention_count").alias("n"))
-    return tags.unionByName(found)
+    tags = tables.read_snapshot(spark, f"{path}/hashtag_stats").withColumnRenamed("hashtag", "name")
+    found = tables.read_snapshot(spark, f"{path}/aspect_stats").withColumnRenamed("aspect", "name")
+    return tags.unionByName(found, allowMissingColumns=True)
 
 
 def _unchecked(spark: SparkSession, sf: str) -> DataFrame:
@@ -682,6 +731,40 @@ def top_central_hashtags(spark, sf):
 query(lambda spark, sf: communities(_edges(spark, sf)), "communities")
 
 
+@query
+def communities_checked(spark, sf):
+    """Per tag: how often it has a community, and whether ids count up by smallest member; the gain over one community."""
+    edges = _edges(spark, sf)
+    found = cut_lineage(communities(edges))
+    first = found.groupBy("community_id").agg(F.min("hashtag").alias("first_member"))
+    ranked = first.withColumn("place", F.row_number().over(Window.orderBy("first_member")) - 1)
+    gain = modularity(edges, found) >= 0
+    rows = found.groupBy("hashtag").agg(F.count(F.lit(1)).alias("times"), F.max("community_id").alias("community_id"))
+    rows = rows.join(ranked, "community_id")
+    return rows.select("hashtag", "times", (F.col("place") == F.col("community_id")).alias("in_order"), F.lit(gain).alias("gains"))
+
+
+@query
+def cluster_users_checked(spark, sf):
+    """Per user: how often it has a cluster, whether ids are in range, and whether no other cluster's mean is nearer."""
+    posts = fixtures.posts(spark, sf)
+    found = cut_lineage(learning.cluster_users(posts, AS_OF))
+    names = list(learning.FEATURES)
+    scaled = learning.scale_features(numbers.fill_zero(found.select("user_name", *names), names))
+    rows = cut_lineage(scaled.select("user_name", *names).join(found.select("user_name", "cluster_id"), "user_name"))
+    means = rows.groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in names])
+    # Five rows at most: the means become constants.
+    distance = {m["cluster_id"]: sum(((F.col(c) - m[c]) ** 2 for c in names), F.lit(0.0)) for m in means.collect()}
+    least = F.array_min(F.array(*distance.values())) if distance else F.lit(0.0)
+    own = F.coalesce(*[F.when(F.col("cluster_id") == i, d) for i, d in distance.items()], F.lit(0.0))
+    nearest = own <= least + 1e-3
+    return rows.withColumn("nearest", nearest).groupBy("user_name").agg(
+        F.count(F.lit(1)).alias("times"),
+        F.bool_and(F.col("cluster_id").between(0, 4)).alias("in_range"),
+        F.bool_and("nearest").alias("nearest"),
+    )
+
+
 @query
 def scale_features(spark, sf):
     features = metrics.user_features(fixtures.posts(spark, sf), AS_OF)

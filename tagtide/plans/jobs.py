@@ -12,12 +12,17 @@ from tagtide.session import cut_lineage
 from tagtide.sources.tables import replace_snapshot, upsert_snapshot, write_run
 
 
-def run_graph(posts: DataFrame, out: str, as_of: AsOf, time_window_hours: int = 24) -> bool:
-    """Store centralities and communities below ``out``. False if there is no edge."""
+def run_graph(
+    posts: DataFrame, out: str, as_of: AsOf, time_window_hours: int = 24, sources: DataFrame | None = None
+) -> bool:
+    """Store centralities and communities below ``out``. False if there is no edge.
+
+    ``sources`` are the pivots of an estimated betweenness; without them it is exact.
+    """
     edges = cut_lineage(graph.cooccurrence_edges(posts, as_of, time_window_hours))
     if edges.isEmpty():
         return False
-    upsert_snapshot(graph.centrality(edges), f"{out}/hashtag_centrality", KEYS["hashtag_centrality"], as_of)
+    upsert_snapshot(graph.centrality(edges, sources), f"{out}/hashtag_centrality", KEYS["hashtag_centrality"], as_of)
     found = communities(edges).withColumn("updated_at", moment(as_of))
     replace_snapshot(found, f"{out}/hashtag_communities")
     return True

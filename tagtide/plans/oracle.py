@@ -296,6 +296,17 @@ COMMUNITIES = "communities AS (SELECT DISTINCT hashtag, length(hashtag)::INTEGER
 ORACLES["community_distribution"] = with_posts(
     f", {COMMUNITIES} SELECT community_id, count(*) AS hashtag_count FROM communities GROUP BY 1"
 )
+ORACLES["replace_snapshot_empty"] = with_posts(f", {COMMUNITIES} SELECT * FROM communities WHERE false")
+ORACLES["upsert_repeated_keys"] = with_posts(
+    f""", e AS (SELECT user_name, post_id, sentiment, hashtag FROM posts WHERE hashtag NOT LIKE 'k%'),
+l AS (SELECT user_name, max(post_id) FILTER (WHERE post_id % 3 = 0) AS three, max(post_id) FILTER (WHERE post_id % 2 = 0) AS two FROM e GROUP BY 1)
+SELECT user_name, post_id, round(CAST(sentiment AS DECIMAL(30, 12)), 6)::DOUBLE AS sentiment, hashtag,
+       CASE WHEN three IS NULL THEN TIMESTAMP '2024-01-30 00:00:00' ELSE {NOW} END AS updated_at
+FROM e JOIN l USING (user_name) WHERE post_id = coalesce(three, two)"""
+)
+ORACLES["delete_old_days"] = with_posts(
+    " SELECT post_id, hashtag, processing_time FROM posts WHERE processing_time >= TIMESTAMP '2024-01-23 12:00:00'"
+)
 ORACLES["replace_snapshot"] = with_posts(f", {COMMUNITIES} SELECT * FROM communities")
 
 HOURLY = "hourly AS (SELECT hashtag, date_trunc('{unit}', processing_time) AS hour, count(*) AS count FROM posts WHERE {when} GROUP BY 1, 2)"
@@ -350,6 +361,9 @@ ORACLES["velocity_alerts"] = with_posts(
 )
 
 
+ORACLES["velocity_alerts_quarter"] = ORACLES["velocity_alerts"].replace(recent("1 hour", "predicted_at"), recent("15 minutes", "predicted_at"))
+
+
 def rates(name: str, now: str) -> str:
     return f"""{name}_now AS (SELECT user_name, count(*) AS recent_posts FROM posts
   WHERE processing_time > TIMESTAMP '{now}' - INTERVAL '1 hour' GROUP BY 1),
@@ -684,8 +698,12 @@ ORACLES["cleanup_kept"] = with_posts(
     f" SELECT * FROM p WHERE processing_time IS NULL OR processing_time >= {OLD}"
 )
 ORACLES["refresh_views"] = (
-    f"WITH {POSTS}, {ASPECTS} SELECT hashtag AS name, count(*) AS n FROM posts GROUP BY 1"
-    " UNION ALL SELECT aspect, count(*) FROM aspects GROUP BY 1 HAVING count(*) >= 3"
+    f"WITH {POSTS}, {ASPECTS}, t AS (SELECT {BASE_STATS}, count(DISTINCT dominant_aspect) AS unique_aspects,"
+    " min(processing_time) AS first_seen FROM posts GROUP BY hashtag),"
+    f" a AS (SELECT aspect AS name, count(*) AS mention_count, {r('avg(sentiment)', 'avg_sentiment')}, {r('stddev(sentiment)', 'sentiment_stddev')},"
+    " count(DISTINCT hashtag) AS hashtag_count, count(DISTINCT user_name) AS user_count, max(processing_time) AS last_seen,"
+    " min(processing_time) AS first_seen FROM aspects GROUP BY 1 HAVING count(*) >= 3)"
+    " SELECT * RENAME (hashtag AS name) FROM t UNION ALL BY NAME SELECT * FROM a"
 )
 UNCHECKED = NULL_USERS + """,
 unchecked AS (SELECT * EXCLUDE (hashtag), CASE WHEN post_id % 100 = 1 THEN repeat(hashtag, 100) ELSE hashtag END AS hashtag FROM audited)
@@ -834,3 +852,11 @@ part(
     summary_pronounced="summary",
 )
 part("post_sentiment_struct", "post_id", summary_text="sentiment_summary")
+
+ORACLES["raw_source"] = ORACLES["parse_messages"]
+ORACLES["communities_checked"] = (
+    f"WITH {DAY_EDGES}, {DEGREE} SELECT hashtag, 1::BIGINT AS times, true AS in_order, true AS gains FROM degree"
+)
+ORACLES["cluster_users_checked"] = with_posts(
+    f"SELECT user_name, 1::BIGINT AS times, true AS in_range, true AS nearest FROM ({features('7 days', 5)})"
+)
