@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import WordHasher, beside, mix64, pieces, signed, stored, table, utf8
+from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, pieces, signed, stored, table, utf8
 from tagtide.llm.components import components
 
 #: Registers, mantissa bits and rows of a band. Two documents of similarity 0.75 meet in none of
 #: the 32 bands with probability (1 - 0.75^4)^32 = 5e-6.
 REGISTERS, MANTISSA, BAND = 128, 10, 4
 SHINGLE, PERCENT, SIGMAS = 5, 75, 5.0
+#: Registers of a closer look, and members of a bucket that meet in one task.
+FINE, BLOCK_MEMBERS = 512, 1_000
 EMPTY = 65535
 
 
@@ -63,23 +65,25 @@ class Shingler:
         return value[index], doc[index], words, counts
 
 
-def registers(value: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """The n x REGISTERS compressed minima of the shingles of n texts; empty ones are filled."""
+def registers(value: np.ndarray, doc: np.ndarray, n: int, size: int = REGISTERS, fill: bool = True) -> np.ndarray:
+    """The n x size compressed minima of the shingles of n texts; empty ones are filled, or EMPTY."""
     spread = mix64(value ^ np.uint64(0x5851F42D4C957F2D))
-    bits = 64 - (REGISTERS - 1).bit_length()
-    least = np.full(n * REGISTERS, np.uint64((1 << 64) - 1))
-    np.minimum.at(least, doc * REGISTERS + (spread >> np.uint64(bits)).astype(np.int64), spread & np.uint64((1 << bits) - 1))
+    bits = 64 - (size - 1).bit_length()
+    least = np.full(n * size, np.uint64((1 << 64) - 1))
+    np.minimum.at(least, doc * size + (spread >> np.uint64(bits)).astype(np.int64), spread & np.uint64((1 << bits) - 1))
     filled = least != np.uint64((1 << 64) - 1)
     part, exponent = np.frexp(np.where(filled, least, np.uint64(0)).astype(float))
     mantissa = np.clip((part * 2 - 1) * (1 << MANTISSA), 0, (1 << MANTISSA) - 1).astype(np.int64)
     packed = ((bits - exponent) << MANTISSA) + mantissa
-    packed, filled = packed.reshape(n, REGISTERS), filled.reshape(n, REGISTERS)
+    packed, filled = packed.reshape(n, size), filled.reshape(n, size)
+    if not fill:
+        return np.where(filled, packed, EMPTY).astype(np.uint16)
     # Next filled register clockwise: the smallest filled position at or after each, over two turns.
-    place = np.where(np.tile(filled, 2), np.arange(2 * REGISTERS), 4 * REGISTERS)
-    following = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :REGISTERS]
-    has = following < 4 * REGISTERS
-    taken = np.take_along_axis(packed, np.where(has, following % REGISTERS, 0), axis=1)
-    away = following - np.arange(REGISTERS)
+    place = np.where(np.tile(filled, 2), np.arange(2 * size), 4 * size)
+    following = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :size]
+    has = following < 4 * size
+    taken = np.take_along_axis(packed, np.where(has, following % size, 0), axis=1)
+    away = following - np.arange(size)
     marked = np.where(away > 0, (taken * 40503 + away * 30011) % EMPTY, taken)
     return np.where(has, marked, EMPTY).astype(np.uint16)
 
@@ -130,22 +134,25 @@ def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def keys_of_bands(rows: np.ndarray) -> np.ndarray:
+    """The key of every band of each row of registers; the registers of a band stand far apart."""
+    bands = REGISTERS // BAND
+    rows = rows.astype(np.uint64).reshape(-1, BAND, bands)
+    packed = sum(rows[:, i] << np.uint64(16 * i) for i in range(BAND))
+    return mix64(packed ^ mix64(np.arange(1, bands + 1, dtype=np.uint64)))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
 def band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``rep, registers`` to one row per band; the registers of a band stand far apart."""
-    bands = REGISTERS // BAND
+    """``rep, registers`` to one row per band."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = _matrix(batch.column("registers")).astype(np.uint64).reshape(-1, BAND, bands)
-        packed = sum(rows[:, i] << np.uint64(16 * i) for i in range(BAND))
-        keys = mix64(packed ^ mix64(np.arange(1, bands + 1, dtype=np.uint64)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(signed(keys.ravel())), pa.array(np.repeat(batch.column("rep").to_numpy(), bands))], ["band", "rep"]
-        )
+        if batch.num_rows:
+            keys = keys_of_bands(_matrix(batch.column("registers")))
+            reps = np.repeat(batch.column("rep").to_numpy(), keys.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(keys.ravel())), pa.array(reps)], ["band", "rep"])
 
 
 def plausible_pairs(threshold: float):
@@ -179,14 +186,88 @@ def confirmed(percent: int):
     return run
 
 
+def shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``rep, text`` to its shingles, each once."""
+    shingler = Shingler()
+    for batch in pieces(batches, "text"):
+        yield pa.RecordBatch.from_arrays([pa.array(signed(shingler.sets(batch.column("text"))[0]))], ["shingle"])
+
+
+def closer_looks(shared):
+    """``rep, text`` to the number of its shingles that another of the documents may have, and FINE registers of a byte."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, known = Shingler(), KeyFilter(shared.value)
+        for batch in pieces(batches, "text"):
+            n = batch.num_rows
+            value, doc, _, _ = shingler.sets(batch.column("text"))
+            count = np.bincount(doc[known.may_hold(value)], minlength=n)
+            fine = registers(value, doc, n, FINE, fill=False)
+            fine = np.where(fine == EMPTY, 0, 1 + fine.astype(np.uint32) * np.uint32(2654435761) % np.uint32(1 << 31) % np.uint32(255)).astype(np.uint8)
+            columns = [batch.column("rep"), pa.array(count.astype(np.int64)), pa.array([r.tobytes() for r in fine], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "common", "fine"])
+
+    return run
+
+
+def near_enough(one: np.ndarray, many: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """True unless the estimate from byte registers, 0 for empty, is SIGMAS deviations below the threshold.
+
+    ``sizes`` adds up both sets. Registers that either side fills are a sample of the union without
+    replacement, nearly the whole of it for a small set, and the deviation shrinks with what
+    is left out.
+    """
+    filled = ((many > 0) | (one > 0)).sum(1)
+    estimate = (((many == one) & (one > 0)).sum(1) / np.maximum(filled, 1) - 1 / 255) * 255 / 254
+    left_out = np.clip(1 - filled * (1 + threshold) / sizes, 0.02, 1)
+    return estimate >= threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / np.maximum(filled, 1) * left_out)
+
+
+def pairs_of_blocks(percent: int):
+    """Two blocks of one bucket, members outside its main component and others, to the pairs that may be links.
+
+    A pair that meets in several buckets is reported in the first one only.
+    """
+    threshold = percent / 100
+
+    def run(rows: pa.Table) -> pa.Table:
+        side = rows["odd"].to_numpy()
+        x, y = (rows.filter(pa.array(side == odd)) for odd in (True, False))
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        if x.num_rows and y.num_rows:
+            band = rows["band"][0].as_py()
+            column = lambda t, name: t[name].to_numpy()
+            matrix = lambda t, name, kind: np.frombuffer(b"".join(t[name].to_pylist()), kind).reshape(t.num_rows, -1)
+            (xk, yk), (xf, yf) = ((signed(keys_of_bands(matrix(t, "registers", np.uint16))) for t in (x, y)), (matrix(t, "fine", np.uint8) for t in (x, y)))
+            here = int(np.flatnonzero(xk[0] == band)[0])
+            rep, root, n, common = (column(y, c) for c in ("rep", "root", "n", "common"))
+            main = column(y, "main")
+            for i, (r, o, m, c, p) in enumerate(zip(*(column(x, k) for k in ("rep", "root", "n", "common", "pivot")))):
+                most = np.minimum(common, c)
+                able = (root != o) & ((root == main) | (r < rep)) & (rep != p) & (r != p) & (100 * most >= percent * (n + m - most))
+                able = np.flatnonzero(able)
+                able = able[(xk[i, :here] != yk[able, :here]).all(1)]
+                able = able[near_enough(xf[i], yf[able], m + n[able], threshold)]
+                found.append((np.full(len(able), r), rep[able]))
+        a, b = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def texts_of(reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rep, text`` of the documents in ``reps`` (one column), once each."""
+    own = texts.join(beside(reps), texts["rep"] == reps["rep"], "left_semi")
+    return stored(own.groupBy("rep").agg(F.first("text").alias("text")))
+
+
 def linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that are links: first by their registers, then by their texts."""
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
     known = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
     likely = stored(known.mapInArrow(plausible_pairs(percent / 100), "a long, b long"))
     needed = stored(likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct())
-    own = texts.join(beside(needed), texts["rep"] == needed["rep"], "left_semi")
-    own = stored(own.groupBy("rep").agg(F.first("text").alias("text")))
+    own = texts_of(needed, texts)
     both = likely.join(own.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(own.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
     return stored(both.select("a", "b", "ta", "tb").mapInArrow(confirmed(percent), "a long, b long"))
@@ -214,13 +295,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_i
     members = stored(bands.join(pivots, "band"))
     first = members.filter("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     links = linked(first, reps, texts, percent)
-    rooted = _rooted(members.filter("members > 2"), components(links))
-    # What the pivot did not settle: members of another component against everyone else in the bucket.
-    main = rooted.filter("rep = pivot").select("band", F.col("root").alias("main"))
-    rooted = stored(rooted.join(main, "band"))
-    odd = rooted.filter("root <> main").select("band", F.col("rep").alias("a"), F.col("root").alias("ar"))
-    rest = rooted.filter("rep <> pivot").select("band", F.col("rep").alias("b"), F.col("root").alias("br"), "main")
-    open_pairs = odd.join(rest, "band").filter("ar <> br and (br = main or a < b)").select("a", "b").distinct()
+    open_pairs = unsettled(members.filter("members > 2"), components(links), reps, texts, percent)
     more = linked(open_pairs, reps, texts, percent)
     roots = components(links.union(more))
     known = classes.select("k1", "k2", "rep").join(roots, F.col("rep") == F.col("node"), "left")
@@ -232,10 +307,36 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_i
     )
 
 
-def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the buckets with the component of each."""
+def unsettled(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` in a bucket that are in different components and may be links yet.
+
+    Members outside the largest component of their bucket meet the rest of it, in blocks, so that
+    a bucket of any size is dealt to many tasks. No link can share more shingles than the
+    smaller number of those that a side has in common with any other document here, and what an
+    edit made new occurs nowhere else; then FINE registers estimate the similarity. Only
+    pairs that pass both become rows.
+    """
     joined = members.join(roots, F.col("rep") == F.col("node"), "left")
-    return joined.select("band", "rep", "pivot", F.coalesce("root", "rep").alias("root"))
+    joined = stored(joined.select("band", "rep", "pivot", F.coalesce("root", "rep").alias("root")))
+    sizes = joined.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("band").agg(
+        F.max(F.struct("n", "root"))["root"].alias("main"),
+        F.count(F.lit(1)).alias("roots"),
+        F.ceil(F.sum("n") / BLOCK_MEMBERS).cast("int").alias("blocks"),
+        F.ceil((F.sum("n") - F.max("n")) / BLOCK_MEMBERS).cast("int").alias("odd_blocks"),
+    )
+    contested = stored(joined.join(main.filter("roots > 1").drop("roots"), "band"))
+    own = texts_of(stored(contested.select("rep").distinct()), texts)
+    twice = own.mapInArrow(shingle_rows, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    looks = own.mapInArrow(closer_looks(key_filter(twice.filter("n > 1").select("shingle"))), "rep long, common long, fine binary")
+    looks = stored(looks.join(reps, "rep").filter(f"100 * common >= {percent} * n"))
+    place = lambda blocks: F.pmod(F.xxhash64("rep"), F.col(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    keys = ["band", "rep", "root", "pivot", "main"]
+    odd = contested.filter("root <> main").select(F.lit(True).alias("odd"), *keys, place("odd_blocks").alias("i"), every("blocks").alias("j"))
+    rest = contested.select(F.lit(False).alias("odd"), *keys, every("odd_blocks").alias("i"), place("blocks").alias("j"))
+    placed = odd.unionByName(rest).join(looks, "rep")
+    return placed.groupBy("band", "i", "j").applyInArrow(pairs_of_blocks(percent), "a long, b long")
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
