@@ -6,7 +6,8 @@ import pytest
 from helpers import SCHEMA, documents, roots, sentence, texts, words
 
 from tagtide.llm.components import components, forest
-from tagtide.llm.hyperminhash import Shingler, chance, near_dedup, near_groups, plausible, registers
+from tagtide.llm import hyperminhash
+from tagtide.llm.hyperminhash import EMPTY, FINE, Shingler, chance, near_dedup, near_enough, near_groups, plausible, registers
 
 
 def shingles(text):
@@ -53,7 +54,9 @@ def test_collisions_of_disjoint_sets_are_rare():
     assert measured < 3 * expected + 1e-4 < 0.01
 
 
-def test_near_groups(spark):
+@pytest.mark.parametrize("block", [1_000, 3])
+def test_near_groups(spark, monkeypatch, block):
+    monkeypatch.setattr(hyperminhash, "BLOCK_MEMBERS", block)
     rows = texts()
     rnd = random.Random(8)
     for k in range(60):  # chains of texts that change a little from one to the next
@@ -90,3 +93,23 @@ def test_components(spark, shape):
     assert dict(map(tuple, components(frame).collect())) == expected
     a, b = np.array(links).T
     assert dict(zip(*map(np.ndarray.tolist, forest(a, b)))) == expected
+
+
+@pytest.mark.parametrize("n", [5, 40, 150, 600, 5_000])
+def test_closer_look_keeps_links_and_drops_most_others(n):
+    rng = np.random.default_rng(n)
+
+    def bytes_of(sets):
+        doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        rows = registers(np.concatenate(sets), doc, len(sets), FINE, fill=False)
+        return np.where(rows == EMPTY, 0, 1 + rows.astype(np.uint32) * np.uint32(2654435761) % np.uint32(1 << 31) % np.uint32(255)).astype(np.uint8)
+
+    def kept(common):
+        a = [rng.integers(0, 2**63, n).astype(np.uint64) for _ in range(300)]
+        b = [np.r_[x[:common], rng.integers(0, 2**63, n - common).astype(np.uint64)] for x in a]
+        x, y = bytes_of(a), bytes_of(b)
+        return np.mean([near_enough(x[i], y[i : i + 1], np.array([2 * n]), 0.75)[0] for i in range(300)])
+
+    assert kept(-(-6 * n // 7)) == 1.0  # 6/7 of each in common: similarity 0.75
+    if n >= 150:
+        assert kept(int(0.75 * n)) < 0.05  # similarity 0.6
