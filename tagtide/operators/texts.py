@@ -43,6 +43,7 @@ from tagtide.functions.text import (
 from tagtide.functions.times import AsOf, moment
 from tagtide.operators.matching import with_hits
 from tagtide.operators.skew import is_small, lookup, spread_join
+from tagtide.session import cut_lineage
 
 # The rule of the lexicon scorer, and the kinds of entities that count.
 NEGATORS = ("no", "not", "never", "none", "nor", "neither", "cannot")
@@ -72,6 +73,24 @@ def sentence_scores(
     return rows.join(scores.select("post_id", "pos", F.col("polarity").alias("score")), ["post_id", "pos"])
 
 
+def known_words(lexicon: DataFrame) -> DataFrame:
+    """The lexicon by words as they come out of a text, each once: a word that is listed twice has the mean.
+
+    Case and surrounding signs do not matter. A word that a text splits in two is never found.
+    """
+    word = F.array_join(tokens(F.col("word")), " ")
+    return lexicon.groupBy(word.alias("word")).agg(
+        *[F.avg(c).alias(c) for c in ("polarity", "subjectivity", "intensity")]
+    )
+
+
+def known_surfaces(gazetteer: DataFrame, types: Sequence[str]) -> DataFrame:
+    """``surface, type`` of these types, as their words come out of a text, each surface once."""
+    surface = F.array_join(tokens(F.col("surface")), " ")
+    known = gazetteer.filter(F.col("type").isin(*types)).groupBy(surface.alias("surface"))
+    return known.agg(F.min("type").alias("type")).filter("surface <> ''")
+
+
 def lexicon_scores(rows: DataFrame, keys: Sequence[str], text: str, lexicon: DataFrame) -> DataFrame:
     """``keys, polarity, subjectivity``: means over the words found in the lexicon.
 
@@ -87,6 +106,7 @@ def lexicon_scores(rows: DataFrame, keys: Sequence[str], text: str, lexicon: Dat
         )
 
     small = is_small(lexicon, "word")
+    lexicon = known_words(lexicon)
     rated = lexicon.filter("polarity <> 0 OR subjectivity <> 0").select("word", "polarity", "subjectivity")
     scaling = lexicon.filter("intensity <> 1").select(F.col("word").alias("before"), "intensity")
     spoken = unnest(rows, keys, let(tokens(F.col(text)), pairs), "t").select(*keys, "t.*")
@@ -129,7 +149,8 @@ def scored_posts(
                 "sentences": scored_sentences(split_sentences(F.col("clean"), variant), scorer),
             }
         )
-    rows = sentence_scores(posts, lexicon=lexicon, variant=variant)
+    # Scored once: the sentences are written, then grouped beside the score of the whole text.
+    rows = cut_lineage(sentence_scores(posts, lexicon=lexicon, variant=variant))
     per_post = rows.groupBy("post_id").agg(
         F.array_sort(
             F.collect_list(F.struct("pos", F.col("sentence").alias("text"), F.lower("sentence").alias("low"), "score"))
@@ -163,7 +184,11 @@ def dominant_phrase(candidates: DataFrame) -> DataFrame:
 
 
 def aspect_sentences(aspects: DataFrame, sentences: DataFrame) -> DataFrame:
-    """Pairs of an aspect and a sentence of the same post that contains it."""
+    """Pairs of an aspect and a sentence of the same post that contains it.
+
+    The sentences are written once, as they are counted, placed in blocks and joined.
+    """
+    sentences = cut_lineage(sentences)
     return spread_join(
         aspects, sentences, ["post_id"], ["pos"], F.contains(F.lower("sentence"), F.col("aspect"))
     )
@@ -258,7 +283,8 @@ def hashtag_sentences(
     needle = F.lower("hashtag")
     if literal:
         needle = F.concat(F.lit("#"), needle)
-    pairs = tags.select("post_id", "hashtag").distinct()
+    sentences = cut_lineage(sentences)
+    pairs = cut_lineage(tags.select("post_id", "hashtag").distinct())
     held = spread_join(pairs, sentences, ["post_id"], ["pos"], F.contains(F.lower("sentence"), needle))
     means = held.groupBy("post_id", "hashtag").agg(F.avg("score").alias("sentiment"))
     if overall is None:
@@ -284,7 +310,8 @@ def most_pronounced_aspect(aspects: DataFrame) -> DataFrame:
 
 def related_aspects(aspects: DataFrame, tags: DataFrame, k: int = 3) -> DataFrame:
     """``post_id, hashtag, related_aspects``: the first aspects whose context holds the tag."""
-    pairs = tags.select("post_id", "hashtag").distinct()
+    aspects = cut_lineage(aspects)
+    pairs = cut_lineage(tags.select("post_id", "hashtag").distinct())
     held = spread_join(pairs, aspects, ["post_id"], ["pos"], F.contains(F.lower("context"), F.lower("hashtag")))
     order = Window.partitionBy("post_id", "hashtag").orderBy("pos")
     first = held.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -301,8 +328,11 @@ def related_aspects(aspects: DataFrame, tags: DataFrame, k: int = 3) -> DataFram
 
 
 def entity_rows(posts: DataFrame, gazetteer: DataFrame, types: Sequence[str] = ENTITY_TYPES) -> DataFrame:
-    """``post_id, pos, surface, type``: at each word the longest known surface."""
-    known = gazetteer.filter(F.col("type").isin(*types)).groupBy("surface").agg(F.min("type").alias("type"))
+    """``post_id, pos, surface, type``: at each word the longest known surface.
+
+    Surfaces are compared word by word, whatever their case, hyphens and signs.
+    """
+    known = known_surfaces(gazetteer, types)
     longest = known.agg(F.max(F.size(F.split("surface", " ")))).first()[0] or 1
     clean = posts.select("post_id", clean_html(F.col("content")).alias("clean"))
     runs = unnest(clean, ["post_id"], ngrams(tokens(F.col("clean")), longest), "run").select("post_id", "run.*")
@@ -493,18 +523,38 @@ def rich_struct(posts: DataFrame, analysis: DataFrame) -> DataFrame:
     )
 
 
-# Enrichment of messages: expressions only, so it runs on streams as it is
+# Enrichment of messages. Without tables to look words up in it is expressions only, and runs on streams as it is
+
+
+def by_content(df: DataFrame, job) -> DataFrame:
+    """``df`` with the columns that ``job`` adds to the distinct contents (``post_id, content``).
+
+    For analyses that look words up in tables: messages have no key, and each content is
+    analysed once. A missing content counts as an empty one. One row per content comes back, so a
+    content that very many messages share splits on the other side.
+    """
+    key = F.coalesce(F.col("content"), F.lit(""))
+    contents = cut_lineage(df.select(key.alias("post_id")).distinct()).withColumn("content", F.col("post_id"))
+    found = job(contents)
+    new = [c for c in found.columns if c not in ("post_id", "content")]
+    return df.withColumn("_key", key).join(found.select(F.col("post_id").alias("_key"), *new), "_key").drop("_key")
 
 
 def _arrival(now: AsOf) -> Column:
     return F.current_timestamp() if now is None else moment(now)
 
 
-def enrich_basic(df: DataFrame, scorer=score_simple, now: AsOf = None) -> DataFrame:
-    """Adds sentiment, content length, tag count and processing time."""
+def enrich_basic(
+    df: DataFrame, scorer=score_simple, now: AsOf = None, lexicon: DataFrame | None = None
+) -> DataFrame:
+    """Adds sentiment, content length, tag count and processing time. Scored by a lexicon if there is one."""
+    if lexicon is None:
+        df = df.withColumn("sentiment", scorer(clean_html(F.col("content"))).cast("float"))
+    else:
+        polarity = F.col("polarity").cast("float").alias("sentiment")
+        df = by_content(df, lambda posts: lexicon_sentiment(posts, lexicon).select("post_id", polarity))
     return df.withColumns(
         {
-            "sentiment": scorer(clean_html(F.col("content"))).cast("float"),
             "content_length": content_length(F.col("content")),
             "hashtag_count": hashtag_count(F.col("hashtags")),
             "processing_time": _arrival(now),
@@ -513,28 +563,48 @@ def enrich_basic(df: DataFrame, scorer=score_simple, now: AsOf = None) -> DataFr
 
 
 def enrich_aspects(
-    df: DataFrame, scorer=score_simple, now: AsOf = None, stopwords: Sequence[str] = STOPWORDS
+    df: DataFrame,
+    scorer=score_simple,
+    now: AsOf = None,
+    stopwords: Sequence[str] = STOPWORDS,
+    lexicon: DataFrame | None = None,
 ) -> DataFrame:
     """As ``enrich_basic``, with label, aspect map and dominant aspect."""
-    rated = with_aspect_map(scored_posts(df, scorer), stopwords)
-    return (
-        rated.withColumn("sentiment", F.col("overall").cast("float"))
-        .withColumns(
-            {
-                "sentiment_category": sentiment_category5(F.col("sentiment")),
-                "dominant_aspect": dominant(phrases(F.col("clean"), stopwords)),
-                "content_length": F.length("clean").cast("float"),
-                "hashtag_count": hashtag_count(F.col("hashtags")),
-                "processing_time": _arrival(now),
-            }
+
+    def rate(posts: DataFrame) -> DataFrame:
+        rated = with_aspect_map(scored_posts(posts, scorer, lexicon), stopwords)
+        return (
+            rated.withColumn("sentiment", F.col("overall").cast("float"))
+            .withColumns(
+                {
+                    "sentiment_category": sentiment_category5(F.col("sentiment")),
+                    "dominant_aspect": dominant(phrases(F.col("clean"), stopwords)),
+                    "content_length": F.length("clean").cast("float"),
+                }
+            )
+            .drop("clean", "overall", "subjectivity", "sentences")
         )
-        .drop("clean", "overall", "subjectivity", "sentences")
-    )
+
+    rated = rate(df) if lexicon is None else by_content(df, rate)
+    return rated.withColumns({"hashtag_count": hashtag_count(F.col("hashtags")), "processing_time": _arrival(now)})
 
 
-def enrich_struct(df: DataFrame, scorer=score_simple, now: AsOf = None) -> DataFrame:
-    """Adds the five fields of ``post_sentiment``, content length, tag count and time."""
-    return post_sentiment(df, scorer=scorer).withColumns(
+def enrich_struct(
+    df: DataFrame,
+    scorer=score_simple,
+    now: AsOf = None,
+    lexicon: DataFrame | None = None,
+    gazetteer: DataFrame | None = None,
+) -> DataFrame:
+    """Adds the five fields of ``post_sentiment``, content length, tag count and time.
+
+    With a lexicon (and a gazetteer for the aspects) as in its mode ``lexicon``.
+    """
+    if lexicon is None:
+        rated = post_sentiment(df, scorer=scorer)
+    else:
+        rated = by_content(df, lambda posts: post_sentiment(posts, "lexicon", scorer, lexicon, gazetteer))
+    return rated.withColumns(
         {
             "content_length": content_length(F.col("content")),
             "hashtag_count": hashtag_count(F.col("hashtags")),

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from tagtide import schemas
 from tagtide.functions import numbers, sentiment, text, times
 from tagtide.operators import graph, learning, metrics, quality, texts, topk, upkeep
+from tagtide.functions.arrays import unnest
 from tagtide.operators.betweenness import betweenness
 from tagtide.operators.communities import communities, modularity
+from tagtide.operators.skew import is_small, lookup
 from tagtide.session import configure, cut_lineage, scratch_path
 from tagtide.sources import fixtures, messages, tables
 from tagtide.sources.fixtures import AS_OF
@@ -338,8 +340,10 @@ def fill_zero(spark, sf):
 @query
 def lexicon_lookup(spark, sf):
     """Matches of the lexicon words in the texts, per word."""
-    words = fixtures.text_posts(spark, sf).select(F.explode(text.tokens(text.clean_html(F.col("content")))).alias("word"))
-    return words.join(fixtures.lexicon(spark, sf), "word").groupBy("word", "polarity").agg(F.count(F.lit(1)).alias("n"))
+    words = unnest(fixtures.text_posts(spark, sf), ["post_id"], text.tokens(text.clean_html(F.col("content"))), "word", pos="pos")
+    lexicon = texts.known_words(fixtures.lexicon(spark, sf))
+    found = lookup(words, lexicon, "word", ["post_id", "pos"], is_small(lexicon, "word"))
+    return found.groupBy("word", "polarity").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -532,6 +536,36 @@ def enrich_struct(spark, sf):
     return rows.filter("content IS NOT NULL").drop("hashtags")
 
 
+@query
+def enrich_basic_lexicon(spark, sf):
+    """All messages, malformed ones too, scored by a lexicon."""
+    rows = messages.parse_messages(fixtures.raw_values(spark, sf))
+    return texts.enrich_basic(rows, now=AS_OF, lexicon=fixtures.lexicon(spark, sf)).drop("hashtags")
+
+
+@query
+def enrich_struct_lexicon(spark, sf):
+    """Scored by a lexicon whose words and a gazetteer whose surfaces come in capitals, some of them twice."""
+    rows = messages.parse_messages(fixtures.raw_values(spark, sf))
+    words, places = fixtures.lexicon(spark, sf), fixtures.gazetteer(spark, sf)
+    words = words.withColumn("word", F.upper("word")).unionByName(words.filter("length(word) > 3"))
+    places = places.withColumn("surface", F.initcap(F.translate("surface", " ", "-"))).unionByName(places)
+    found = texts.enrich_struct(rows, now=AS_OF, lexicon=words, gazetteer=places)
+    return found.filter("content IS NOT NULL").drop("hashtags", "sentiment_summary")
+
+
+@query
+def ingest_stream_lexicon(spark, sf):
+    """The stream of messages, each batch scored by a lexicon."""
+    out, checkpoint = scratch_path(spark, "posts"), scratch_path(spark, "state")
+    words = fixtures.lexicon(spark, sf)
+    ingesting.start_ingest(
+        fixtures.raw_values_stream(spark, sf), [ingesting.posts_sink(out)], checkpoint, NOW,
+        prepare=lambda batch: ingesting.ingest(batch, "basic", now=AS_OF, lexicon=words),
+    ).awaitTermination()
+    return tables.read_table(spark, out).select("user_name", "content", "hashtag", "sentiment", "content_length", "hashtag_count")
+
+
 @query
 def to_processed_json(spark, sf):
     rows = ingesting.ingest(fixtures.raw_values(spark, sf), "plain").drop("hashtags")

@@ -860,3 +860,17 @@ ORACLES["communities_checked"] = (
 ORACLES["cluster_users_checked"] = with_posts(
     f"SELECT user_name, 1::BIGINT AS times, true AS in_range, true AS nearest FROM ({features('7 days', 5)})"
 )
+
+MESSAGE_WORDS = lexicon_scores("by_text", "contents", "doc_id", "clean")
+CONTENTS = "contents AS MATERIALIZED (SELECT doc_id, clean FROM messages)"
+ORACLES["enrich_basic_lexicon"] = f"""WITH {MESSAGES}, {CONTENTS}, {LEXICON}, {MESSAGE_WORDS}
+SELECT user_name, content, timestamp, {f32('polarity')} AS sentiment, length(clean)::DOUBLE AS content_length,
+  len(hashtags)::INTEGER AS hashtag_count, {NOW} AS processing_time FROM messages JOIN by_text USING (doc_id)
+UNION ALL SELECT NULL, NULL, NULL, 0, 0, NULL, {NOW} FROM documents WHERE length(text) % 7 = 0"""
+ORACLES["ingest_stream_lexicon"] = f"""WITH {MESSAGES}, {CONTENTS}, {LEXICON}, {MESSAGE_WORDS}, {EXPLODED}
+SELECT user_name, content, hashtag, {f32('polarity')} AS sentiment, length(clean)::DOUBLE AS content_length,
+  len(hashtags)::INTEGER AS hashtag_count FROM exploded JOIN by_text USING (doc_id)"""
+ORACLES["enrich_struct_lexicon"] = f"""WITH whole AS ({ORACLES['post_sentiment_lexicon']}), {MESSAGES}
+SELECT user_name, content, timestamp, w.overall_sentiment, w.overall_subjectivity, w.top_aspect, w.top_aspect_sentiment,
+  length(clean)::DOUBLE AS content_length, len(hashtags)::INTEGER AS hashtag_count, {NOW} AS processing_time
+FROM messages m JOIN whole w ON w.post_id = m.doc_id"""

@@ -22,12 +22,20 @@ Sink = Callable[[DataFrame, int], None]
 
 
 def ingest(
-    raw: DataFrame, variant: str = "basic", scorer=score_simple, now: AsOf = None, legacy: bool = False
+    raw: DataFrame,
+    variant: str = "basic",
+    scorer=score_simple,
+    now: AsOf = None,
+    legacy: bool = False,
+    lexicon: DataFrame | None = None,
+    gazetteer: DataFrame | None = None,
 ) -> DataFrame:
-    """Raw values to enriched rows, one per tag. Works on batches and streams.
+    """Raw values to enriched rows, one per tag.
 
     ``variant``: ``simple`` adds the processing time only and ``plain`` nothing;
-    ``basic``, ``aspects`` and ``struct`` add the features of those consumers.
+    ``basic``, ``aspects`` and ``struct`` add the features of those consumers. Works on batches
+    and streams; with a ``lexicon`` or ``gazetteer`` to look words up in, on batches, and so on a
+    stream as the ``prepare`` of ``start_ingest``.
     """
     messages = parse_legacy_messages(raw) if legacy else parse_messages(raw)
     if variant == "plain":
@@ -35,11 +43,11 @@ def ingest(
     elif variant == "simple":
         rows = enrich_basic(messages, scorer, now).drop("sentiment", "content_length", "hashtag_count")
     elif variant == "basic":
-        rows = enrich_basic(messages, scorer, now)
+        rows = enrich_basic(messages, scorer, now, lexicon)
     elif variant == "aspects":
-        rows = enrich_aspects(messages, scorer, now)
+        rows = enrich_aspects(messages, scorer, now, lexicon=lexicon)
     elif variant == "struct":
-        rows = enrich_struct(messages, scorer, now)
+        rows = enrich_struct(messages, scorer, now, lexicon, gazetteer)
     else:
         raise ValueError(f"unknown variant {variant!r}")
     return explode_hashtags(rows)
@@ -85,15 +93,18 @@ def jdbc_sink(url: str, table: str, properties: dict[str, str], variant: str = "
     return lambda rows, batch_id: write_jdbc(jdbc_columns(rows, variant), url, table, properties)
 
 
-def batch_writer(sinks: Sequence[Sink]) -> Sink:
+def batch_writer(sinks: Sequence[Sink], prepare: Callable[[DataFrame], DataFrame] | None = None) -> Sink:
     """One ``foreachBatch`` function for all sinks.
 
+    ``prepare`` turns a batch into the rows to write, and may join it with tables.
     The batch is kept while it is written several times. An error fails the query, so
     the batch runs again after a restart; sinks that own a folder per batch then
     replace what was written.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
+        if prepare:
+            rows = prepare(rows)
         if len(sinks) > 1:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -107,12 +118,17 @@ def batch_writer(sinks: Sequence[Sink]) -> Sink:
 
 
 def start_ingest(
-    rows: DataFrame, sinks: Sequence[Sink], checkpoint: str, trigger: dict | None = None, name: str | None = None
+    rows: DataFrame,
+    sinks: Sequence[Sink],
+    checkpoint: str,
+    trigger: dict | None = None,
+    name: str | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Start the query. ``trigger`` as in ``writeStream.trigger``, e.g. ``{"availableNow": True}``."""
+    """Start the query. ``rows`` are ingested, or raw with ``prepare`` to ingest each batch. ``trigger`` as in ``writeStream.trigger``, e.g. ``{"availableNow": True}``."""
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.foreachBatch(batch_writer(sinks)).start()
+    return writer.foreachBatch(batch_writer(sinks, prepare)).start()

@@ -1,6 +1,7 @@
 """Streams over small files: same rows as the batch, replays, late rows."""
 
 import json
+import os
 
 
 from tagtide.sources import messages, tables
@@ -90,6 +91,8 @@ def event_files(spark, tmp_path, files):
     for i, rows in enumerate(files):
         lines = [json.dumps({"processing_time": t, "hashtag": h, "sentiment": s}) for t, h, s in rows]
         (folder / f"{i}.json").write_text("\n".join(lines) + "\n")
+        # Files are taken in the order of their times.
+        os.utime(folder / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
     source = (
         spark.readStream.schema("processing_time timestamp_ntz, hashtag string, sentiment double")
         .option("maxFilesPerTrigger", "1")
