@@ -857,4 +857,5 @@ def stream_hourly_sentiment(spark, sf):
 def stream_top_hashtags(spark, sf):
     out, checkpoint = scratch_path(spark, "top"), scratch_path(spark, "state")
     windows.start_top_hashtags(fixtures.posts_stream(spark, sf), out, checkpoint, trigger=NOW).awaitTermination()
+    windows.finish_top_hashtags(spark, out, checkpoint)
     return spark.read.parquet(f"{out}/top").drop("batch_id")

@@ -823,8 +823,7 @@ ORACLES["stream_top_hashtags"] = with_posts(
 placed AS (SELECT unnest(generate_series(minute + INTERVAL 1 MINUTE, minute + INTERVAL 60 MINUTE, INTERVAL 1 MINUTE)) AS window_end, hashtag, n FROM minutes),
 counted AS (SELECT window_end, hashtag, sum(n)::BIGINT AS count FROM placed GROUP BY 1, 2)
 SELECT window_end, hashtag, count, (row_number() OVER (PARTITION BY window_end ORDER BY count DESC, hashtag))::INTEGER AS rank
-FROM counted WHERE window_end <= (SELECT max(minute + INTERVAL 1 MINUTE) FROM minutes WHERE minute + INTERVAL 1 MINUTE
-  <= (SELECT max(date_trunc('millisecond', processing_time)) - INTERVAL 10 MINUTE FROM posts)) QUALIFY rank <= 10"""
+FROM counted WHERE window_end <= (SELECT max(minute + INTERVAL 1 MINUTE) FROM minutes) QUALIFY rank <= 10"""
 )
 
 # Single columns of the queries with several

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tagtide.functions.sentiment import sentiment_category3
 from tagtide.functions.times import cutoff, moment
+from tagtide.session import folders
 
 WATERMARK = "10 minutes"
 
@@ -60,12 +61,24 @@ def stream_hashtag_minutes(posts: DataFrame, watermark: str = WATERMARK) -> Data
 
 
 def hashtag_hours(minutes: DataFrame, after: Column, upto: Column) -> DataFrame:
-    """``window_end, hashtag, count``: the last hour, at each minute in ``(after, upto]``."""
-    first = F.greatest(F.col("minute_end"), after + F.expr("INTERVAL 1 MINUTE"))
-    last = F.least(F.col("minute_end") + F.expr("INTERVAL 59 MINUTES"), upto)
-    ends = F.sequence(first, last, F.expr("INTERVAL 1 MINUTE"))
-    placed = minutes.filter(first <= last).select(F.explode(ends).alias("window_end"), "hashtag", "n")
-    return placed.groupBy("window_end", "hashtag").agg(F.sum("n").alias("count"))
+    """``window_end, hashtag, count``: the last hour, at each minute in ``(after, upto]``.
+
+    A minute adds its posts to the running count of its tag and takes them away an hour later. A
+    tag has two changes per minute at most, and only the windows between changes are filled in.
+    """
+    change = minutes.select("hashtag", F.col("minute_end").alias("at"), "n")
+    gone = minutes.select("hashtag", (F.col("minute_end") + F.expr("INTERVAL 60 MINUTES")).alias("at"), -F.col("n"))
+    changes = change.union(gone).groupBy("hashtag", "at").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy("hashtag").orderBy("at")
+    steps = changes.select(
+        "hashtag",
+        F.greatest("at", after + F.expr("INTERVAL 1 MINUTE")).alias("first"),
+        F.least(F.lead("at").over(order) - F.expr("INTERVAL 1 MINUTE"), upto).alias("last"),
+        F.sum("n").over(order).alias("count"),
+    )
+    held = steps.filter("count > 0 AND first <= last")
+    ends = F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MINUTE")))
+    return held.select(ends.alias("window_end"), "hashtag", "count")
 
 
 def rank_hashtags(counts: DataFrame, k: int = 10) -> DataFrame:
@@ -77,6 +90,27 @@ def rank_hashtags(counts: DataFrame, k: int = 10) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def rank_minutes(batch: DataFrame, batch_id: int, path: str, k: int, spark: SparkSession) -> None:
+    """Write the complete minutes of one batch, and rank the windows that end with them.
+
+    Tables are read back in ``spark``, where plans adapt to their sizes; a batch has a session of
+    its own.
+    """
+    batch.write.mode("overwrite").parquet(f"{path}/minutes/batch_id={batch_id}")
+    reader = spark.read.schema("minute_end timestamp_ntz, hashtag string, n bigint")
+    new = reader.parquet(f"{path}/minutes/batch_id={batch_id}")
+    hour = reader.parquet(f"{path}/hour/batch_id={batch_id - 1}") if batch_id > 0 else new.limit(0)
+    before = hour.agg(F.max("minute_end")).first()[0]
+    start, upto = new.agg(F.min("minute_end"), F.max("minute_end")).first()
+    minutes = hour.unionByName(new)
+    left = minutes.filter(F.col("minute_end") > cutoff(upto, "1 hour")) if upto else hour
+    left.write.mode("overwrite").parquet(f"{path}/hour/batch_id={batch_id}")
+    if upto:
+        after = moment(before) if before else cutoff(start, "1 minute")
+        top = rank_hashtags(hashtag_hours(minutes, after, moment(upto)), k)
+        top.write.mode("overwrite").parquet(f"{path}/top/batch_id={batch_id}")
+
+
 def start_top_hashtags(
     posts: DataFrame,
     path: str,
@@ -92,24 +126,10 @@ def start_top_hashtags(
     batch left in ``path/hour``, and ranks the windows that end with its own minutes. A
     batch that runs again reads the same folders and replaces its own.
     """
-
-    # Tables are read back in this session, where plans adapt to their sizes.
     spark = posts.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/minutes/batch_id={batch_id}")
-        reader = spark.read.schema("minute_end timestamp_ntz, hashtag string, n bigint")
-        new = reader.parquet(f"{path}/minutes/batch_id={batch_id}")
-        hour = reader.parquet(f"{path}/hour/batch_id={batch_id - 1}") if batch_id > 0 else new.limit(0)
-        before = hour.agg(F.max("minute_end")).first()[0]
-        start, upto = new.agg(F.min("minute_end"), F.max("minute_end")).first()
-        minutes = hour.unionByName(new)
-        left = minutes.filter(F.col("minute_end") > cutoff(upto, "1 hour")) if upto else hour
-        left.write.mode("overwrite").parquet(f"{path}/hour/batch_id={batch_id}")
-        if upto:
-            after = moment(before) if before else cutoff(start, "1 minute")
-            top = rank_hashtags(hashtag_hours(minutes, after, moment(upto)), k)
-            top.write.mode("overwrite").parquet(f"{path}/top/batch_id={batch_id}")
+        rank_minutes(batch, batch_id, path, k, spark)
 
     writer = stream_hashtag_minutes(posts, watermark).writeStream.outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint)
@@ -118,6 +138,21 @@ def start_top_hashtags(
     return writer.foreachBatch(write).start()
 
 
+def finish_top_hashtags(spark: SparkSession, path: str, checkpoint: str, k: int = 10) -> None:
+    """Rank the minutes that a stream that has ended still holds open, as one more batch.
+
+    For a bounded input: no later post will move the watermark past them. They are read from the
+    state in the checkpoint. A stream that goes on later replaces this batch by its own.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    value = state.schema["value"].dataType.names[0]
+    held = state.select(
+        F.col("key.window.end").cast("timestamp_ntz").alias("minute_end"), "key.hashtag", F.col(f"value.{value}").cast("bigint").alias("n")
+    )
+    last = max(int(name.removeprefix("batch_id=")) for name in folders(spark, f"{path}/minutes"))
+    rank_minutes(held, last + 1, path, k, spark)
+
+
 def start_windows(
     windows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

@@ -139,3 +139,11 @@ def test_top_hashtags_over_batches(spark, tmp_path):
     assert by_end["11:01"] == [("c", 2), ("b", 1)]
     assert by_end["11:06"] == [("a", 2), ("c", 2)]
     assert max(by_end) == "11:06"
+    # The last minutes come out when the input is known to have ended, once.
+    for _ in range(2):
+        windows.finish_top_hashtags(spark, out, str(tmp_path / "cp"), k=2)
+    rows = spark.read.parquet(f"{out}/top").filter("window_end > '2024-01-30 11:06:00'").collect()
+    ends = sorted({str(r.window_end)[11:16] for r in rows})
+    assert ends[0] == "11:07" and ends[-1] == "11:31" and len(ends) == 25
+    last = sorted((r["rank"], r.hashtag, r["count"]) for r in rows if str(r.window_end)[11:16] == "11:31")
+    assert last == [(1, "a", 2), (2, "c", 1)]
