@@ -466,6 +466,13 @@ def _rich(spark: SparkSession, sf: str) -> DataFrame:
     return texts.rich_analysis(fixtures.text_posts(spark, sf), fixtures.gazetteer(spark, sf))
 
 
+def _listed(aspects: str) -> Column:
+    """All fields of all aspects, in order, a line each."""
+    score = lambda a: a["sentiment"].cast("decimal(10,3)").cast("string")
+    lines = F.transform(aspects, lambda a: F.concat_ws("|", a["aspect"], a["aspect_type"], score(a), a["context"]))
+    return F.array_join(lines, "\n")
+
+
 @query
 def rich_aspect_analysis(spark, sf):
     top = F.get(F.col("dominant_aspects"), F.lit(0))
@@ -478,6 +485,8 @@ def rich_aspect_analysis(spark, sf):
         top["aspect"].alias("top_aspect"),
         top["aspect_type"].alias("top_type"),
         top["context"].alias("top_context"),
+        _listed("aspect_sentiments").alias("aspects"),
+        _listed("dominant_aspects").alias("dominant"),
     )
 
 
@@ -511,15 +520,16 @@ def explode_hashtags(spark, sf):
 
 @query
 def enrich_basic(spark, sf):
-    rows = texts.enrich_basic(messages.parse_messages(fixtures.raw_values(spark, sf)), now=AS_OF)
-    return rows.filter("content IS NOT NULL").drop("hashtags")
+    return texts.enrich_basic(messages.parse_messages(fixtures.raw_values(spark, sf)), now=AS_OF).drop("hashtags")
 
 
 @query
 def enrich_aspects(spark, sf):
     rows = texts.enrich_aspects(messages.parse_messages(fixtures.raw_values(spark, sf)), now=AS_OF)
-    return rows.filter("content IS NOT NULL").select(
-        "content", "sentiment", "sentiment_category", F.size("aspect_sentiments").alias("n_aspects"),
+    entry = lambda e: F.concat_ws("=", e["key"], e["value"].cast("decimal(10,6)").cast("string"))
+    listed = F.array_sort(F.transform(F.map_entries("aspect_sentiments"), entry))
+    return rows.select(
+        "content", "sentiment", "sentiment_category", F.array_join(listed, "\n").alias("aspects"),
         "dominant_aspect", "content_length", "hashtag_count", "processing_time",
     )
 
@@ -532,8 +542,7 @@ def map_entries(spark, sf):
 
 @query
 def enrich_struct(spark, sf):
-    rows = texts.enrich_struct(messages.parse_messages(fixtures.raw_values(spark, sf)), now=AS_OF)
-    return rows.filter("content IS NOT NULL").drop("hashtags")
+    return texts.enrich_struct(messages.parse_messages(fixtures.raw_values(spark, sf)), now=AS_OF).drop("hashtags")
 
 
 @query
@@ -609,8 +618,7 @@ def write_posts(spark, sf):
 def write_aspects(spark, sf):
     path = scratch_path(spark, "aspects")
     tables.write_aspects(ingesting.ingest(fixtures.raw_values(spark, sf), "aspects", now=AS_OF), 0, path)
-    stored = tables.read_table(spark, path, schemas.ASPECT_SENTIMENTS)
-    return stored.groupBy("aspect").agg(F.count(F.lit(1)).alias("n"), F.avg("sentiment").alias("avg_sentiment"))
+    return tables.read_table(spark, path, schemas.ASPECT_SENTIMENTS).drop("dt", "batch_id")
 
 
 @query
@@ -820,7 +828,7 @@ def ingest_stream(spark, sf):
 
 @query
 def dual_sink(spark, sf):
-    """Posts, aspects and processed messages of one query, as rows per sink."""
+    """Posts, aspects and processed messages of one query: all rows of each sink."""
     base, checkpoint = scratch_path(spark, "sinks"), scratch_path(spark, "state")
     rows = ingesting.ingest(fixtures.raw_values_stream(spark, sf), "aspects", now=AS_OF)
     sinks = [
@@ -829,12 +837,17 @@ def dual_sink(spark, sf):
         ingesting.processed_sink(f"{base}/processed"),
     ]
     ingesting.start_ingest(rows, sinks, checkpoint, NOW).awaitTermination()
-    posts = tables.read_table(spark, f"{base}/posts").select("user_name", F.lit("posts").alias("sink"))
-    found = tables.read_table(spark, f"{base}/aspects", schemas.ASPECT_SENTIMENTS).select("user_name", F.lit("aspects").alias("sink"))
+    kept = ["user_name", "hashtag"]
+    posts = tables.read_table(spark, f"{base}/posts").select(F.lit("posts").alias("sink"), *kept, "content", "sentiment")
+    found = tables.read_table(spark, f"{base}/aspects", schemas.ASPECT_SENTIMENTS).select(
+        F.lit("aspects").alias("sink"), *kept, F.col("aspect").alias("content"), "sentiment"
+    )
     sent = spark.read.text(f"{base}/processed").select(
-        F.get_json_object("value", "$.user_name").alias("user_name"), F.lit("processed").alias("sink")
+        F.lit("processed").alias("sink"),
+        *[F.get_json_object("value", f"$.{c}").alias(c) for c in (*kept, "content")],
+        F.get_json_object("value", "$.sentiment").cast("double").alias("sentiment"),
     )
-    return posts.unionByName(found).unionByName(sent).groupBy("sink", "user_name").agg(F.count(F.lit(1)).alias("n"))
+    return posts.unionByName(found).unionByName(sent)
 
 
 @query

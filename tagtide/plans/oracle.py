@@ -597,13 +597,18 @@ named AS MATERIALIZED (SELECT * FROM candidates JOIN means USING (post_id, aspec
 whole AS MATERIALIZED (SELECT post_id, lang, source, {score('clean')} AS overall FROM docs)
 """
 ORACLES["rich_aspect_analysis"] = f"""WITH {RICH},
+placed AS (SELECT *, concat_ws('|', aspect, type, CAST(CAST(sentiment AS DECIMAL(10, 3)) AS VARCHAR), context) AS line,
+  row_number() OVER (PARTITION BY post_id ORDER BY abs(sentiment) DESC, kind, spot) AS place FROM named),
+lines AS (SELECT post_id, string_agg(line, chr(10) ORDER BY kind, spot) AS aspects,
+  string_agg(line, chr(10) ORDER BY place) FILTER (WHERE place <= 3) AS dominant FROM placed GROUP BY 1),
 top AS (SELECT *, count(*) OVER (PARTITION BY post_id) AS n FROM named
   QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY abs(sentiment) DESC, kind, spot) = 1)
 SELECT post_id, round(CAST(printf('%.3f', overall)::DOUBLE AS DECIMAL(30, 12)), 6)::DOUBLE AS overall_sentiment, 0.5::DOUBLE AS overall_subjectivity,
   ({tone('overall')}) || CASE WHEN t.aspect IS NULL THEN ' tone overall'
     ELSE ' tone; Most pronounced towards ''' || t.aspect || ''' (' || printf('%.2f', t.sentiment) || ')' END AS sentiment_summary,
-  coalesce(t.n, 0)::INTEGER AS n_aspects, t.aspect AS top_aspect, t.type AS top_type, t.context AS top_context
-FROM whole LEFT JOIN top t USING (post_id)"""
+  coalesce(t.n, 0)::INTEGER AS n_aspects, t.aspect AS top_aspect, t.type AS top_type, t.context AS top_context,
+  coalesce(l.aspects, '') AS aspects, coalesce(l.dominant, '') AS dominant
+FROM whole LEFT JOIN top t USING (post_id) LEFT JOIN lines l USING (post_id)"""
 ORACLES["rich_hashtag_context"] = f"""WITH {RICH},
 tags AS (SELECT DISTINCT post_id, unnest([lang, source]) AS hashtag, overall FROM whole),
 held AS (SELECT t.post_id, t.hashtag, avg(l.score) AS m FROM tags t JOIN low l USING (post_id) WHERE contains(l.low, lower(t.hashtag)) GROUP BY 1, 2),
@@ -630,7 +635,12 @@ ORACLES["explode_hashtags"] = f"WITH {MESSAGES}, {EXPLODED} SELECT user_name, co
 ORACLES["to_processed_json"] = f"WITH {MESSAGES}, {EXPLODED} SELECT '{{' || " + " || ',' || ".join(
     f"'\"{c}\":' || to_json({c})::VARCHAR" for c in ("user_name", "content", "timestamp", "hashtag")
 ) + " || '}' AS value FROM exploded"
-ORACLES["enrich_basic"] = f"WITH {MESSAGES} SELECT user_name, content, timestamp, {BASIC} FROM messages"
+# A malformed value is a row of NULLs, which is enriched as an empty text.
+MALFORMED = "documents WHERE length(text) % 7 = 0"
+ORACLES["enrich_basic"] = (
+    f"WITH {MESSAGES} SELECT user_name, content, timestamp, {BASIC} FROM messages"
+    f" UNION ALL SELECT NULL, NULL, NULL, 0, 0, NULL, {NOW} FROM {MALFORMED}"
+)
 ORACLES["ingest_stream"] = (
     f"WITH {MESSAGES}, {EXPLODED} SELECT user_name, content, hashtag, said AS timestamp, {BASIC} FROM exploded"
 )
@@ -645,7 +655,8 @@ SELECT user_name, content, timestamp, {STRUCT} AS overall_sentiment,
   CASE WHEN none OR short THEN 0.0 ELSE 0.5 END::DOUBLE AS overall_subjectivity, {STRUCT_SUMMARY} AS sentiment_summary,
   CASE WHEN NOT none AND NOT short THEN aspect END AS top_aspect, {STRUCT} AS top_aspect_sentiment,
   length(clean)::DOUBLE AS content_length, len(hashtags)::INTEGER AS hashtag_count, {NOW} AS processing_time
-FROM a"""
+FROM a
+UNION ALL SELECT NULL, NULL, NULL, 0, 0, 'No content', NULL, 0, 0, NULL, {NOW} FROM {MALFORMED}"""
 ORACLES["write_posts"] = f"""WITH {STRUCT_SOURCE}
 SELECT user_name, content, unnest(hashtags) AS hashtag, {STRUCT} AS sentiment, NULL::VARCHAR AS sentiment_category,
   NULL::VARCHAR AS dominant_aspect, length(clean)::DOUBLE AS content_length, len(hashtags)::INTEGER AS hashtag_count,
@@ -661,23 +672,22 @@ src_rated AS MATERIALIZED (SELECT post_id, sentence, {score('sentence')} AS scor
 ORACLES["map_entries"] = f"""WITH {MESSAGE_ASPECTS}, {EXPLODED}
 SELECT e.user_name, e.hashtag, m.aspect, {f32('m.sentiment')} AS sentiment, {NOW} AS processing_time, e.said AS timestamp
 FROM exploded e JOIN aspect_means m ON m.post_id = e.doc_id"""
-ORACLES["write_aspects"] = f"""WITH {MESSAGE_ASPECTS}, {EXPLODED}
-SELECT m.aspect, count(*) AS n, round(CAST(avg(CAST(CAST(m.sentiment AS FLOAT) AS DOUBLE)) AS DECIMAL(30, 12)), 6)::DOUBLE AS avg_sentiment
-FROM exploded e JOIN aspect_means m ON m.post_id = e.doc_id GROUP BY 1"""
+ORACLES["write_aspects"] = ORACLES["map_entries"]
 ORACLES["enrich_aspects"] = f"""WITH {MESSAGE_ASPECTS},
-counted AS (SELECT post_id, count(*) AS n FROM aspect_means GROUP BY 1),
+listed AS (SELECT post_id, string_agg(line, chr(10) ORDER BY line) AS aspects FROM (
+  SELECT post_id, aspect || '=' || CAST(CAST(CAST(sentiment AS FLOAT) AS DECIMAL(10, 6)) AS VARCHAR) AS line FROM aspect_means) GROUP BY 1),
 all_phrases AS (SELECT post_id, {each('p', 'phrase', 'pos')} FROM cand_lists),
 best AS (SELECT post_id, phrase FROM (SELECT post_id, phrase, count(*) AS n, min(pos) AS pos FROM all_phrases GROUP BY 1, 2)
   QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY n DESC, pos) = 1),
 f AS (SELECT *, {score('clean')} AS s FROM messages)
 SELECT f.content, {f32('f.s')} AS sentiment, {label5('f.s::FLOAT::DOUBLE')} AS sentiment_category,
-  coalesce(c.n, 0)::INTEGER AS n_aspects, b.phrase AS dominant_aspect, length(f.clean)::DOUBLE AS content_length,
+  coalesce(c.aspects, '') AS aspects, b.phrase AS dominant_aspect, length(f.clean)::DOUBLE AS content_length,
   len(f.hashtags)::INTEGER AS hashtag_count, {NOW} AS processing_time
-FROM f LEFT JOIN counted c ON c.post_id = f.doc_id LEFT JOIN best b ON b.post_id = f.doc_id"""
+FROM f LEFT JOIN listed c ON c.post_id = f.doc_id LEFT JOIN best b ON b.post_id = f.doc_id
+UNION ALL SELECT NULL, 0, 'neutral', '', NULL, 0, NULL, {NOW} FROM {MALFORMED}"""
 ORACLES["dual_sink"] = f"""WITH {MESSAGE_ASPECTS}, {EXPLODED}
-SELECT 'posts' AS sink, user_name, count(*) AS n FROM exploded GROUP BY 2
-UNION ALL SELECT 'processed', user_name, count(*) FROM exploded GROUP BY 2
-UNION ALL SELECT 'aspects', e.user_name, count(*) FROM exploded e JOIN aspect_means m ON m.post_id = e.doc_id GROUP BY 2"""
+SELECT s.sink, user_name, hashtag, content, {f32(score('clean'))} AS sentiment FROM exploded, (SELECT unnest(['posts', 'processed']) AS sink) s
+UNION ALL SELECT 'aspects', e.user_name, e.hashtag, m.aspect, {f32('m.sentiment')} FROM exploded e JOIN aspect_means m ON m.post_id = e.doc_id"""
 ORACLES["processed_tail"] = (
     "SELECT doc_id, source AS user, text AS content, lang AS hashtag, '2024-01-30T00:00:00' AS timestamp"
     " FROM documents WHERE doc_id % 3 > 0 ORDER BY doc_id DESC LIMIT 20"
