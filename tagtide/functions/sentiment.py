@@ -20,6 +20,11 @@ NEGATIVE_WORDS = ("hate", "terrible", "awful", "bad", "horrible", "worst", "suck
 # Thresholds of the labels.
 STRONG, MILD, TONE = 0.5, 0.1, 0.3
 
+# The texts of results.
+NO_CONTENT, TOO_SHORT, NO_FOCUS = "No content", "Content too short", " tone overall"
+FOCUS, PRONOUNCED = " tone; focused on '", " tone; Most pronounced towards '"
+RATE, AVERAGE = "Unusual posting rate: ", " posts (avg: "
+
 
 def score_simple(
     text: Column,
@@ -74,14 +79,14 @@ def tone(score: Column) -> Column:
 
 def _summary(score: Column, lead: str, aspect: Column, aspect_score: Column) -> Column:
     detail = F.concat(
-        F.lit(f" tone; {lead} '"), aspect, F.lit("' ("), fixed_point(aspect_score, 2), F.lit(")")
+        F.lit(lead), aspect, F.lit("' ("), fixed_point(aspect_score, 2), F.lit(")")
     )
-    return F.concat(tone(score), F.coalesce(detail, F.lit(" tone overall")))
+    return F.concat(tone(score), F.coalesce(detail, F.lit(NO_FOCUS)))
 
 
 def summary_pronounced(score: Column, aspect: Column, aspect_score: Column) -> Column:
     """The tone, and the aspect with the strongest sentiment."""
-    return _summary(score, "Most pronounced towards", aspect, aspect_score)
+    return _summary(score, PRONOUNCED, aspect, aspect_score)
 
 
 def summary_text(
@@ -89,18 +94,18 @@ def summary_text(
 ) -> Column:
     """The tone and the aspect in focus, or why there is none."""
     return (
-        F.when(F.coalesce(content, F.lit("")) == "", "No content")
-        .when(F.length(clean) < MIN_CONTENT_LENGTH, "Content too short")
-        .otherwise(_summary(score, "focused on", aspect, aspect_score))
+        F.when(F.coalesce(content, F.lit("")) == "", NO_CONTENT)
+        .when(F.length(clean) < MIN_CONTENT_LENGTH, TOO_SHORT)
+        .otherwise(_summary(score, FOCUS, aspect, aspect_score))
     )
 
 
 def reason_text(recent: Column, average: Column) -> Column:
     """Why a posting rate was flagged."""
     return F.concat(
-        F.lit("Unusual posting rate: "),
+        F.lit(RATE),
         recent.cast("string"),
-        F.lit(" posts (avg: "),
+        F.lit(AVERAGE),
         fixed_point(average, 1),
         F.lit(")"),
     )
