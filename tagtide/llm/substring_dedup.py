@@ -256,16 +256,16 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     # The filter has a fixed size; what it lets pass beyond the shared anchors costs time only.
     shared = key_filter(shared_anchors(texts, window, anchor))
     rows = texts.mapInArrow(segment_rows(window, anchor, shared, True), "value long, k long, doc_id long, words string")
-    segments = rows.groupBy("value", "k", "words").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    segments = rows.groupBy("value", "k", "words").agg(F.min("doc_id").alias("low"))
     segments = stored(segments)
-    # An anchor in one segment only, of one document, has nothing to be compared with.
-    groups = segments.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("a"), F.max("high").alias("b"))
-    groups = stored(groups.filter("n > 1 or a < b"))
-    shards = parts_for(groups.agg(F.sum("n")).first()[0] or 1, SHARD_SEGMENTS)
-    plain = segments.join(groups.filter(f"n <= {HOT_SEGMENTS}").select("value"), "value", "left_semi")
+    # Few anchors can have very many segments: at most total / HOT_SEGMENTS.
+    crowded = segments.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter(f"n > {HOT_SEGMENTS}")
+    crowded = beside(stored(crowded.select("value")))
+    shards = parts_for(segments.count(), SHARD_SEGMENTS)
+    plain = segments.join(crowded, "value", "left_anti")
     plain = plain.select("value", "k", F.lit(-1).alias("part"), "words", "low", F.pmod(F.xxhash64("value"), F.lit(shards)).alias("shard"))
     # The windows of an anchor with very many segments go to shards by their own words.
-    hot = segments.join(groups.filter(f"n > {HOT_SEGMENTS}").select("value"), "value", "left_semi")
+    hot = segments.join(crowded, "value", "left_semi")
     hot = hot.withColumn("w", F.split("words", " +"))
     hot = hot.select("value", "k", "low", "w", F.posexplode(F.expr(f"sequence(0, size(w) - {window})")).alias("part", "i"))
     hot = hot.withColumn("words", F.expr(f"array_join(slice(w, i + 1, {window}), ' ')"))
