@@ -473,10 +473,9 @@ def _listed(aspects: str) -> Column:
     return F.array_join(lines, "\n")
 
 
-@query
-def rich_aspect_analysis(spark, sf):
+def _rich_columns(found: DataFrame) -> DataFrame:
     top = F.get(F.col("dominant_aspects"), F.lit(0))
-    return _rich(spark, sf).select(
+    return found.select(
         "post_id",
         "overall_sentiment",
         "overall_subjectivity",
@@ -490,6 +489,18 @@ def rich_aspect_analysis(spark, sf):
     )
 
 
+@query
+def rich_aspect_analysis(spark, sf):
+    return _rich_columns(_rich(spark, sf))
+
+
+@query
+def rich_aspect_analysis_lexicon(spark, sf):
+    posts = fixtures.text_posts(spark, sf)
+    found = texts.rich_analysis(posts, fixtures.gazetteer(spark, sf), lexicon=fixtures.lexicon(spark, sf))
+    return _rich_columns(found).drop("sentiment_summary")
+
+
 @query
 def rich_hashtag_context(spark, sf):
     entries = _rich(spark, sf).select("post_id", F.explode("hashtag_context").alias("hashtag", "c"))

@@ -883,3 +883,14 @@ ORACLES["enrich_struct_lexicon"] = f"""WITH whole AS ({ORACLES['post_sentiment_l
 SELECT user_name, content, timestamp, w.overall_sentiment, w.overall_subjectivity, w.top_aspect, w.top_aspect_sentiment,
   length(clean)::DOUBLE AS content_length, len(hashtags)::INTEGER AS hashtag_count, {NOW} AS processing_time
 FROM messages m JOIN whole w ON w.post_id = m.doc_id"""
+
+BY_DOC = lexicon_scores("by_doc", "docs", "post_id", "clean")
+ORACLES["rich_aspect_analysis_lexicon"] = (
+    ORACLES["rich_aspect_analysis"]
+    .replace("low AS MATERIALIZED (SELECT *, lower(sentence) AS low FROM rated)",
+             f"{LEXICON.strip()}, {BY_SENTENCE.strip()}, {BY_DOC.strip()},\nlow AS MATERIALIZED (SELECT s.post_id, s.pos, s.sentence,"
+             " b.polarity AS score, lower(s.sentence) AS low FROM sents s JOIN by_sentence b USING (post_id, pos))")
+    .replace(f"{score('clean')} AS overall FROM docs", "polarity AS overall, subjectivity FROM docs JOIN by_doc USING (post_id)")
+    .replace("0.5::DOUBLE AS overall_subjectivity", "round(CAST(printf('%.3f', subjectivity)::DOUBLE AS DECIMAL(30, 12)), 6)::DOUBLE AS overall_subjectivity")
+)
+ORACLES["rich_aspect_analysis_lexicon"] = f"SELECT * EXCLUDE (sentiment_summary) FROM ({ORACLES['rich_aspect_analysis_lexicon']})"
