@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from tagtide.llm.common import PIECE_BYTES, table
 
-#: Bytes of a leaf, parts kept in a worker's cache, and bytes of the parts that are worth keeping.
-LEAF_BYTES, CACHE_PARTS, CACHE_BYTES = 64, 600_000, 64
+#: Bytes of a leaf, parts in each of the two halves of a worker's cache, and bytes of the parts worth keeping.
+LEAF_BYTES, CACHE_PARTS, CACHE_BYTES = 64, 120_000, 64
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -46,7 +46,9 @@ class Coder:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.names = {rank: str(rank) for rank in self.bytes_of}
         self.parts = regex.compile(pattern).findall
-        self.known: dict[str, tuple[str, list[int], bytes]] = {}
+        # Parts met lately, and those before them: what is met again moves on, the rest is forgotten.
+        self.known: dict[str, tuple[str, bytes]] = {}
+        self.older: dict[str, tuple[str, bytes]] = {}
         self.settled: dict[tuple[int, int], bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
@@ -116,38 +118,41 @@ class Coder:
             start = at
         yield text[start:]
 
-    def entries(self, text: str) -> Iterator[list[tuple[str, list[int], bytes]]]:
-        """Names, ids and decoded bytes of the parts of the text, a list for each piece of it."""
-        known, look_up = self.known.get, self._look_up
+    def entries(self, text: str) -> Iterator[tuple[str, bytes]]:
+        """Ids joined by commas, and what they decode to, of each piece of the text."""
         for piece in self.cuts(text):
-            yield [known(part) or look_up(part) for part in self.parts(piece)]
+            known, look_up = self.known, self._look_up
+            parts = [known.get(part) or look_up(part) for part in self.parts(piece)]
+            if parts:
+                names, decoded = zip(*parts)
+                yield ",".join(names), b"".join(decoded)
+            if len(known) > CACHE_PARTS:
+                self.older, self.known = known, {}
 
     def encode(self, text: str) -> list[int]:
-        return [i for parts in self.entries(text) for _, ids, _ in parts for i in ids]
+        return [int(i) for names, _ in self.entries(text) for i in names.split(",")]
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of the tokens, one after the other."""
         return b"".join([self.bytes_of[i] for i in ids])
 
-    def _look_up(self, part: str) -> tuple[str, list[int], bytes]:
-        ids = self.part(part)
-        entry = (",".join([self.names[i] for i in ids]), ids, self.decode(ids))
+    def _look_up(self, part: str) -> tuple[str, bytes]:
+        entry = self.older.get(part)
+        if entry is None:
+            ids = self.part(part)
+            entry = (",".join([self.names[i] for i in ids]), self.decode(ids))
         if len(part) <= CACHE_BYTES:
-            if len(self.known) >= CACHE_PARTS:
-                self.known.clear()
             self.known[part] = entry
         return entry
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, digest of the ids joined by commas, and digest of the decoded bytes."""
-        names, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
-        for parts in self.entries(text):
-            if parts:
-                text_ids, ids, data = zip(*parts)
-                names.update((("," if n else "") + ",".join(text_ids)).encode())
-                decoded.update(b"".join(data))
-                n += sum(map(len, ids))
-        return n, names.hexdigest(), decoded.hexdigest()
+        digest, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
+        for names, data in self.entries(text):
+            digest.update((("," if n else "") + names).encode())
+            decoded.update(data)
+            n += names.count(",") + 1
+        return n, digest.hexdigest(), decoded.hexdigest()
 
 
 def _coder(spark: SparkSession, path: str, pattern: str):
@@ -202,14 +207,13 @@ def encode_with_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``docs`` with ``n_tokens``, ``token_ids`` and the digests of the ids and of the bytes they decode to."""
 
     def work(coder: Coder, value: str | None) -> tuple:
-        ids, decoded = [], hashlib.sha256()
-        names = hashlib.sha256()
-        for parts in coder.entries(value or ""):
-            if parts:
-                names.update((("," if ids else "") + ",".join([p[0] for p in parts])).encode())
-                decoded.update(b"".join([p[2] for p in parts]))
-                ids += [i for p in parts for i in p[1]]
-        return len(ids), ids, names.hexdigest(), decoded.hexdigest()
+        ids: list[int] = []
+        digest, decoded = hashlib.sha256(), hashlib.sha256()
+        for names, data in coder.entries(value or ""):
+            digest.update((("," if ids else "") + names).encode())
+            decoded.update(data)
+            ids += map(int, names.split(","))
+        return len(ids), ids, digest.hexdigest(), decoded.hexdigest()
 
     fields = [("n_tokens", pa.int64()), ("token_ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     return _mapped(docs, "text", path, pattern, work, fields, "n_tokens long, token_ids array<int>, ids_sha256 string, decoded_sha256 string")

@@ -19,7 +19,7 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Rows (of some 40 bytes) that may be broadcast.
 BROADCAST_ROWS = 500_000
 #: Rows and bytes of one Arrow batch, and bytes that a numpy step takes at once.
-BATCH_ROWS, BATCH_BYTES, PIECE_BYTES = 2_000, 8 * 1024 * 1024, 1 << 20
+BATCH_ROWS, BATCH_BYTES, PIECE_BYTES = 2_000, 4 << 20, 1 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -34,9 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read again, so that nothing is computed twice."""
-    return cut_lineage(df)
+def stored(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that nothing is computed twice.
+
+    ``replaces`` is a table made here that nothing reads any more; it is deleted.
+    """
+    return cut_lineage(df, replaces)
 
 
 def beside(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -62,7 +65,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str, size: int = 4 * PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str, size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut to about ``size`` bytes of text each; a longer text is a piece of its own."""
     for batch in batches:
         _, at = utf8(batch.column(text))

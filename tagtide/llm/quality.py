@@ -102,7 +102,7 @@ def described(texts: Iterator[pa.Array]) -> Iterator[np.ndarray]:
         _, at = utf8(batch)
         rows, start = [np.zeros((0, 23))], 0
         while start < len(batch):
-            end = max(start + 1, int(np.searchsorted(at, at[start] + 4 * PIECE_BYTES, "right")) - 1)
+            end = max(start + 1, int(np.searchsorted(at, at[start] + PIECE_BYTES, "right")) - 1)
             rows.append(features.of(batch.slice(start, end - start)))
             start = end
         yield np.vstack(rows)
