@@ -57,7 +57,7 @@ def components(links: DataFrame) -> DataFrame:
     neighbours of each node, and the node with its smaller ones, on the smallest neighbour
     (Kiveris et al. 2014). The number of rounds grows with the logarithm of the nodes. A hub's
     smallest neighbour is found by partial aggregation and joined back as one row, so hubs
-    split. Rounds are written to the shared folder.
+    split. Rounds are written to the shared folder, one after the other.
     """
     a, b = links.columns
     pairs = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).filter("a <> b")
@@ -70,5 +70,5 @@ def components(links: DataFrame) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m"))
-        stars = stored(small.filter("a <> b").distinct())
+        stars = stored(small.filter("a <> b").distinct(), replaces=stars)
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))

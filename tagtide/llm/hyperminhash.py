@@ -238,14 +238,16 @@ def pairs_of_blocks(percent: int):
             band = rows["band"][0].as_py()
             column = lambda t, name: t[name].to_numpy()
             matrix = lambda t, name, kind: np.frombuffer(b"".join(t[name].to_pylist()), kind).reshape(t.num_rows, -1)
-            (xk, yk), (xf, yf) = ((signed(keys_of_bands(matrix(t, "registers", np.uint16))) for t in (x, y)), (matrix(t, "fine", np.uint8) for t in (x, y)))
+            xk, yk = (signed(keys_of_bands(matrix(t, "registers", np.uint16))) for t in (x, y))
+            xf, yf = (matrix(t, "fine", np.uint8) for t in (x, y))
             here = int(np.flatnonzero(xk[0] == band)[0])
             rep, root, n, common = (column(y, c) for c in ("rep", "root", "n", "common"))
             main = column(y, "main")
             for i, (r, o, m, c, p) in enumerate(zip(*(column(x, k) for k in ("rep", "root", "n", "common", "pivot")))):
                 most = np.minimum(common, c)
-                able = (root != o) & ((root == main) | (r < rep)) & (rep != p) & (r != p) & (100 * most >= percent * (n + m - most))
-                able = np.flatnonzero(able)
+                # Pairs with the pivot were tested before; of two odd members the smaller one asks.
+                apart = (root != o) & ((root == main) | (r < rep)) & (rep != p) & (r != p)
+                able = np.flatnonzero(apart & (100 * most >= percent * (n + m - most)))
                 able = able[(xk[i, :here] != yk[able, :here]).all(1)]
                 able = able[near_enough(xf[i], yf[able], m + n[able], threshold)]
                 found.append((np.full(len(able), r), rep[able]))
