@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import SCHEMA, documents, roots, sentence, texts, words
+from helpers import SCHEMA, documents, roots, texts, words
 
 from tagtide.llm.components import components, forest
 from tagtide.llm import hyperminhash
