@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagtide.functions.times import AsOf, since
-from tagtide.operators.skew import count_by, hot_keys, spread
+from tagtide.operators.skew import count_by, hot_keys
 from tagtide.session import cut_lineage, pin
 
 TAGS_PER_BLOCK = 2_000

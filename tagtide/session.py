@@ -90,6 +90,17 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in files.listStatus(top) if f.isDirectory()]
 
 
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the tables that jobs of this session have written for themselves. Returns their number.
+
+    Results that were not stored elsewhere read from them: call it between jobs.
+    """
+    names = [name for name in folders(spark, shared_dir(spark)) if name.startswith("table-")]
+    for name in names:
+        delete_folder(spark, f"{shared_dir(spark)}/{name}")
+    return len(names)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Checkpoint ``df``. Its partitioning is kept, so joins on that key need no shuffle."""
     shared_dir(df.sparkSession)

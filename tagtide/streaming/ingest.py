@@ -125,7 +125,10 @@ def start_ingest(
     name: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Start the query. ``rows`` are ingested, or raw with ``prepare`` to ingest each batch. ``trigger`` as in ``writeStream.trigger``, e.g. ``{"availableNow": True}``."""
+    """Start the query. ``rows`` are ingested, or raw with ``prepare`` to ingest each batch.
+
+    ``trigger`` as in ``writeStream.trigger``, e.g. ``{"availableNow": True}``.
+    """
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)

@@ -209,3 +209,15 @@ def test_jdbc_writer_options(spark, monkeypatch):
         "columns": ["user_name"], "format": "jdbc", "mode": "append", "url": "jdbc:x://h/db",
         "dbtable": "posts", "user": "me", "saved": True,
     }
+
+
+def test_round_tables_are_deleted(spark):
+    from tagtide.session import clear_scratch, cut_lineage, folders, shared_dir
+
+    first = cut_lineage(spark.range(3).toDF("n"))
+    second = cut_lineage(first.selectExpr("n + 1 AS n"), replaces=first)
+    assert [r.n for r in second.orderBy("n").collect()] == [1, 2, 3]
+    names = folders(spark, shared_dir(spark))
+    assert first.scratch_path.split("/")[-1] not in names and second.scratch_path.split("/")[-1] in names
+    assert clear_scratch(spark) >= 1
+    assert not any(n.startswith("table-") for n in folders(spark, shared_dir(spark)))
