@@ -20,19 +20,21 @@ BEGIN, END = "<|im_start|>", "<|im_end|>"
 def prefixes(turns: DataFrame) -> DataFrame:
     """``conv_id, n, h1, h2, n_turns``: for every prefix of n turns its 120-bit hash.
 
-    Turns are taken in the order of turn (null last), role and text; null role or text is
-    hashed unlike the empty one. Turns that repeat a number stay, one after the other.
+    Turns are taken in the order of turn (null last); null role or text is hashed unlike the
+    empty one. Turns that repeat a number all count, in an order that follows from what they say.
     """
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
     part = F.concat_ws(
         "\x00",
-        F.col("n").cast("string"),
         F.coalesce(F.length("role"), F.lit(-1)).cast("string"),
         F.coalesce("role", F.lit("")),
         F.coalesce(F.length("text"), F.lit(-1)).cast("string"),
         F.coalesce("text", F.lit("")),
     )
-    rows = turns.withColumn("n", F.row_number().over(order)).withColumn("sha", F.sha2(part, 256))
+    # Only digests are shuffled, not texts.
+    digests = turns.select("conv_id", "turn", F.sha2(part, 256).alias("turn_sha"))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "turn_sha")
+    rows = digests.withColumn("n", F.row_number().over(order))
+    rows = rows.withColumn("sha", F.sha2(F.concat_ws(":", F.col("n").cast("string"), "turn_sha"), 256))
     for i in (1, 2):
         word = F.conv(F.substring("sha", 1 + 15 * (i - 1), 15), 16, 10).cast("long")
         rows = rows.withColumn(f"h{i}", word)
