@@ -7,6 +7,10 @@ distance. Documents whose registers agree in a whole band are candidates; their
 similarity is estimated from the registers, corrected for chance collisions, and what is not
 clearly below the threshold is decided on the full sets of shingles.
 
+A small set leaves most registers to copies of few, and one shingle can spoil all bands. Sets of
+up to SMALL shingles are therefore compared by their shingles: two similar sets share one of
+the few rarest of each (prefix filter), in any order of rarity that is the same for all.
+
 Documents of equal words are one class. In a bucket of a band everything is compared with its
 smallest id first, which settles large groups with one comparison a member. Only members that
 end in another component than that one are then compared with the rest of their bucket.
@@ -18,15 +22,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, pieces, signed, stored, table, utf8
-from tagtide.llm.components import components
+from tagtide.llm.components import components, forest
 
-#: Registers, mantissa bits and rows of a band. Two documents of similarity 0.75 meet in none of
-#: the 32 bands with probability (1 - 0.75^4)^32 = 5e-6.
+#: Registers, mantissa bits and rows of a band. If registers were independent, two documents of similarity 0.75
+#: would meet in none of the 32 bands with probability (1 - 0.75^4)^32 = 5e-6; copied registers are not.
 REGISTERS, MANTISSA, BAND = 128, 10, 4
+#: Pairs with a set of at most so many shingles are found by their shingles and never missed.
+SMALL = 200
 SHINGLE, PERCENT, SIGMAS = 5, 75, 5.0
 #: Registers of a closer look, and members of a bucket that meet in one task.
 FINE, BLOCK_MEMBERS = 512, 1_000
@@ -105,33 +111,43 @@ def plausible(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, thre
     return estimate >= threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / drawn)
 
 
-SKETCH_SCHEMA = "doc_id long, n long, k1 long, k2 long, registers binary"
+SKETCH_SCHEMA = "doc_id long, n long, k1 long, k2 long, registers binary, shingles binary"
 
 
-def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, text`` to the set size, a 128-bit hash of the words in order, and the registers."""
-    shingler = Shingler()
-    for batch in pieces(batches, "text"):
-        n = batch.num_rows
-        value, doc, words, counts = shingler.sets(batch.column("text"))
-        up, down = shingler.hasher._powers(len(words) + 1)
-        ends = np.cumsum(counts)
-        keys = []
-        for seed in (0x632BE59BD9B4E019, 0xA0761D6478BD642F):
-            total = np.zeros(len(words) + 1, np.uint64)
-            np.cumsum(mix64(words ^ np.uint64(seed)) * up[: len(words)], out=total[1:])
-            keys.append(mix64((total[ends] - total[ends - counts]) * down[ends - counts] + counts.astype(np.uint64)))
-        rows = registers(value, doc, n)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array(np.bincount(doc, minlength=n).astype(np.int64)),
-                pa.array(signed(keys[0])),
-                pa.array(signed(keys[1])),
-                pa.array([r.tobytes() for r in rows], pa.binary()),
-            ],
-            ["doc_id", "n", "k1", "k2", "registers"],
-        )
+def sketches(limit: int):
+    """``doc_id, text`` to the set size, a 128-bit hash of the words in order, the registers, and the set of up to ``limit`` shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in pieces(batches, "text"):
+            n = batch.num_rows
+            value, doc, words, counts = shingler.sets(batch.column("text"))
+            up, down = shingler.hasher._powers(len(words) + 1)
+            ends = np.cumsum(counts)
+            keys = []
+            for seed in (0x632BE59BD9B4E019, 0xA0761D6478BD642F):
+                total = np.zeros(len(words) + 1, np.uint64)
+                np.cumsum(mix64(words ^ np.uint64(seed)) * up[: len(words)], out=total[1:])
+                keys.append(mix64((total[ends] - total[ends - counts]) * down[ends - counts] + counts.astype(np.uint64)))
+            rows = registers(value, doc, n)
+            size = np.bincount(doc, minlength=n)
+            small = size[doc] <= limit
+            order = np.argsort(doc[small], kind="stable")
+            at = np.r_[0, np.cumsum(np.where(size <= limit, size, 0))] * 8
+            sets = [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(value[small][order])]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array(size.astype(np.int64)),
+                    pa.array(signed(keys[0])),
+                    pa.array(signed(keys[1])),
+                    pa.array([r.tobytes() for r in rows], pa.binary()),
+                    pa.Array.from_buffers(pa.binary(), n, sets),
+                ],
+                ["doc_id", "n", "k1", "k2", "registers", "shingles"],
+            )
+
+    return run
 
 
 def keys_of_bands(rows: np.ndarray) -> np.ndarray:
@@ -166,22 +182,23 @@ def plausible_pairs(threshold: float):
     return run
 
 
+def similar(x: np.ndarray, of_x: np.ndarray, y: np.ndarray, of_y: np.ndarray, n: int, percent: int) -> np.ndarray:
+    """Which of n pairs of sets share enough; ``of_x`` and ``of_y`` number the pair that each shingle is from."""
+    mark = lambda value, doc: mix64(value + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    _, index, _ = np.intersect1d(mark(x, of_x), mark(y, of_y), assume_unique=True, return_indices=True)
+    common = np.bincount(of_x[index], minlength=n)
+    union = np.bincount(of_x, minlength=n) + np.bincount(of_y, minlength=n) - common
+    return (100 * common >= percent * union) & (union > 0)
+
+
 def confirmed(percent: int):
     """``a, b, ta, tb`` to the pairs whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in pieces(pieces(batches, "ta"), "tb"):
-            n, marks, sizes = batch.num_rows, [], []
-            for side in ("ta", "tb"):
-                value, doc, _, _ = shingler.sets(batch.column(side))
-                marks.append((mix64(value + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), doc))
-                sizes.append(np.bincount(doc, minlength=n))
-            (x, doc), (y, _) = marks
-            _, index, _ = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-            common = np.bincount(doc[index], minlength=n)
-            union = sizes[0] + sizes[1] - common
-            yield batch.select(["a", "b"]).filter(pa.array((100 * common >= percent * union) & (union > 0)))
+            (x, of_x), (y, of_y) = (shingler.sets(batch.column(side))[:2] for side in ("ta", "tb"))
+            yield batch.select(["a", "b"]).filter(pa.array(similar(x, of_x, y, of_y, batch.num_rows, percent)))
 
     return run
 
@@ -257,6 +274,110 @@ def pairs_of_blocks(percent: int):
     return run
 
 
+def sets_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a column of sets, and the row each is from."""
+    sets = column.to_pylist()
+    return np.frombuffer(b"".join(sets), np.uint64), np.repeat(np.arange(len(sets)), [len(x) // 8 for x in sets])
+
+
+def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``shingles`` to one row per shingle."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(signed(sets_of(batch.column("shingles"))[0]))], ["band"])
+
+
+def leading_rows(percent: int, shared):
+    """``rep, k1, shingles`` to the shingles that may be shared, of sets with enough of them, and how many of these lead.
+
+    Of n shingles the n - ceil(n x percent) + 1 rarest lead. What occurs once is rarest and meets nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = KeyFilter(shared.value)
+        for batch in batches:
+            rows = batch.num_rows
+            value, doc = sets_of(batch.column("shingles"))
+            held = known.may_hold(value)
+            n = np.bincount(doc, minlength=rows)
+            alone = n - np.bincount(doc[held], minlength=rows)
+            left = n + (-percent * n // 100) + 1 - alone
+            held = held[left[doc[held]] > 0]
+            own = pa.array(doc[held])
+            columns = [batch.column("rep").take(own), batch.column("k1").take(own), pa.array(left[doc[held]]), pa.array(signed(value[held]))]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "k1", "left", "band"])
+
+    return run
+
+
+def similar_pairs(percent: int):
+    """``a, b, sa, sb`` to the pairs whose sets are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = similar(*sets_of(batch.column("sa")), *sets_of(batch.column("sb")), batch.num_rows, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
+def links_of_blocks(percent: int):
+    """Two blocks of one bucket of small sets, members outside its main component and others, to a forest of their links."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        side = rows["odd"].to_numpy()
+        x, y = (rows.filter(pa.array(side == odd)) for odd in (True, False))
+        (xv, xd), (yv, yd) = sets_of(x["shingles"]), sets_of(y["shingles"])
+        order = np.argsort(yv, kind="stable")
+        yv, yd, n = yv[order], yd[order], np.bincount(yd, minlength=y.num_rows)
+        rep, root, main = (y[c].to_numpy() for c in ("rep", "root", "main"))
+        begin = np.searchsorted(xd, np.arange(x.num_rows + 1))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, (r, o) in enumerate(zip(x["rep"].to_numpy(), x["root"].to_numpy())):
+            own = xv[begin[i] : begin[i + 1]]
+            low, size = np.searchsorted(yv, own), np.searchsorted(yv, own, "right")
+            size -= low
+            at = np.arange(size.sum()) + np.repeat(low - np.cumsum(size) + size, size)
+            common = np.bincount(yd[at], minlength=len(rep))
+            # Of two odd members the smaller one asks.
+            apart = (root != o) & ((root == main) | (r < rep))
+            found = rep[apart & (100 * common >= percent * (n + len(own) - common))]
+            a.append(np.full(len(found), r))
+            b.append(found)
+        a, b = forest(np.concatenate(a), np.concatenate(b))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def small_members(small: DataFrame, percent: int) -> DataFrame:
+    """``band, rep, k1, pivot, pivot_k1``: the buckets of small sets by the shingles that lead them.
+
+    ``small`` has ``rep, k1, n, shingles``.
+    """
+    often = small.select("shingles").mapInArrow(set_rows, "band long").groupBy("band").agg(F.count(F.lit(1)).alias("often"))
+    often = stored(often.filter("often > 1"))
+    shared = key_filter(often.select("band"))
+    rows = small.select("rep", "k1", "shingles").mapInArrow(leading_rows(percent, shared), "rep long, k1 long, left long, band long")
+    # What the filter lets pass and occurs once keeps its place between the rarest and the others.
+    rarity = Window.partitionBy("rep", "k1").orderBy(F.coalesce("often", F.lit(1)), "band")
+    rows = rows.join(often, "band", "left").withColumn("place", F.row_number().over(rarity)).filter("place <= left and often > 1")
+    rows = stored(rows.select("band", "rep", "k1"))
+    first = F.min(F.struct("rep", "k1"))
+    pivots = rows.groupBy("band").agg(first.alias("first"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    pivots = pivots.select("band", F.col("first.rep").alias("pivot"), F.col("first.k1").alias("pivot_k1"), "members")
+    return stored(rows.join(pivots, "band"))
+
+
+def small_links(members: DataFrame, small: DataFrame, percent: int) -> DataFrame:
+    """The links ``a, b`` of members of buckets with the pivots."""
+    pairs = members.filter("rep <> pivot").select("rep", "k1", "pivot", "pivot_k1").distinct()
+    one = small.select("rep", "k1", F.col("n").alias("na"), F.col("shingles").alias("sa"))
+    two = small.select(F.col("rep").alias("pivot"), F.col("k1").alias("pivot_k1"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+    both = pairs.join(one, ["rep", "k1"]).join(two, ["pivot", "pivot_k1"])
+    both = both.filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    return stored(both.select(F.col("rep").alias("a"), F.col("pivot").alias("b"), "sa", "sb").mapInArrow(similar_pairs(percent), "a long, b long"))
+
+
 def texts_of(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """``rep, text`` of the documents in ``reps`` (one column), once each."""
     own = texts.join(beside(reps), texts["rep"] == reps["rep"], "left_semi")
@@ -283,23 +404,30 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_i
     without id. Rows that repeat an id share its component.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketch = stored(source.mapInArrow(sketches, SKETCH_SCHEMA))
+    # A set that is similar to one of SMALL shingles has at most so many.
+    limit = SMALL * 100 // percent
+    sketch = stored(source.mapInArrow(sketches(limit), SKETCH_SCHEMA))
     full = sketch.filter("n > 0 and doc_id is not null")
     classes = stored(
-        full.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "n", "registers")).alias("first")).select(
-            "k1", "k2", F.col("first.doc_id").alias("rep"), "first.n", "first.registers"
+        full.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "n", "registers", "shingles")).alias("first")).select(
+            "k1", "k2", F.col("first.doc_id").alias("rep"), "first.n", "first.registers", "first.shingles"
         )
     )
-    reps = classes.select("rep", "n", "registers")
+    reps = classes.filter(f"n > {SMALL}").select("rep", "n", "registers")
+    small = classes.filter(f"n <= {limit}").select("rep", "k1", "n", "shingles")
     texts = source.withColumnRenamed("doc_id", "rep")
     bands = reps.select("rep", "registers").mapInArrow(band_keys, "band long, rep long")
     pivots = bands.groupBy("band").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = stored(bands.join(pivots, "band"))
     first = members.filter("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = linked(first, reps, texts, percent)
-    open_pairs = unsettled(members.filter("members > 2"), components(links), reps, texts, percent)
+    small_buckets = small_members(small, percent)
+    links = linked(first, reps, texts, percent).union(small_links(small_buckets, small, percent))
+    settled = components(links)
+    open_pairs = unsettled(members.filter("members > 2"), settled, reps, texts, percent)
     more = linked(open_pairs, reps, texts, percent)
-    roots = components(links.union(more))
+    open_sets = in_blocks(contested(small_buckets.filter("members > 2"), settled, ["rep", "k1"]), small, ["rep", "k1"])
+    small_more = open_sets.groupBy("band", "i", "j").applyInArrow(links_of_blocks(percent), "a long, b long")
+    roots = components(links.union(more).union(small_more))
     known = classes.select("k1", "k2", "rep").join(roots, F.col("rep") == F.col("node"), "left")
     known = known.select("k1", "k2", F.coalesce("root", "rep").alias("component"))
     found = sketch.withColumn("usable", F.expr("n > 0 and doc_id is not null")).join(known, ["k1", "k2"], "left")
@@ -309,17 +437,10 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_i
     )
 
 
-def unsettled(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` in a bucket that are in different components and may be links yet.
-
-    Members outside the largest component of their bucket meet the rest of it, in blocks, so that
-    a bucket of any size is dealt to many tasks. No link can share more shingles than the
-    smaller number of those that a side has in common with any other document here, and what an
-    edit made new occurs nowhere else; then FINE registers estimate the similarity. Only
-    pairs that pass both become rows.
-    """
+def contested(members: DataFrame, roots: DataFrame, own: list[str]) -> DataFrame:
+    """The members of buckets in several components, with their root, the largest component and numbers of blocks."""
     joined = members.join(roots, F.col("rep") == F.col("node"), "left")
-    joined = stored(joined.select("band", "rep", "pivot", F.coalesce("root", "rep").alias("root")))
+    joined = stored(joined.select("band", *own, "pivot", F.coalesce("root", "rep").alias("root")))
     sizes = joined.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("band").agg(
         F.max(F.struct("n", "root"))["root"].alias("main"),
@@ -327,17 +448,34 @@ def unsettled(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: Data
         F.ceil(F.sum("n") / BLOCK_MEMBERS).cast("int").alias("blocks"),
         F.ceil((F.sum("n") - F.max("n")) / BLOCK_MEMBERS).cast("int").alias("odd_blocks"),
     )
-    contested = stored(joined.join(main.filter("roots > 1").drop("roots"), "band"))
-    own = texts_of(stored(contested.select("rep").distinct()), texts)
-    twice = own.mapInArrow(shingle_rows, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    looks = own.mapInArrow(closer_looks(key_filter(twice.filter("n > 1").select("shingle"))), "rep long, common long, fine binary")
-    looks = stored(looks.join(reps, "rep").filter(f"100 * common >= {percent} * n"))
+    return stored(joined.join(main.filter("roots > 1").drop("roots"), "band"))
+
+
+def in_blocks(contested: DataFrame, looks: DataFrame, own: list[str]) -> DataFrame:
+    """Members outside the largest component of their bucket (``odd``) beside the rest of it, in pairs of blocks."""
     place = lambda blocks: F.pmod(F.xxhash64("rep"), F.col(blocks)).cast("int")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-    keys = ["band", "rep", "root", "pivot", "main"]
+    keys = ["band", *own, "root", "pivot", "main"]
     odd = contested.filter("root <> main").select(F.lit(True).alias("odd"), *keys, place("odd_blocks").alias("i"), every("blocks").alias("j"))
     rest = contested.select(F.lit(False).alias("odd"), *keys, every("odd_blocks").alias("i"), place("blocks").alias("j"))
-    placed = odd.unionByName(rest).join(looks, "rep")
+    return odd.unionByName(rest).join(looks, own)
+
+
+def unsettled(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` in a bucket that are in different components and may be links yet.
+
+    Members outside the largest component of their bucket meet the rest of it, in blocks, so that
+    a bucket of any size is dealt to many tasks. No link can share more shingles than the
+    smaller number of those that a side has in common with any other document here, and what an
+    edit made new occurs nowhere else; then FINE registers estimate the similarity. Only
+    pairs that pass both become rows.
+    """
+    open_members = contested(members, roots, ["rep"])
+    own = texts_of(stored(open_members.select("rep").distinct()), texts)
+    twice = own.mapInArrow(shingle_rows, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    looks = own.mapInArrow(closer_looks(key_filter(twice.filter("n > 1").select("shingle"))), "rep long, common long, fine binary")
+    looks = stored(looks.join(reps, "rep").filter(f"100 * common >= {percent} * n"))
+    placed = in_blocks(open_members, looks, ["rep"])
     return placed.groupBy("band", "i", "j").applyInArrow(pairs_of_blocks(percent), "a long, b long")
 
 

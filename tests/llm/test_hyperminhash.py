@@ -68,6 +68,27 @@ def test_near_groups(spark, monkeypatch, block):
     assert sorted((tuple(r) for r in got), key=str) == plain(rows)
 
 
+@pytest.mark.parametrize("block", [1_000, 3])
+def test_pairs_of_small_sets(spark, monkeypatch, block):
+    monkeypatch.setattr(hyperminhash, "BLOCK_MEMBERS", block)
+    rnd, rows = random.Random(12), []
+    for k in range(600):  # from 4 to 40 shingles, with words added as far as the similarity stays at 75 percent
+        n = 4 + k % 37
+        ws = [f"w{rnd.randrange(10**9)}" for _ in range(n + 4)]
+        more = [f"w{rnd.randrange(10**9)}" for _ in range(n // 3)]
+        rows += [(2 * k, " ".join(ws)), (2 * k + 1, " ".join(ws + more))]
+    hot = [f"h{i}" for i in range(12)]  # a common start, in buckets with many components
+    rows += [(5_000 + k, " ".join([*hot, *(f"t{k // 4}x{i}" for i in range(2 + k // 4 % 9)), *["z"] * (k % 3)])) for k in range(80)]
+    got = near_groups(documents(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain(rows)
+
+
+def test_near_groups_by_bands(spark, monkeypatch):
+    monkeypatch.setattr(hyperminhash, "SMALL", 0)
+    got = near_groups(documents(spark)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain(texts())
+
+
 def test_one_of_each_group_stays(spark):
     docs = documents(spark)
     kept = near_dedup(docs)
