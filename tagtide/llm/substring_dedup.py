@@ -216,7 +216,11 @@ def segment_rows(window: int, anchor: int, shared, with_words: bool):
                 at = np.r_[0, np.cumsum(size)]
                 take = np.arange(at[-1]) + np.repeat(first - at[:-1], size)
                 raw = a.data[take].copy()
-                raw[a.hasher.space[raw]] = 32
+                space = a.hasher.space[raw]
+                raw[space] = 32
+                # One blank between words, so that segments of equal words are equal.
+                keep = ~(space & np.r_[False, space[:-1]][: len(space)])
+                raw, at = raw[keep], np.r_[0, np.cumsum(keep)][at]
                 words = pa.Array.from_buffers(pa.string(), len(used), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays([*keys, words], ["value", "k", "doc_id", "words"])
             else:

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from helpers import SCHEMA, documents, texts, words
+from helpers import SCHEMA, documents, sentence, texts, words
 
 from tagtide.llm import substring_dedup
 from tagtide.llm.substring_dedup import FMIndex, WaveletMatrix, cut_repeats, least_owner
@@ -81,5 +81,15 @@ def test_documents(spark, monkeypatch, hot):
     assert all(v == {True} for v in kept.values())
 
 
+def test_spacing_in_crowded_anchors(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT_SEGMENTS", 1)
+    rows = []
+    for k in range(20):  # the smallest id holds the first windows only
+        ws = sentence(500 + k, 50).split()
+        rows += [(k, " ".join(ws[: 16 + k])), (100 + k, " ".join(ws)), (200 + k, "  ".join(ws)), (300 + k, " \n".join(ws))]
+    got = cut_repeats(documents(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == plain(rows)
+
+
 def test_empty_table(spark):
     assert cut_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
