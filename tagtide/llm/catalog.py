@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tagtide.llm import bpe, chats, epsilon_grid, exact_dedup, hyperminhash, language_model, mixing, quality, sharding, substring_dedup
+from tagtide.llm import (
+    alignment,
+    bpe,
+    chats,
+    epsilon_grid,
+    exact_dedup,
+    hyperminhash,
+    language_model,
+    mixing,
+    quality,
+    sharding,
+    substring_dedup,
+)
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +29,7 @@ QUERIES = {
         epsilon_grid.op8_embedding_dedup,
         hyperminhash.op9_minhash_dedup,
         chats.op10_chat_formatting,
+        alignment.op11_alignment,
     )
 }
 
