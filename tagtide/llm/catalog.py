@@ -14,6 +14,7 @@ from tagtide.llm import (
     quality,
     sharding,
     substring_dedup,
+    whitening,
 )
 
 QUERIES = {
@@ -30,6 +31,7 @@ QUERIES = {
         hyperminhash.op9_minhash_dedup,
         chats.op10_chat_formatting,
         alignment.op11_alignment,
+        whitening.op12_whitening,
     )
 }
 
