@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtide.llm.common import pieces, stored, table, utf8
-from tagtide.llm.segments import Ragged, Segments, at_spaces, plain, totals
+from tagtide.llm.segments import Parts, Ragged, Segments, at_spaces, plain, split_rows, totals
 
 #: Entries that a step of a product picks at once.
 STEP = 1 << 20
+#: Plain ASCII, the parts that byte-level BPE cuts it into (fixed by the tokenizer), and its spelling of white space.
+EASY = re.compile("[ -~\t-\r]*").fullmatch
+PARTS = "\0|'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\\sA-Za-z0-9\0]+|\\s+(?![^\\s\0])|\\s+"
+SPELLED = {b: 256 + b for b in (9, 10, 11, 12, 13, 32)}
 
 
 class Csr:
@@ -108,6 +113,7 @@ class Aligner(Segments):
         self.a = tokenizers.Tokenizer.from_str(a_file.decode())
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
+        self.parts = Parts(self.a, PARTS, lambda part: part.translate(SPELLED))
         n = self.a.get_vocab_size()
         self.a_bytes = byte_level_bytes([self.a.id_to_token(i) or "" for i in range(n)])
         names = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
@@ -131,7 +137,9 @@ class Aligner(Segments):
 
     def add(self, new: list[bytes]) -> None:
         texts = [plain(s) for s in new]
-        a_rows = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        a_rows = split_rows(
+            texts, EASY, self.parts, lambda texts: [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        )
         # Every segment begins with the space that B adds by itself, but to nothing.
         b_rows = [row or [self.b.piece_to_id("▁")] for row in self.b.encode([t[1:] for t in texts], num_threads=1)]
         bad = np.zeros(len(new), bool)

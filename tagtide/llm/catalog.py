@@ -11,6 +11,7 @@ from tagtide.llm import (
     hyperminhash,
     language_model,
     mixing,
+    packing,
     quality,
     sharding,
     substring_dedup,
@@ -32,6 +33,7 @@ QUERIES = {
         chats.op10_chat_formatting,
         alignment.op11_alignment,
         whitening.op12_whitening,
+        packing.op13_packing,
     )
 }
 

@@ -6,11 +6,14 @@ beyond it, so a worker's memory does not grow with the corpus.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of the segments that a worker keeps between pieces of text.
-KEPT_BYTES = 4 << 20
+#: Bytes of the segments that a worker keeps between pieces of text (an entry's overhead counts as 64).
+KEPT_BYTES = 16 << 20
 
 
 def begins(offsets: np.ndarray) -> np.ndarray:
@@ -91,16 +94,56 @@ class Segments:
         whole = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
         coded = whole.dictionary_encode()
         values = coded.dictionary.to_pylist()
-        new = [v for v in values if v not in self.known]
-        if new:
-            first = len(self.known)
+        of = np.array([*map(self.known.get, values, [-1] * len(values))], np.int64)
+        missing = np.flatnonzero(of < 0)
+        if len(missing):
+            first, new = len(self.known), [values[i] for i in missing.tolist()]
+            of[missing] = np.arange(first, first + len(new))
             self.known.update(zip(new, range(first, first + len(new))))
             self.held += sum(map(len, new)) + 64 * len(new)
             self.add(new)
-        of = np.fromiter(map(self.known.__getitem__, values), np.int64, len(values))
         return of[coded.indices.to_numpy()], np.searchsorted(starts, offsets)
 
 
+class Parts:
+    """Ids of texts in plain ASCII, part by part, by the model of a tokenizer without its other steps.
+
+    ``pattern`` cuts parts as the tokenizer does where all characters are ASCII, and takes a NUL
+    as a part of its own; ``spelled`` turns a part into the model's alphabet.
+    """
+
+    def __init__(self, tokenizer, pattern: str, spelled: Callable[[str], str]) -> None:
+        self.model, self.find, self.spelled = tokenizer.model, re.compile(pattern, re.ASCII).findall, spelled
+        self.known: dict[str, list[int]] = {}
+
+    def __call__(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text. Texts hold printable ASCII and white space only."""
+        known, row = self.known, []
+        rows = [row]
+        if sum(map(len, known)) + 64 * len(known) > KEPT_BYTES:
+            known.clear()
+        for part in self.find("\0".join(texts)) if texts else ():
+            if part == "\0":
+                row = []
+                rows.append(row)
+                continue
+            ids = known.get(part)
+            if ids is None:
+                ids = known[part] = [t.id for t in self.model.tokenize(self.spelled(part))]
+            row += ids
+        return rows[: len(texts)]
+
+
+def split_rows(texts: list[str], plain_ascii: Callable[[str], object], easy, other) -> list[list[int]]:
+    """Ids of all texts: those in plain ASCII by ``easy``, the rest by ``other``."""
+    wide = [i for i, t in enumerate(texts) if not plain_ascii(t)]
+    if not wide:
+        return easy(texts)
+    known = dict(zip(wide, other([texts[i] for i in wide])))
+    rest = iter(easy([t for i, t in enumerate(texts) if i not in known]))
+    return [known[i] if i in known else next(rest) for i in range(len(texts))]
+
+
 def plain(segment: bytes) -> str:
     """A segment as text; bytes that are no UTF-8 become U+FFFD."""
     return segment.decode("utf-8", "replace")
