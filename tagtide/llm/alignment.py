@@ -125,6 +125,8 @@ class Aligner(Segments):
             for i, name in enumerate(names)
         ]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_names = [f"{i}{sign}" for i in range(n) for sign in ",|"]
+        self.b_names = [f"{i}{sign}" for i in range(len(names)) for sign in ",;"]
         super().__init__()
 
     def reset(self) -> None:
@@ -152,7 +154,7 @@ class Aligner(Segments):
         overlap = Csr.spans(a_end).times(Csr.spans(b_end).transposed())
         left, right = overlap.rows(), overlap.col
         ending = a_end[left] == b_end[right]
-        edges = np.intersect1d(a_end, b_end)
+        edges = np.intersect1d(a_end, b_end, assume_unique=True)
         a_group, b_group = np.searchsorted(edges, a_end), np.searchsorted(edges, b_end)
         in_a, in_b = Csr.one_each(a_group, len(edges)), Csr.one_each(b_group, len(edges))
         # Row sums of the group product, without its entries: a group of n and m tokens has n times m.
@@ -174,16 +176,15 @@ class Aligner(Segments):
         self.n_groups = np.concatenate([self.n_groups, groups])
         self.n_shared = np.concatenate([self.n_shared, np.bincount(of_a, shared, len(new)).astype(np.int64)])
         self.bad = np.concatenate([self.bad, bad])
-        a_name, b_name = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        a_to, b_to = np.searchsorted(a_group, np.arange(len(edges) + 1)), np.searchsorted(b_group, np.arange(len(edges) + 1))
-        a_to, b_to = a_to.tolist(), b_to.tolist()
-        for g, n in zip(first_group.tolist(), groups.tolist()):
-            self.texts.append(
-                ";".join(
-                    ",".join(a_name[a_to[k] : a_to[k + 1]]) + "|" + ",".join(b_name[b_to[k] : b_to[k + 1]])
-                    for k in range(g, g + n)
-                )
-            )
+        # The ids in the order of the digest, each with the sign behind it.
+        a_last, b_last = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        a_last[np.searchsorted(a_group, np.arange(len(edges)), "right") - 1] = True
+        b_last[np.searchsorted(b_group, np.arange(len(edges)), "right") - 1] = True
+        signed = np.empty(len(a) + len(b), object)
+        signed[np.arange(len(a)) + np.searchsorted(b_group, a_group)] = [*map(self.a_names.__getitem__, (2 * a + a_last).tolist())]
+        signed[np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")] = [*map(self.b_names.__getitem__, (2 * b + b_last).tolist())]
+        signed, ends = signed.tolist(), np.cumsum(a_count + b_count).tolist()
+        self.texts += ["".join(signed[i:j])[:-1] for i, j in zip([0, *ends], ends)]
 
 
 def _files(*paths: str) -> list[bytes]:
