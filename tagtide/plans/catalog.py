@@ -655,11 +655,12 @@ def replace_snapshot_empty(spark, sf):
 
 @query
 def upsert_repeated_keys(spark, sf):
-    """Every event updates its user: the last one counts."""
-    path = scratch_path(spark, "last")
-    events = fixtures.posts(spark, sf).select("user_name", "post_id", "sentiment", "hashtag").filter("hashtag not like 'k%'")
-    tables.upsert_snapshot(events.filter("post_id % 2 = 0"), path, ["user_name"], "2024-01-30 00:00:00", order="post_id")
-    tables.upsert_snapshot(events.filter("post_id % 3 = 0"), path, ["user_name"], AS_OF, order="post_id")
+    """Every row of every event updates its user, in two batches that overlap by a day: the last one counts."""
+    path, order = scratch_path(spark, "last"), ["post_id", "hashtag"]
+    posts = fixtures.posts(spark, sf)
+    events = lambda when: posts.filter(when).select("user_name", "post_id", "sentiment", "hashtag")
+    tables.upsert_snapshot(events("processing_time < '2024-01-21'"), path, ["user_name"], "2024-01-30 00:00:00", order)
+    tables.upsert_snapshot(events("processing_time >= '2024-01-20'"), path, ["user_name"], AS_OF, order)
     return tables.read_snapshot(spark, path)
 
 
@@ -707,14 +708,38 @@ def cleanup_kept(spark, sf):
 
 
 @query
-def refresh_views(spark, sf):
+def delete_old(spark, sf):
+    """Rows that retention deletes from the stored posts, aspects and anomalies, whole days and the day at the edge."""
+    path = scratch_path(spark, "stored")
+    found = _old_tables(spark, sf)
+    for name, rows in found.items():
+        tables.write_batch(rows, 0, f"{path}/{name}", upkeep.TIME_COLUMNS[name])
+    stored = {name: (f"{path}/{name}", rows.schema) for name, rows in found.items()}
+    return upkeep.delete_old(spark, stored, "2024-01-31 06:00:00", 1)
+
+
+def _refreshed(spark: SparkSession, sf: str, *days: str) -> DataFrame:
+    """Both statistics tables after refreshes, each over the days that a condition holds for."""
     path = scratch_path(spark, "views")
-    upkeep.refresh_views(fixtures.posts(spark, sf), fixtures.aspects(spark, sf), path)
+    for when in days:
+        upkeep.refresh_views(fixtures.posts(spark, sf).filter(when), fixtures.aspects(spark, sf).filter(when), path)
     tags = tables.read_snapshot(spark, f"{path}/hashtag_stats").withColumnRenamed("hashtag", "name")
     found = tables.read_snapshot(spark, f"{path}/aspect_stats").withColumnRenamed("aspect", "name")
     return tags.unionByName(found, allowMissingColumns=True)
 
 
+@query
+def refresh_views(spark, sf):
+    """A first refresh before noon of a day, and one with the rest of that day and all days after."""
+    return _refreshed(spark, sf, "processing_time < '2024-01-20 12:00:00'", "true")
+
+
+@query
+def refresh_views_deleted(spark, sf):
+    """All days, then again when retention has taken days out and cut one."""
+    return _refreshed(spark, sf, "true", "processing_time >= '2024-01-23 12:00:00'")
+
+
 def _unchecked(spark: SparkSession, sf: str) -> DataFrame:
     long = F.when(F.col("post_id") % 100 == 1, F.repeat("hashtag", 100)).otherwise(F.col("hashtag"))
     return _some_null_users(spark, sf).withColumn("hashtag", long)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tagtide.functions.times import AsOf, moment
 from tagtide.operators import graph, learning
 from tagtide.operators.communities import communities
 from tagtide.schemas import KEYS
 from tagtide.session import cut_lineage
-from tagtide.sources.tables import replace_snapshot, upsert_snapshot, write_run
+from tagtide.sources.tables import replace_snapshot, upsert_snapshot, write_batch, write_run
 
 
 def run_graph(
@@ -34,4 +35,6 @@ def run_learning(posts: DataFrame, out: str, as_of: AsOf, unit: str = "hour", wi
     if not clusters.isEmpty():
         upsert_snapshot(clusters, f"{out}/user_clusters", KEYS["user_clusters"], as_of)
     write_run(learning.predict_trending(posts, as_of, unit, window), f"{out}/trending_predictions", as_of)
-    write_run(learning.detect_anomalies(posts, as_of), f"{out}/anomaly_detection", as_of)
+    # By day of detection, as retention deletes days. A run that is repeated replaces its own batch.
+    run = posts.sparkSession.range(1).select(F.unix_seconds(moment(as_of).cast("timestamp"))).first()[0]
+    write_batch(learning.detect_anomalies(posts, as_of), run, f"{out}/anomaly_detection", "detected_at")

@@ -298,11 +298,10 @@ ORACLES["community_distribution"] = with_posts(
 )
 ORACLES["replace_snapshot_empty"] = with_posts(f", {COMMUNITIES} SELECT * FROM communities WHERE false")
 ORACLES["upsert_repeated_keys"] = with_posts(
-    f""", e AS (SELECT user_name, post_id, sentiment, hashtag FROM posts WHERE hashtag NOT LIKE 'k%'),
-l AS (SELECT user_name, max(post_id) FILTER (WHERE post_id % 3 = 0) AS three, max(post_id) FILTER (WHERE post_id % 2 = 0) AS two FROM e GROUP BY 1)
+    f""", e AS (SELECT *, processing_time >= TIMESTAMP '2024-01-20 00:00:00' AS late FROM posts)
 SELECT user_name, post_id, round(CAST(sentiment AS DECIMAL(30, 12)), 6)::DOUBLE AS sentiment, hashtag,
-       CASE WHEN three IS NULL THEN TIMESTAMP '2024-01-30 00:00:00' ELSE {NOW} END AS updated_at
-FROM e JOIN l USING (user_name) WHERE post_id = coalesce(three, two)"""
+       CASE WHEN late THEN {NOW} ELSE TIMESTAMP '2024-01-30 00:00:00' END AS updated_at
+FROM e QUALIFY row_number() OVER (PARTITION BY user_name ORDER BY late DESC, post_id DESC, hashtag DESC) = 1"""
 )
 ORACLES["delete_old_days"] = with_posts(
     " SELECT post_id, hashtag, processing_time FROM posts WHERE processing_time >= TIMESTAMP '2024-01-23 12:00:00'"
@@ -715,6 +714,12 @@ ORACLES["refresh_views"] = (
     " min(processing_time) AS first_seen FROM aspects GROUP BY 1 HAVING count(*) >= 3)"
     " SELECT * RENAME (hashtag AS name) FROM t UNION ALL BY NAME SELECT * FROM a"
 )
+ORACLES["refresh_views_deleted"] = (
+    ORACLES["refresh_views"]
+    .replace("FROM posts GROUP BY", "FROM posts WHERE processing_time >= TIMESTAMP '2024-01-23 12:00:00' GROUP BY")
+    .replace("FROM aspects GROUP BY", "FROM aspects WHERE processing_time >= TIMESTAMP '2024-01-23 12:00:00' GROUP BY")
+)
+ORACLES["delete_old"] = ORACLES["cleanup_old_data"].replace(OLD, "TIMESTAMP '2024-01-30 06:00:00'")
 UNCHECKED = NULL_USERS + """,
 unchecked AS (SELECT * EXCLUDE (hashtag), CASE WHEN post_id % 100 = 1 THEN repeat(hashtag, 100) ELSE hashtag END AS hashtag FROM audited)
 """

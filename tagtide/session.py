@@ -90,6 +90,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in files.listStatus(top) if f.isDirectory()]
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """True if there is something at ``path``, in whatever file system it is."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete the tables that jobs of this session have written for themselves. Returns their number.
 

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,7 +12,7 @@ from tagtide import schemas
 from tagtide.functions.arrays import unnest
 from tagtide.functions.numbers import falsy_to_zero
 from tagtide.functions.times import AsOf, moment, parse_iso, since
-from tagtide.session import cut_lineage, delete_folder
+from tagtide.session import folders, is_file
 
 # Which features each kind of consumer stores; the others are NULL.
 POST_VARIANTS = {
@@ -33,7 +31,6 @@ POST_VARIANTS = {
 
 # The columns that every posts table has.
 POST_COLUMNS = ("user_name", "content", "hashtag", "processing_time", "timestamp")
-ROWS_PER_FILE = 5_000_000
 
 
 def posts_since(posts: DataFrame, as_of: AsOf, interval: str) -> DataFrame:
@@ -109,23 +106,6 @@ def read_table(spark: SparkSession, path: str, schema: StructType = schemas.POST
     return spark.read.schema(whole).parquet(path)
 
 
-def compact_day(spark: SparkSession, path: str, day: str, schema: StructType = schemas.POSTS) -> None:
-    """Bring the files of all batches of a closed day together, as its batch -1.
-
-    The rows are written apart first, then put in place of the day.
-    """
-    rewrite_day(read_table(spark, path, schema).filter(F.col("dt") == F.lit(day).cast("date")), path, day)
-
-
-def rewrite_day(rows: DataFrame, path: str, day: str) -> None:
-    """Put ``rows`` in place of all batches of a day. They may come from that day itself."""
-    spark = rows.sparkSession
-    safe = cut_lineage(rows.drop("dt", "batch_id").coalesce(1 + rows.select("dt").count() // ROWS_PER_FILE))
-    delete_folder(spark, f"{path}/dt={day}")
-    safe.write.parquet(f"{path}/dt={day}/batch_id=-1")
-    delete_folder(spark, safe.scratch_path)
-
-
 def jdbc_columns(rows: DataFrame, variant: str = "basic") -> DataFrame:
     """Exploded, enriched rows in the columns that the variant's own table has."""
     features = POST_VARIANTS[variant]
@@ -139,10 +119,12 @@ def write_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str]
     flat.write.format("jdbc").mode("append").options(url=url, dbtable=table, **(properties or {})).save()
 
 
-def last_by_key(updates: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per key: the one with the largest ``order``."""
-    newest = Window.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last())
-    return updates.withColumn("_at", F.row_number().over(newest)).filter("_at = 1").drop("_at")
+def last_by_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the largest ``order``, nulls first. Combined before the shuffle."""
+    others = [c for c in updates.columns if c not in keys]
+    place = F.struct(*[x for c in order for x in (F.col(c).isNotNull(), F.col(c))])
+    last = updates.groupBy(*keys).agg(F.max_by(F.struct(*others), place).alias("_last"))
+    return last.select(*keys, "_last.*").select(*updates.columns)
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], now: AsOf) -> DataFrame:
@@ -156,49 +138,34 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], now: AsOf
     return kept.unionByName(stamped)
 
 
-def replace_snapshot(rows: DataFrame, path: str) -> int:
-    """Write ``rows`` as the next full version of a snapshot table.
-
-    Readers see the old version until the new one is complete, and a job may read
-    the snapshot it replaces. What an unfinished version left is overwritten. The version before
-    the last one is deleted. Returns the version number.
-    """
-    spark = rows.sparkSession
-    version = (latest_version(spark, path) or 0) + 1
-    data = f"{path}/data/version={version}"
-    rows.write.mode("overwrite").parquet(data)
-    # The schema is kept with the commit, as a version without rows has none of its own.
-    commit = spark.createDataFrame([(version, rows.schema.json())], "version int, schema string")
-    commit.write.mode("overwrite").parquet(f"{path}/commits/number={version}")
-    delete_folder(spark, f"{path}/data/version={version - 2}")
-    return version
+def runs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete runs below ``path``: Spark marks a write that has ended."""
+    numbers = [int(name.removeprefix("run=")) for name in folders(spark, path) if name.startswith("run=")]
+    return sorted(n for n in numbers if is_file(spark, f"{path}/run={n}/_SUCCESS"))
 
 
-def _commits(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema("version int, schema string").parquet(f"{path}/commits")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
+def replace_snapshot(rows: DataFrame, path: str) -> int:
+    """Write ``rows`` as the next run of a snapshot table. Returns the number of the run.
 
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest complete version, None before the first."""
-    commits = _commits(spark, path)
-    return None if commits is None else commits.agg(F.max("version")).first()[0]
+    Readers see the run before until this one is complete, and a job may read the snapshot it
+    replaces. What an unfinished run left is overwritten. Older runs stay.
+    """
+    number = max(runs(rows.sparkSession, path), default=0) + 1
+    rows.write.mode("overwrite").parquet(f"{path}/run={number}")
+    return number
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version of a snapshot table."""
-    version = latest_version(spark, path)
-    if version is None:
-        raise FileNotFoundError(f"no complete version of {path}")
-    schema = _commits(spark, path).filter(F.col("version") == version).first().schema
-    return spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{path}/data/version={version}")
+    """The newest complete run of a snapshot table."""
+    number = max(runs(spark, path), default=None)
+    if number is None:
+        raise FileNotFoundError(f"no complete run of {path}")
+    return spark.read.parquet(f"{path}/run={number}")
 
 
-def upsert_snapshot(updates: DataFrame, path: str, keys: Sequence[str], now: AsOf, order: str | None = None) -> int:
+def upsert_snapshot(
+    updates: DataFrame, path: str, keys: Sequence[str], now: AsOf, order: str | Sequence[str] | None = None
+) -> int:
     """Upsert into the snapshot table at ``path``.
 
     Where ``updates`` repeats a key, the row with the largest ``order`` counts; without an order
@@ -206,10 +173,10 @@ def upsert_snapshot(updates: DataFrame, path: str, keys: Sequence[str], now: AsO
     """
     spark = updates.sparkSession
     if order:
-        updates = last_by_key(updates, keys, order)
+        updates = last_by_key(updates, keys, [order] if isinstance(order, str) else order)
     elif not updates.groupBy(*keys).count().filter("count > 1").isEmpty():
         raise ValueError(f"updates of {path} repeat a key of {list(keys)}; name the column that orders them")
-    if latest_version(spark, path) is None:
+    if not runs(spark, path):
         return replace_snapshot(updates.withColumn("updated_at", moment(now)), path)
     return replace_snapshot(upsert(read_snapshot(spark, path), updates, keys, now), path)
 

@@ -30,9 +30,20 @@ def test_repeated_keys_of_an_update(spark, tmp_path):
     twice = spark.createDataFrame([("a", 1, 1), ("a", 2, 3), ("a", 3, 2), ("b", 9, None)], "hashtag string, n int, at int")
     with pytest.raises(ValueError, match="repeat a key"):
         tables.upsert_snapshot(twice, path, ["hashtag"], AS_OF)
-    assert tables.latest_version(spark, path) is None
+    assert tables.runs(spark, path) == []
     tables.upsert_snapshot(twice, path, ["hashtag"], AS_OF, order="at")
     assert {r.hashtag: r.n for r in tables.read_snapshot(spark, path).collect()} == {"a": 2, "b": 9}
+    tied = spark.createDataFrame([("a", 4, 9), ("a", 5, 9), ("a", None, 9), ("c", None, None)], "hashtag string, n int, at int")
+    tables.upsert_snapshot(tied, path, ["hashtag"], AS_OF, order=["at", "n"])
+    got = tables.read_snapshot(spark, path)
+    assert got.columns == ["hashtag", "n", "at", "updated_at"]
+    assert {r.hashtag: r.n for r in got.collect()} == {"a": 5, "b": 9, "c": None}
+
+
+def test_a_hot_key_of_an_update_is_combined_before_the_shuffle(spark):
+    updates = spark.range(10_000).selectExpr("'a' AS hashtag", "id AS n", "id AS at")
+    plan = tables.last_by_key(updates, ["hashtag"], ["at"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan and "Window" not in plan
 
 
 def test_empty_replacement_is_visible(spark, tmp_path):
@@ -46,13 +57,14 @@ def test_empty_replacement_is_visible(spark, tmp_path):
     assert found.columns == ["hashtag", "n"] and found.collect() == []
 
 
-def test_unfinished_version_does_not_count(spark, tmp_path):
+def test_unfinished_run_does_not_count(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([("a", 1)], "hashtag string, n int")
     with pytest.raises(FileNotFoundError):
         tables.read_snapshot(spark, path)
     tables.replace_snapshot(rows, path)
-    rows.withColumn("n", F.lit(7)).write.parquet(f"{path}/data/version=2")
+    rows.withColumn("n", F.lit(7)).write.parquet(f"{path}/run=2")
+    (tmp_path / "t" / "run=2" / "_SUCCESS").unlink()
     assert [r.n for r in tables.read_snapshot(spark, path).collect()] == [1]
     assert tables.replace_snapshot(rows.withColumn("n", F.lit(8)), path) == 2
     assert [r.n for r in tables.read_snapshot(spark, path).collect()] == [8]
@@ -77,23 +89,45 @@ def test_old_days_go_and_the_edge_is_cut(spark, tmp_path):
     times = ["2024-01-28 23:00:00", "2024-01-29 01:00:00", "2024-01-30 11:59:59", "2024-01-30 12:00:00", "2024-01-30 13:00:00", None]
     tables.write_posts(batch(spark, *times), 0, path, "simple")
     tables.write_posts(batch(spark, *times[2:5]), 1, path, "simple")
-    gone = upkeep.delete_old_days(spark, path, "2024-01-31 12:00:00", 1)
-    assert gone == ["2024-01-28", "2024-01-29"]
-    left = sorted(str(r.processing_time) for r in tables.read_table(spark, path).collect())
-    assert left == ["2024-01-30 12:00:00"] * 2 + ["2024-01-30 13:00:00"] * 2 + ["None"]
-    assert upkeep.delete_old_days(spark, path, "2024-01-31 12:00:00", 1) == []
-    assert upkeep.delete_old_days(spark, str(tmp_path / "none"), AS_OF, 1) == []
+    tables.write_posts(batch(spark, "2024-01-30 08:00:00"), 2, path, "simple")
+    tables.write_posts(batch(spark, "2024-01-30 18:00:00"), 3, path, "simple")
+    young = sorted((tmp_path / "posts" / "dt=2024-01-30" / "batch_id=3").iterdir())
+    assert upkeep.delete_old_days(spark, path, "2024-01-31 12:00:00", 1) == 5
+    left = sorted((r.batch_id, str(r.processing_time)) for r in tables.read_table(spark, path).collect())
+    edge = ["2024-01-30 12:00:00", "2024-01-30 13:00:00"]
+    assert left == [*[(0, t) for t in edge], (0, "None"), *[(1, t) for t in edge], (3, "2024-01-30 18:00:00")]
+    # A batch without old rows is not written again.
+    assert young == sorted((tmp_path / "posts" / "dt=2024-01-30" / "batch_id=3").iterdir())
+    assert not (tmp_path / "posts" / "dt=2024-01-30" / "batch_id=2").exists()
+    assert upkeep.delete_old_days(spark, path, "2024-01-31 12:00:00", 1) == 0
+    assert upkeep.delete_old_days(spark, str(tmp_path / "none"), AS_OF, 1) == 0
+
+
+def test_retention_that_ends_early_can_be_repeated(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "posts")
+    times = ["2024-01-28 23:00:00", "2024-01-30 11:00:00", "2024-01-30 13:00:00", None]
+    for i in range(2):
+        tables.write_posts(batch(spark, *times), i, path, "simple")
+    real = upkeep.cut_lineage
+
+    def fails(rows):
+        real(rows)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(upkeep, "cut_lineage", fails)
+    with pytest.raises(RuntimeError):
+        upkeep.delete_old_days(spark, path, "2024-01-31 12:00:00", 1)
+    monkeypatch.setattr(upkeep, "cut_lineage", real)
+    assert tables.read_table(spark, path).filter("processing_time >= '2024-01-30 12:00:00'").count() == 2
+    assert upkeep.delete_old_days(spark, path, "2024-01-31 12:00:00", 1) == 2
+    assert sorted(str(r.processing_time) for r in tables.read_table(spark, path).collect()) == [times[2]] * 2 + ["None"] * 2
 
 
-def test_compacted_day_holds_the_same_rows(spark, tmp_path):
+def test_whole_days_are_counted_without_a_column(spark, tmp_path):
     path = str(tmp_path / "posts")
-    for i in range(3):
-        tables.write_posts(batch(spark, f"2024-01-30 1{i}:00:00", AS_OF), i, path, "simple")
-    tables.compact_day(spark, path, "2024-01-30")
-    got = sorted((str(r.dt), r.batch_id) for r in tables.read_table(spark, path).collect())
-    assert got == [("2024-01-30", -1)] * 3 + [("2024-01-31", 0), ("2024-01-31", 1), ("2024-01-31", 2)]
-    files = [f for f in tables.read_table(spark, path).inputFiles() if "2024-01-30" in f]
-    assert len(files) == 1
+    tables.write_posts(batch(spark, "2024-01-28 23:00:00"), 0, path, "simple")
+    counted = tables.read_table(spark, path).filter("dt < '2024-01-30'").groupBy().count()
+    assert "ReadSchema: struct<>" in counted._jdf.queryExecution().executedPlan().toString()
 
 
 def test_jdbc_columns_are_those_of_the_variant(spark):
