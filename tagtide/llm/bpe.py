@@ -16,16 +16,18 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import PIECE_BYTES, table
+from tagtide.llm.common import PIECE_BYTES, give_back, pieces, table
 
 #: Bytes of a leaf, parts in each of the two halves of a worker's cache, and bytes of the parts worth keeping.
-LEAF_BYTES, CACHE_PARTS, CACHE_BYTES = 64, 120_000, 64
+LEAF_BYTES, CACHE_PARTS, CACHE_BYTES = 64, 60_000, 32
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -74,7 +76,7 @@ class Coder:
         """True if no merge can cross the seam between these two tokens."""
         seam = (left, right)
         if seam not in self.settled:
-            if len(self.settled) > CACHE_PARTS:
+            if len(self.settled) > CACHE_PARTS // 4:
                 self.settled.clear()
             self.settled[seam] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         return self.settled[seam]
@@ -167,16 +169,20 @@ def _mapped(docs: DataFrame, column: str, path: str, pattern: str, work, fields:
     """``docs`` with columns computed from ``column`` row by row; columns of the same name are replaced."""
     shared = _coder(docs.sparkSession, path, pattern)
     names = [n for n, _ in fields]
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns if c not in names]).alias("row"), docs[column].alias("in"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in names]).alias("row"), docs[column].alias("in"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         coder = held.setdefault("coder", None) or Coder(*held["vocabulary"])
         held["coder"] = coder
-        for batch in batches:
+        give_back()
+        # The Python objects of a piece are gone before the next one's are made.
+        for batch in pieces(batches, "in") if column != "token_ids" else batches:
             made = [work(coder, value) for value in batch.column(1).to_pylist()]
             columns = [pa.array([m[i] for m in made], kind) for i, (_, kind) in enumerate(fields)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["row", *names])
+            del made, columns
+        give_back()
 
     inner = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in rows.schema["row"].dataType.fields)
     return rows.mapInArrow(run, f"row struct<{inner}>, {schema}").select("row.*", *names)
@@ -207,13 +213,13 @@ def encode_with_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``docs`` with ``n_tokens``, ``token_ids`` and the digests of the ids and of the bytes they decode to."""
 
     def work(coder: Coder, value: str | None) -> tuple:
-        ids: list[int] = []
+        ids = array("i")
         digest, decoded = hashlib.sha256(), hashlib.sha256()
         for names, data in coder.entries(value or ""):
             digest.update((("," if ids else "") + names).encode())
             decoded.update(data)
-            ids += map(int, names.split(","))
-        return len(ids), ids, digest.hexdigest(), decoded.hexdigest()
+            ids.extend(map(int, names.split(",")))
+        return len(ids), np.frombuffer(ids, np.int32), digest.hexdigest(), decoded.hexdigest()
 
     fields = [("n_tokens", pa.int64()), ("token_ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     return _mapped(docs, "text", path, pattern, work, fields, "n_tokens long, token_ids array<int>, ids_sha256 string, decoded_sha256 string")

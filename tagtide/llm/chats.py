@@ -9,7 +9,7 @@ rendered.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagtide.llm.common import stored, table
@@ -17,21 +17,26 @@ from tagtide.llm.common import stored, table
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 
 
-def prefixes(turns: DataFrame) -> DataFrame:
-    """``conv_id, n, h1, h2, n_turns``: for every prefix of n turns its 120-bit hash.
-
-    Turns are taken in the order of turn (null last); null role or text is hashed unlike the
-    empty one. Turns that repeat a number all count, in an order that follows from what they say.
-    """
+def turn_sha() -> Column:
+    """Digest of the role and text of a turn; it also orders turns of the same number."""
     part = F.concat_ws(
-        "\x00",
+        "\x01",
         F.coalesce(F.length("role"), F.lit(-1)).cast("string"),
         F.coalesce("role", F.lit("")),
         F.coalesce(F.length("text"), F.lit(-1)).cast("string"),
         F.coalesce("text", F.lit("")),
     )
+    return F.sha2(part, 256)
+
+
+def prefixes(turns: DataFrame) -> DataFrame:
+    """``conv_id, n, h1, h2, n_turns``: for every prefix of n turns its 120-bit hash.
+
+    Turns are taken in the order of turn (null last); null role or text is hashed unlike the
+    empty one. Turns that repeat a number all count, in the order of their digests.
+    """
     # Only digests are shuffled, not texts.
-    digests = turns.select("conv_id", "turn", F.sha2(part, 256).alias("turn_sha"))
+    digests = turns.select("conv_id", "turn", turn_sha().alias("turn_sha"))
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "turn_sha")
     rows = digests.withColumn("n", F.row_number().over(order))
     rows = rows.withColumn("sha", F.sha2(F.concat_ws(":", F.col("n").cast("string"), "turn_sha"), 256))
@@ -69,8 +74,8 @@ def maximal(conversations: DataFrame) -> DataFrame:
 def render(conversations: DataFrame, kept: DataFrame) -> DataFrame:
     """``conv_id, n_turns, n_equal, rendered``: the kept conversations as one text each.
 
-    Null role is ``user``, null text is empty. A rendered conversation is one value, so it has
-    to fit in a task.
+    Null role is ``user``, null text is empty. Turns are in the order that ``prefixes`` takes
+    them in. A rendered conversation is one value, so it has to fit in a task.
     """
     line = F.concat(
         F.lit(BEGIN),
@@ -80,10 +85,11 @@ def render(conversations: DataFrame, kept: DataFrame) -> DataFrame:
         F.lit(END + "\n"),
     )
     turns = conversations.select(
-        F.col("conv_id").alias("_id"), F.coalesce("turn", F.lit((1 << 63) - 1)).alias("turn"), "role", "text"
+        F.col("conv_id").alias("_id"),
+        F.struct(F.col("turn").isNull().alias("last"), "turn", turn_sha().alias("sha"), line.alias("line")).alias("part"),
     )
     found = turns.join(kept, turns["_id"].eqNullSafe(kept["conv_id"])).select(
-        "conv_id", "n_turns", "n_equal", F.struct("turn", "role", "text", line.alias("line")).alias("part")
+        "conv_id", "n_turns", "n_equal", "part"
     )
     grouped = found.groupBy("conv_id", "n_turns", "n_equal").agg(F.sort_array(F.collect_list("part")).alias("parts"))
     return grouped.select(
@@ -101,7 +107,9 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = r"""
-WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS n,
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, sha256(
+                      coalesce(length(role), -1) || chr(1) || coalesce(role, '') || chr(1) ||
+                      coalesce(length(text), -1) || chr(1) || coalesce(text, ''))) AS n,
                   coalesce(role, '-') || chr(1) || coalesce(text, '-') AS part,
                   '<|im_start|>' || coalesce(role, 'user') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS line
            FROM conversations),

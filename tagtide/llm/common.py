@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterator
 
@@ -85,15 +86,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def multipliers(n: int) -> np.ndarray:
+    """Odd 64-bit numbers without a pattern, for the first n places."""
+    return mix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 class WordHasher:
     """64-bit hashes of the words of many texts, without a Python object per word.
 
-    A word is a run of bytes other than space and the controls 9 to 13. Its hash is a
-    polynomial over the word's bytes, so it does not depend on where the word stands.
+    A word is a run of bytes other than space and the controls 9 to 13. Its hash adds up its
+    bytes, each multiplied by a number of its own for the place in the word, so it does not
+    depend on where the word stands. Places have unrelated multipliers: powers of one base
+    would give some different words of repeated patterns the same sum.
     """
 
-    BASE = 0x9E3779B97F4A7C15
-
     def __init__(self, lower: bool) -> None:
         seeds = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         if lower:
@@ -101,15 +107,14 @@ class WordHasher:
         self.seeds = seeds
         self.space = np.zeros(256, bool)
         self.space[[9, 10, 11, 12, 13, 32]] = True
-        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+        self.factors = multipliers(1 << 10)
 
-    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        back = pow(self.BASE, -1, 1 << 64)
-        while len(self.up) < n:
-            k = len(self.up)
-            self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.BASE, k, 1 << 64))])
-            self.down = np.concatenate([self.down, self.down * np.uint64(pow(back, k, 1 << 64))])
-        return self.up[:n], self.down
+    def weighed(self, values: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The values, each times the multiplier of its place."""
+        most = int(place.max(initial=0))
+        if most >= len(self.factors):
+            self.factors = multipliers(2 * most)
+        return values * self.factors[place]
 
     def _cuts(self, data: np.ndarray) -> Iterator[tuple[int, int]]:
         """Ranges of about PIECE_BYTES that end at a space, or later where a word is longer."""
@@ -145,10 +150,12 @@ class WordHasher:
             after[-1], after[:-1] = False, word[1:]
             after[own[own > 0] - 1] = False
             last = np.flatnonzero(word & ~after) + 1
-            up, down = self._powers(b - a)
+            place = np.zeros(b - a, np.int64)
+            place[first] = first
+            place = np.where(word, np.arange(b - a) - np.maximum.accumulate(place), 0)
             total = np.zeros(b - a + 1, np.uint64)
-            np.cumsum(self.seeds[part] * up, out=total[1:])
-            value = (total[last] - total[first]) * down[first]
+            np.cumsum(self.weighed(self.seeds[part], place), out=total[1:])
+            value = total[last] - total[first]
             hashes.append(mix64(value + (last - first).astype(np.uint64)))
             starts.append(first + a)
             ends.append(last + a)
@@ -160,6 +167,15 @@ class WordHasher:
         return np.concatenate(hashes), start, np.concatenate(ends), counts
 
 
+def give_back() -> None:
+    """Return what the tasks before have freed to the system: a worker lives through many stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
 def word_count(text):
     """Number of words of a text column; null counts none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -194,17 +210,19 @@ class KeyFilter:
 
 
 def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    whole: dict[int, np.ndarray] = {}
+    # Pages that no key touches take no memory.
+    data, size = np.zeros(FILTER_BITS // 8, np.uint8), FILTER_PART // 8
     for batch in batches:
         for at in KeyFilter.places(batch.column(0).to_numpy().view(np.uint64)):
-            at = np.sort(at)
-            part = at // FILTER_PART
-            for p in np.unique(part):
-                inside = at[np.searchsorted(part, p) : np.searchsorted(part, p, "right")] % FILTER_PART
-                whole.setdefault(int(p), np.zeros(FILTER_PART, bool))[inside] = True
-    for p, bits in whole.items():
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([packed])], ["part", "bits"])
+            at = np.unique(at)
+            byte = at >> 3
+            new = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]])) if len(at) else byte
+            if len(at):
+                data[byte[new]] |= np.bitwise_or.reduceat((1 << (at & 7)).astype(np.uint8), new)
+    for p in np.flatnonzero(data.reshape(-1, size).any(1)).tolist():
+        bits = data[p * size : (p + 1) * size].tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([bits])], ["part", "bits"])
+    give_back()
 
 
 def _merge_part(rows: pa.Table) -> pa.Table:

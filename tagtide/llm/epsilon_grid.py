@@ -215,15 +215,15 @@ def near_duplicates(
     Vectors link where their cosine is at least ``cosine``. Null, empty, zero and non-finite
     vectors and rows without id link with nothing. Vectors shorter than the longest are filled
     up with zeros. Equal vectors are compared once, as a class with a number of copies; a
-    repeated id counts as another vector.
+    repeated id counts as another vector, with links and a component of its own.
     """
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(column).alias("vector"))
     fine = rows.filter(usable(F.col("vector")) & F.col("vec_id").isNotNull())
-    classes = stored(
-        fine.groupBy(F.xxhash64("vector").alias("h"), "vector").agg(
-            F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
-        )
+    classes = fine.groupBy(F.xxhash64("vector").alias("h"), "vector").agg(
+        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies")
     )
+    # A number names a class: two classes may have the same smallest id.
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()))
     n, size = classes.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     if not n:
         alone = F.col("vec_id").alias("component_id")
@@ -260,10 +260,13 @@ def near_duplicates(
         .select(
             "h",
             "vector",
+            "least",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("root", "rep").alias("component_id"),
+            F.coalesce("root", "rep").alias("root"),
         )
     )
+    smallest = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    known = known.drop("least").join(smallest, "root").drop("root")
     keyed_rows = rows.withColumn("h", F.when(F.col("vec_id").isNotNull(), F.xxhash64("vector")))
     found = keyed_rows.join(known, ["h", "vector"], "left")
     own = F.coalesce("component_id", "vec_id")

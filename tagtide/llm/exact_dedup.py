@@ -178,7 +178,7 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     lost = beside(stored(groups.filter(~F.col("kept")).select("id", "sha")))
     twice = beside(stored(groups.filter(F.col("kept") & (F.col("n") > 1)).select("id", "sha")))
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         docs[id_column].alias("id"),
         F.unhex(F.sha2(normalised(docs[text]), 256)).alias("sha"),
     )

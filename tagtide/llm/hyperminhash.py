@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, pieces, signed, stored, table, utf8
@@ -111,24 +111,24 @@ def plausible(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, thre
     return estimate >= threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / drawn)
 
 
-SKETCH_SCHEMA = "doc_id long, n long, k1 long, k2 long, registers binary, shingles binary"
+SKETCH_SCHEMA = "doc_id long, key long, n long, k1 long, k2 long, registers binary, shingles binary"
 
 
 def sketches(limit: int):
-    """``doc_id, text`` to the set size, a 128-bit hash of the words in order, the registers, and the set of up to ``limit`` shingles."""
+    """``doc_id, key, text`` to the set size, a 128-bit hash of the words in order, the registers, and the set of up to ``limit`` shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in pieces(batches, "text"):
             n = batch.num_rows
             value, doc, words, counts = shingler.sets(batch.column("text"))
-            up, down = shingler.hasher._powers(len(words) + 1)
             ends = np.cumsum(counts)
+            place = np.arange(len(words)) - np.repeat(ends - counts, counts)
             keys = []
             for seed in (0x632BE59BD9B4E019, 0xA0761D6478BD642F):
                 total = np.zeros(len(words) + 1, np.uint64)
-                np.cumsum(mix64(words ^ np.uint64(seed)) * up[: len(words)], out=total[1:])
-                keys.append(mix64((total[ends] - total[ends - counts]) * down[ends - counts] + counts.astype(np.uint64)))
+                np.cumsum(shingler.hasher.weighed(mix64(words ^ np.uint64(seed)), place), out=total[1:])
+                keys.append(mix64(total[ends] - total[ends - counts] + counts.astype(np.uint64)))
             rows = registers(value, doc, n)
             size = np.bincount(doc, minlength=n)
             small = size[doc] <= limit
@@ -138,13 +138,14 @@ def sketches(limit: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("key"),
                     pa.array(size.astype(np.int64)),
                     pa.array(signed(keys[0])),
                     pa.array(signed(keys[1])),
                     pa.array([r.tobytes() for r in rows], pa.binary()),
                     pa.Array.from_buffers(pa.binary(), n, sets),
                 ],
-                ["doc_id", "n", "k1", "k2", "registers", "shingles"],
+                ["doc_id", "key", "n", "k1", "k2", "registers", "shingles"],
             )
 
     return run
@@ -401,21 +402,33 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_i
 
     Documents link when they share ``percent`` of the union of their shingles; components are
     joined by links. Null and empty texts have no shingles and link with nothing, and so do rows
-    without id. Rows that repeat an id share its component.
+    without id. Different texts under one id are different documents.
     """
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return grouped(docs, percent, id_column, text).drop("key", "first_key")
+
+
+def row_key(id_column: str = "doc_id", text: str = "text") -> Column:
+    """Names a document by its id and text: an id alone may be repeated."""
+    return F.xxhash64(F.col(f"`{id_column}`").cast("long"), F.col(f"`{text}`"))
+
+
+def grouped(docs: DataFrame, percent: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``near_groups``, with the ``key`` of each row and that of the first row of its group."""
+    source = docs.select(
+        F.col(f"`{id_column}`").cast("long").alias("doc_id"), row_key(id_column, text).alias("key"), F.col(f"`{text}`").alias("text")
+    )
     # A set that is similar to one of SMALL shingles has at most so many.
     limit = SMALL * 100 // percent
     sketch = stored(source.mapInArrow(sketches(limit), SKETCH_SCHEMA))
     full = sketch.filter("n > 0 and doc_id is not null")
     classes = stored(
-        full.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "n", "registers", "shingles")).alias("first")).select(
-            "k1", "k2", F.col("first.doc_id").alias("rep"), "first.n", "first.registers", "first.shingles"
+        full.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "key", "n", "registers", "shingles")).alias("first")).select(
+            "k1", "k2", F.col("first.doc_id").alias("least"), F.col("first.key").alias("rep"), "first.n", "first.registers", "first.shingles"
         )
     )
     reps = classes.filter(f"n > {SMALL}").select("rep", "n", "registers")
     small = classes.filter(f"n <= {limit}").select("rep", "k1", "n", "shingles")
-    texts = source.withColumnRenamed("doc_id", "rep")
+    texts = source.select(F.col("key").alias("rep"), "text")
     bands = reps.select("rep", "registers").mapInArrow(band_keys, "band long, rep long")
     pivots = bands.groupBy("band").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = stored(bands.join(pivots, "band"))
@@ -428,12 +441,19 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_i
     open_sets = in_blocks(contested(small_buckets.filter("members > 2"), settled, ["rep", "k1"]), small, ["rep", "k1"])
     small_more = open_sets.groupBy("band", "i", "j").applyInArrow(links_of_blocks(percent), "a long, b long")
     roots = components(links.union(more).union(small_more))
-    known = classes.select("k1", "k2", "rep").join(roots, F.col("rep") == F.col("node"), "left")
-    known = known.select("k1", "k2", F.coalesce("root", "rep").alias("component"))
+    known = classes.select("k1", "k2", "least", "rep").join(roots, F.col("rep") == F.col("node"), "left")
+    known = known.select("k1", "k2", "least", "rep", F.coalesce("root", "rep").alias("root"))
+    smallest = known.groupBy("root").agg(F.min(F.struct("least", "rep")).alias("first"))
+    known = known.join(smallest, "root").select("k1", "k2", F.col("first.least").alias("component"), F.col("first.rep").alias("first_key"))
     found = sketch.withColumn("usable", F.expr("n > 0 and doc_id is not null")).join(known, ["k1", "k2"], "left")
     own = F.when(F.col("usable"), F.col("component")).otherwise(F.col("doc_id"))
     return found.select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept")
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        own.alias("component_id"),
+        own.eqNullSafe(F.col("doc_id")).alias("kept"),
+        "key",
+        F.when(F.col("usable"), F.col("first_key")).otherwise(F.col("key")).alias("first_key"),
     )
 
 
@@ -480,10 +500,14 @@ def unsettled(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: Data
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their group, with the columns of ``docs``."""
-    groups = near_groups(docs, percent)
-    lost = beside(stored(groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_lost")).distinct()))
-    return docs.join(lost, docs["doc_id"].cast("long") == lost["_lost"], "left_anti")
+    """The rows of ``docs`` that are the first of their group, with the columns of ``docs``.
+
+    The first has the smallest id; of different texts under that id one stays, the same in every
+    run. Rows that repeat an id and its text stay or go together.
+    """
+    groups = grouped(docs, percent)
+    lost = beside(stored(groups.filter("key <> first_key").select(F.col("key").alias("_lost")).distinct()))
+    return docs.join(lost, row_key() == lost["_lost"], "left_anti")
 
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

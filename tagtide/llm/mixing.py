@@ -125,7 +125,7 @@ def sized(docs: DataFrame, extra: list[Column] = ()) -> DataFrame:
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The rows the mix takes, each as often as it is taken, with the columns of ``docs``."""
-    rows = sized(docs, [F.struct(*[docs[c] for c in docs.columns]).alias("row")])
+    rows = sized(docs, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")])
     taken = mixed(rows).filter("copies > 0")
     return taken.select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import PIECE_BYTES, WordHasher, mix64, table, utf8
+from tagtide.llm.common import PIECE_BYTES, WordHasher, mix64, pieces, table, utf8
 
 #: The model is fitted on at most so many documents; scores are made for all.
 MAX_POSITIVE, MAX_UNLABELLED, THRESHOLD = 5_000, 10_000, 0.7
@@ -205,8 +205,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     rows = texts.groupBy("doc_id", "role").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = list(batches)
-        for batch, values in zip(kept, described(b.column("text") for b in kept)):
+        features = Features()
+        for batch in pieces(batches, "text"):
+            values = features.of(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("role"), pa.array(values.tolist(), pa.list_(pa.float64()))],
                 ["doc_id", "role", "features"],
@@ -248,7 +249,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(docs.select("doc_id", "text"), labels.select("doc_id", "quality"))
     if model is None:
         return docs
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), docs["text"].alias("text"))
     return rows.filter(score_column(model, F.col("text")) >= THRESHOLD).select("row.*")
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, parts_for, pieces, signed, stored, table, utf8
+from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, multipliers, parts_for, pieces, signed, stored, table, utf8
 
 #: Words of a window and of an anchor, segments of a shard, distinct segments of an anchor from
 #: which on its windows go to shards one by one.
@@ -173,12 +173,13 @@ class Anchors:
 
     def segment_keys(self) -> np.ndarray:
         """A hash of the words of each segment."""
-        up, down = self.hasher._powers(len(self.words) + 1)
-        total = np.zeros(len(self.words) + 1, np.uint64)
-        np.cumsum(mix64(self.words) * up[: len(self.words)], out=total[1:])
-        last = self.first + self.windows + self.window - 1
-        size = (self.windows + self.window - 1).astype(np.uint64)
-        return mix64((total[last] - total[self.first]) * down[self.first] + size)
+        size = self.windows + self.window - 1
+        total, mixed = size.astype(np.uint64), mix64(self.words)
+        # A segment's windows share an anchor, so its words are a bounded number.
+        for k, factor in enumerate(multipliers(int(size.max(initial=0)))):
+            inside = np.flatnonzero(size > k)
+            total[inside] += mixed[self.first[inside] + k] * factor
+        return mix64(total)
 
 
 def anchor_rows(window: int, anchor: int):

@@ -8,7 +8,7 @@ import re
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Columns beside the usual ones, named like those the operators use inside.
-CLASHING = ("row", "id", "sha", "n", "key", "size", "copies", "rep", "words", "value", "starts", "component", "token")
+CLASHING = ("row", "id", "sha", "n", "key", "size", "copies", "rep", "words", "value", "starts", "component", "token", "a.b")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING)
 
 

@@ -54,3 +54,12 @@ def test_maximal_conversations_rendered(spark):
 def test_empty_table(spark):
     empty = table(spark, [])
     assert maximal(empty).collect() == [] and format_chats(empty).collect() == []
+
+
+def test_equal_turn_numbers_are_ordered_alike_everywhere(spark):
+    for one, two in (("x", "y"), ("a", "b"), ("hello", "bye"), ("1", "2")):
+        rows = [(1, 1, "user", one), (1, 1, "user", two), (2, 1, "user", one), (3, 1, "user", two)]
+        got = {r.conv_id: r.rendered for r in format_chats(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()}
+        # The rendered first turn of conversation 1 says which of the others is its prefix.
+        first = got[1].split("\n")[1].removesuffix("<|im_end|>")
+        assert set(got) == {1, 3 if first == one else 2}

@@ -23,11 +23,14 @@ def plain(rows, cosine=0.9):
             ids.append(k)
     hit = np.array(unit) @ np.array(unit).T >= cosine
     links = {k: int(hit[a].sum()) - 1 for a, k in enumerate(ids)}
-    names = {rows[k][0] for k in ids}
-    found = roots(names, [(rows[ids[a]][0], rows[ids[b]][0]) for a, b in zip(*np.nonzero(hit)) if rows[ids[a]][0] != rows[ids[b]][0]])
+    # Rows are the nodes: an id may be repeated.
+    found = roots(ids, [(ids[a], ids[b]) for a, b in zip(*np.nonzero(hit)) if a != b])
+    least = {}
+    for k in ids:
+        least[found[k]] = min(least.get(found[k], rows[k][0]), rows[k][0])
     out = []
     for k, (i, _) in enumerate(rows):
-        root = found.get(i, i) if k in links else i
+        root = least[found[k]] if k in links else i
         out.append((i, links.get(k, 0), root, root == i))
     return sorted(out, key=str)
 
@@ -67,3 +70,10 @@ def test_links_and_components(spark, monkeypatch, block, leaf):
 def test_empty_table(spark):
     assert near_duplicates(table(spark, [])).collect() == []
     assert [tuple(r) for r in near_duplicates(table(spark, [(1, None)])).collect()] == [(1, 0, 1, True)]
+
+
+def test_different_vectors_under_one_id(spark):
+    rows = [(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (6, [1.0, 0.05, 0.0]), (4, [0.0, 1.0, 0.01]), (4, [0.0, 0.0, 1.0])]
+    got = sorted((tuple(r) for r in near_duplicates(table(spark, rows)).collect()), key=str)
+    assert got == plain(rows)
+    assert got == [(4, 0, 4, True), (4, 1, 4, True), (5, 1, 4, False), (5, 1, 5, True), (6, 1, 5, False)]

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import SCHEMA, documents, roots, texts, words
+from helpers import SCHEMA, documents, roots, sentence, texts, words
 
 from tagtide.llm.components import components, forest
 from tagtide.llm import hyperminhash
@@ -134,3 +134,21 @@ def test_closer_look_keeps_links_and_drops_most_others(n):
     assert kept(-(-6 * n // 7)) == 1.0  # 6/7 of each in common: similarity 0.75
     if n >= 150:
         assert kept(int(0.75 * n)) < 0.05  # similarity 0.6
+
+
+def test_different_texts_under_one_id(spark):
+    one, other = sentence(50, 60), sentence(51, 60)
+    rows = [(1, one), (2, one + " word"), (2, other), (3, other + " more"), (4, one), (4, None), (None, one)]
+    docs = documents(spark, rows)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in near_groups(docs).collect())
+    assert got == [(0, 56, 0), (1, 56, 1), (2, 56, 2), (2, 57, 1), (3, 57, 2), (4, 0, 4), (4, 56, 1)]
+    kept = near_dedup(docs)
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(1, one), (1, one)][:1] + [(2, other), (4, ""), (0, one)])
+    assert kept.columns == docs.columns
+
+
+def test_two_texts_of_one_id_in_one_group(spark):
+    one = sentence(52, 60)
+    docs = documents(spark, [(1, one), (1, one + " word"), (2, one + " end")])
+    kept = [near_dedup(docs).collect() for _ in range(2)]
+    assert [len(k) for k in kept] == [1, 1] and kept[0][0].doc_id == 1 and kept[0][0].text == kept[1][0].text
