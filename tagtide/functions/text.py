@@ -144,23 +144,3 @@ def dominant(parts: Column) -> Column:
 
     ordered = F.array_sort(F.transform(parts, lambda p, i: F.struct(p.alias("p"), i.alias("i"))))
     return let(ordered, lambda pairs: F.when(F.size(pairs) > 0, best(pairs)))
-
-
-def ngrams(parts: Column, longest: int) -> Column:
-    """Every run of 1 to ``longest`` words as ``struct<pos, n, surface>``."""
-    def runs(p: Column) -> Column:
-        sizes = F.sequence(F.lit(1), F.lit(longest))
-        return F.flatten(
-            F.transform(
-                F.sequence(F.lit(1), F.size(p)),
-                lambda i: F.transform(
-                    F.filter(sizes, lambda n: i + n - 1 <= F.size(p)),
-                    lambda n: F.struct(
-                        i.alias("pos"), n.alias("n"), F.array_join(F.slice(p, i, n), " ").alias("surface")
-                    ),
-                ),
-            )
-        )
-
-    empty = F.array().cast("array<struct<pos:int,n:int,surface:string>>")
-    return let(parts, lambda p: F.when(F.size(p) > 0, runs(p)).otherwise(empty))

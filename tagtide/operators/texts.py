@@ -32,7 +32,6 @@ from tagtide.functions.text import (
     hashtag_count,
     inline_hashtags,
     length_band,
-    ngrams,
     norm_aspect,
     phrases,
     simple_aspect,
@@ -43,6 +42,7 @@ from tagtide.functions.text import (
 from tagtide.functions.times import AsOf, moment
 from tagtide.operators.matching import with_hits
 from tagtide.operators.skew import is_small, lookup, spread_join
+from tagtide.operators.trie import longest_runs
 from tagtide.session import cut_lineage
 
 # The rule of the lexicon scorer, and the kinds of entities that count.
@@ -330,15 +330,11 @@ def related_aspects(aspects: DataFrame, tags: DataFrame, k: int = 3) -> DataFram
 def entity_rows(posts: DataFrame, gazetteer: DataFrame, types: Sequence[str] = ENTITY_TYPES) -> DataFrame:
     """``post_id, pos, surface, type``: at each word the longest known surface.
 
-    Surfaces are compared word by word, whatever their case, hyphens and signs.
+    Surfaces are compared word by word, whatever their case, hyphens and signs. Nothing runs
+    while the plan is built.
     """
-    known = known_surfaces(gazetteer, types)
-    longest = known.agg(F.max(F.size(F.split("surface", " ")))).first()[0] or 1
     clean = posts.select("post_id", clean_html(F.col("content")).alias("clean"))
-    runs = unnest(clean, ["post_id"], ngrams(tokens(F.col("clean")), longest), "run").select("post_id", "run.*")
-    hits = lookup(runs, known, "surface", ["post_id", "pos"], is_small(known, "surface"))
-    best = F.max_by(F.struct("surface", "type"), F.col("n"))
-    return hits.groupBy("post_id", "pos").agg(best.alias("e")).select("post_id", "pos", "e.surface", "e.type")
+    return longest_runs(clean, ["post_id"], tokens(F.col("clean")), known_surfaces(gazetteer, types))
 
 
 def entity_aspects(
@@ -529,15 +525,20 @@ def rich_struct(posts: DataFrame, analysis: DataFrame) -> DataFrame:
 def by_content(df: DataFrame, job) -> DataFrame:
     """``df`` with the columns that ``job`` adds to the distinct contents (``post_id, content``).
 
-    For analyses that look words up in tables: messages have no key, and each content is
-    analysed once. A missing content counts as an empty one. One row per content comes back, so a
-    content that very many messages share splits on the other side.
+    For analyses that look words up in tables: messages have no key, so each distinct content is
+    written once with a number as its key, and only the number goes along with its words and
+    sentences. Messages find their content's number by its digest. A missing content counts as
+    an empty one. One row per content comes back, so a content that very many messages share
+    splits on the other side.
     """
-    key = F.coalesce(F.col("content"), F.lit(""))
-    contents = cut_lineage(df.select(key.alias("post_id")).distinct()).withColumn("content", F.col("post_id"))
-    found = job(contents)
+    content = F.coalesce(F.col("content"), F.lit(""))
+    keyed = df.withColumn("_key", F.sha2(content, 256))
+    distinct = keyed.select("_key", content.alias("content")).distinct()
+    contents = cut_lineage(distinct.withColumn("post_id", F.monotonically_increasing_id()))
+    found = job(contents.select("post_id", "content"))
     new = [c for c in found.columns if c not in ("post_id", "content")]
-    return df.withColumn("_key", key).join(found.select(F.col("post_id").alias("_key"), *new), "_key").drop("_key")
+    by_key = contents.select("_key", "post_id").join(found.select("post_id", *new), "post_id").drop("post_id")
+    return keyed.join(by_key, "_key").drop("_key")
 
 
 def _arrival(now: AsOf) -> Column:

@@ -457,9 +457,7 @@ def post_sentiment_lexicon(spark, sf):
         fixtures.text_posts(spark, sf), "lexicon",
         lexicon=fixtures.lexicon(spark, sf), gazetteer=fixtures.gazetteer(spark, sf),
     )
-    return found.select(
-        "post_id", "overall_sentiment", "overall_subjectivity", "top_aspect", "top_aspect_sentiment"
-    )
+    return found.drop("user_name", "content", "hashtags")
 
 
 def _rich(spark: SparkSession, sf: str) -> DataFrame:
@@ -498,7 +496,7 @@ def rich_aspect_analysis(spark, sf):
 def rich_aspect_analysis_lexicon(spark, sf):
     posts = fixtures.text_posts(spark, sf)
     found = texts.rich_analysis(posts, fixtures.gazetteer(spark, sf), lexicon=fixtures.lexicon(spark, sf))
-    return _rich_columns(found).drop("sentiment_summary")
+    return _rich_columns(found)
 
 
 @query
@@ -534,9 +532,7 @@ def enrich_basic(spark, sf):
     return texts.enrich_basic(messages.parse_messages(fixtures.raw_values(spark, sf)), now=AS_OF).drop("hashtags")
 
 
-@query
-def enrich_aspects(spark, sf):
-    rows = texts.enrich_aspects(messages.parse_messages(fixtures.raw_values(spark, sf)), now=AS_OF)
+def _aspect_columns(rows: DataFrame) -> DataFrame:
     entry = lambda e: F.concat_ws("=", e["key"], e["value"].cast("decimal(10,6)").cast("string"))
     listed = F.array_sort(F.transform(F.map_entries("aspect_sentiments"), entry))
     return rows.select(
@@ -545,6 +541,18 @@ def enrich_aspects(spark, sf):
     )
 
 
+@query
+def enrich_aspects(spark, sf):
+    return _aspect_columns(texts.enrich_aspects(messages.parse_messages(fixtures.raw_values(spark, sf)), now=AS_OF))
+
+
+@query
+def enrich_aspects_lexicon(spark, sf):
+    """All messages, malformed ones too, with sentences and aspects scored by a lexicon."""
+    rows = messages.parse_messages(fixtures.raw_values(spark, sf))
+    return _aspect_columns(texts.enrich_aspects(rows, now=AS_OF, lexicon=fixtures.lexicon(spark, sf)))
+
+
 @query
 def map_entries(spark, sf):
     """Rows of the aspects table from enriched, exploded messages."""
@@ -570,8 +578,7 @@ def enrich_struct_lexicon(spark, sf):
     words, places = fixtures.lexicon(spark, sf), fixtures.gazetteer(spark, sf)
     words = words.withColumn("word", F.upper("word")).unionByName(words.filter("length(word) > 3"))
     places = places.withColumn("surface", F.initcap(F.translate("surface", " ", "-"))).unionByName(places)
-    found = texts.enrich_struct(rows, now=AS_OF, lexicon=words, gazetteer=places)
-    return found.filter("content IS NOT NULL").drop("hashtags", "sentiment_summary")
+    return texts.enrich_struct(rows, now=AS_OF, lexicon=words, gazetteer=places).drop("hashtags")
 
 
 @query

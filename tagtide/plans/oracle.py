@@ -577,6 +577,10 @@ near AS (SELECT f.post_id, avg(b.polarity) AS m FROM focus f JOIN sents s USING
   WHERE contains(lower(s.sentence), f.aspect) GROUP BY 1)
 SELECT d.post_id, CASE WHEN length(d.clean) < 5 THEN 0 ELSE {f32('b.polarity')} END AS overall_sentiment,
   CASE WHEN length(d.clean) < 5 THEN 0 ELSE {f32('b.subjectivity')} END AS overall_subjectivity,
+  CASE WHEN coalesce(d.content, '') = '' THEN 'No content' WHEN length(d.clean) < 5 THEN 'Content too short'
+    WHEN f.aspect IS NULL THEN ({tone('b.polarity')}) || ' tone overall'
+    ELSE ({tone('b.polarity')}) || ' tone; focused on ''' || f.aspect || ''' (' || printf('%.2f', coalesce(n.m, b.polarity)) || ')'
+  END AS sentiment_summary,
   CASE WHEN length(d.clean) >= 5 THEN f.aspect END AS top_aspect,
   CASE WHEN length(d.clean) < 5 THEN 0 ELSE {f32('coalesce(n.m, b.polarity)')} END AS top_aspect_sentiment
 FROM docs d JOIN by_doc b USING (post_id) JOIN focus f USING (post_id) LEFT JOIN near n USING (post_id)"""
@@ -885,9 +889,21 @@ ORACLES["ingest_stream_lexicon"] = f"""WITH {MESSAGES}, {CONTENTS}, {LEXICON}, {
 SELECT user_name, content, hashtag, {f32('polarity')} AS sentiment, length(clean)::DOUBLE AS content_length,
   len(hashtags)::INTEGER AS hashtag_count FROM exploded JOIN by_text USING (doc_id)"""
 ORACLES["enrich_struct_lexicon"] = f"""WITH whole AS ({ORACLES['post_sentiment_lexicon']}), {MESSAGES}
-SELECT user_name, content, timestamp, w.overall_sentiment, w.overall_subjectivity, w.top_aspect, w.top_aspect_sentiment,
-  length(clean)::DOUBLE AS content_length, len(hashtags)::INTEGER AS hashtag_count, {NOW} AS processing_time
-FROM messages m JOIN whole w ON w.post_id = m.doc_id"""
+SELECT user_name, content, timestamp, w.overall_sentiment, w.overall_subjectivity, w.sentiment_summary, w.top_aspect,
+  w.top_aspect_sentiment, length(clean)::DOUBLE AS content_length, len(hashtags)::INTEGER AS hashtag_count, {NOW} AS processing_time
+FROM messages m JOIN whole w ON w.post_id = m.doc_id
+UNION ALL SELECT NULL, NULL, NULL, 0, 0, 'No content', NULL, 0, 0, NULL, {NOW} FROM {MALFORMED}"""
+# The aspects of messages with the sentences and the whole text scored by the lexicon.
+MESSAGE_SENTENCES = lexicon_scores("by_line", "src_sents", "post_id, pos", "sentence")
+ORACLES["enrich_aspects_lexicon"] = (
+    ORACLES["enrich_aspects"]
+    .replace("src_sents AS (SELECT post_id, unnest(parts) AS sentence FROM src_split)",
+             f"src_sents AS MATERIALIZED (SELECT post_id, {each('parts', 'sentence', 'pos')} FROM src_split), {LEXICON}, {MESSAGE_SENTENCES},"
+             f" {CONTENTS}, {MESSAGE_WORDS}")
+    .replace(f"src_rated AS MATERIALIZED (SELECT post_id, sentence, {score('sentence')} AS score FROM src_sents)",
+             "src_rated AS MATERIALIZED (SELECT post_id, sentence, polarity AS score FROM src_sents JOIN by_line USING (post_id, pos))")
+    .replace(f"f AS (SELECT *, {score('clean')} AS s FROM messages)", "f AS (SELECT m.*, t.polarity AS s FROM messages m JOIN by_text t USING (doc_id))")
+)
 
 BY_DOC = lexicon_scores("by_doc", "docs", "post_id", "clean")
 ORACLES["rich_aspect_analysis_lexicon"] = (
@@ -898,4 +914,3 @@ ORACLES["rich_aspect_analysis_lexicon"] = (
     .replace(f"{score('clean')} AS overall FROM docs", "polarity AS overall, subjectivity FROM docs JOIN by_doc USING (post_id)")
     .replace("0.5::DOUBLE AS overall_subjectivity", "round(CAST(printf('%.3f', subjectivity)::DOUBLE AS DECIMAL(30, 12)), 6)::DOUBLE AS overall_subjectivity")
 )
-ORACLES["rich_aspect_analysis_lexicon"] = f"SELECT * EXCLUDE (sentiment_summary) FROM ({ORACLES['rich_aspect_analysis_lexicon']})"
