@@ -26,14 +26,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtide.llm.common import pieces, stored, table, utf8
-from tagtide.llm.segments import Parts, Ragged, Segments, at_spaces, plain, split_rows, totals
+from tagtide.llm.segments import LATIN, SPELLED, Parts, Ragged, Segments, at_spaces, plain, split_rows, totals
 
 #: Entries that a step of a product picks at once.
 STEP = 1 << 20
-#: Plain ASCII, the parts that byte-level BPE cuts it into (fixed by the tokenizer), and its spelling of white space.
-EASY = re.compile("[ -~\t-\r]*").fullmatch
-PARTS = "\0|'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\\sA-Za-z0-9\0]+|\\s+(?![^\\s\0])|\\s+"
-SPELLED = {b: 256 + b for b in (9, 10, 11, 12, 13, 32)}
+#: Plain text, and the parts that byte-level BPE cuts it into (fixed by the tokenizer).
+EASY = re.compile(f"[ -~\t-\r{LATIN}]*").fullmatch
+PARTS = f"\0|'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z{LATIN}]+| ?[0-9]+| ?[^\\sA-Za-z0-9{LATIN}\0]+|\\s+(?![^\\s\0])|\\s+"
 
 
 class Csr:
@@ -94,9 +93,7 @@ class Csr:
 
 def byte_level_bytes(pieces_of: list[str]) -> list[bytes]:
     """Bytes of byte-level tokens: printable Latin-1 stands for itself, the other bytes for U+0100 and on."""
-    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(kept)]
-    byte = {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(rest)}
+    byte = {chr(SPELLED.get(b, b)): b for b in range(256)}
     return [bytes([byte[c] for c in p]) if all(c in byte for c in p) else p.encode() for p in pieces_of]
 
 
@@ -113,7 +110,7 @@ class Aligner(Segments):
         self.a = tokenizers.Tokenizer.from_str(a_file.decode())
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
-        self.parts = Parts(self.a, PARTS, lambda part: part.translate(SPELLED))
+        self.parts = Parts(self.a, PARTS)
         n = self.a.get_vocab_size()
         self.a_bytes = byte_level_bytes([self.a.id_to_token(i) or "" for i in range(n)])
         names = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]

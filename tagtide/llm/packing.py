@@ -26,24 +26,28 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import SPACES, beside, pieces, stored, table, utf8
-from tagtide.llm.segments import Parts, Ragged, Segments, plain, split_rows
+from tagtide.llm.common import BATCH_BYTES, SPACES, beside, pieces, stored, table, utf8
+from tagtide.llm.segments import LATIN, Parts, Ragged, Segments, plain, split_rows
 
 #: Tokens of a sequence, and the id that ends a document.
 SEQUENCE, END = 4096, 1
-PRINTABLE = re.compile("[!-~]*").fullmatch
+EASY = re.compile(f"[!-~{LATIN}]*").fullmatch
+#: The parts of lower-case words, fixed by the tokenizer.
+PARTS = f"\0|'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^\\sa-z0-9{LATIN}\0]+"
 
 
 class WordIds(Segments):
     """Ids of white-space words by a tokenizer that drops white space and lower-cases, as the default one does."""
 
+    kept_bytes = 48 << 20
+
     def __init__(self, file: bytes) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
 
         self.tokenizer = tokenizers.Tokenizer.from_str(file.decode())
         self.tokenizer.encode_special_tokens = True
-        self.parts = Parts(self.tokenizer, "\0|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\\sa-z0-9\0]+", str)
+        self.parts = Parts(self.tokenizer, PARTS)
         super().__init__()
 
     def reset(self) -> None:
@@ -53,7 +57,7 @@ class WordIds(Segments):
     def add(self, new: list[bytes]) -> None:
         rows = split_rows(
             [plain(s).strip(SPACES) for s in new],
-            PRINTABLE,
+            EASY,
             lambda texts: self.parts([t.lower() for t in texts]),
             lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)],
         )
@@ -71,7 +75,7 @@ def _encoded(path: str, spark: SparkSession, size: int, end: int):
         words = value.setdefault("words", None) or WordIds(value["file"])
         value["words"] = words
         task, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", BATCH_BYTES):
             numbers, at = words.numbers(*utf8(batch.column("text")))
             flat, lengths = words.ids.gather(numbers)
             ends = np.concatenate([[0], np.cumsum(lengths)])[at]

@@ -14,6 +14,10 @@ import pyarrow as pa
 
 #: Bytes of the segments that a worker keeps between pieces of text (an entry's overhead counts as 64).
 KEPT_BYTES = 16 << 20
+#: Letters beyond ASCII that are one character in every normal form, with one lower-case letter each.
+LATIN = "À-ÖØ-öø-įĲ-ňŊ-ž"
+#: The characters that byte-level vocabularies write the bytes as that have no printable Latin-1 character.
+SPELLED = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 def begins(offsets: np.ndarray) -> np.ndarray:
@@ -72,6 +76,7 @@ class Segments:
     """Numbers of segments. A subclass keeps what it needs of each new one in ``add``."""
 
     cut = staticmethod(at_words)
+    kept_bytes: int | None = None
 
     def __init__(self) -> None:
         self.reset()
@@ -85,7 +90,7 @@ class Segments:
 
     def numbers(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of each segment of some texts, and where each text begins among them (one more than texts)."""
-        if self.held > KEPT_BYTES:
+        if self.held > (self.kept_bytes or KEPT_BYTES):
             self.reset()
         if not len(data):
             return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
@@ -106,18 +111,18 @@ class Segments:
 
 
 class Parts:
-    """Ids of texts in plain ASCII, part by part, by the model of a tokenizer without its other steps.
+    """Ids of plain texts, part by part, by the model of a byte-level tokenizer without its other steps.
 
-    ``pattern`` cuts parts as the tokenizer does where all characters are ASCII, and takes a NUL
-    as a part of its own; ``spelled`` turns a part into the model's alphabet.
+    ``pattern`` cuts parts as the tokenizer does where all characters are ASCII or LATIN, and takes
+    a NUL as a part of its own.
     """
 
-    def __init__(self, tokenizer, pattern: str, spelled: Callable[[str], str]) -> None:
-        self.model, self.find, self.spelled = tokenizer.model, re.compile(pattern, re.ASCII).findall, spelled
+    def __init__(self, tokenizer, pattern: str) -> None:
+        self.model, self.find = tokenizer.model, re.compile(pattern, re.ASCII).findall
         self.known: dict[str, list[int]] = {}
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text. Texts hold printable ASCII and white space only."""
+        """Ids of each text. Texts hold printable ASCII, its white space and LATIN only."""
         known, row = self.known, []
         rows = [row]
         if sum(map(len, known)) + 64 * len(known) > KEPT_BYTES:
@@ -129,14 +134,14 @@ class Parts:
                 continue
             ids = known.get(part)
             if ids is None:
-                ids = known[part] = [t.id for t in self.model.tokenize(self.spelled(part))]
+                ids = known[part] = [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(SPELLED))]
             row += ids
         return rows[: len(texts)]
 
 
-def split_rows(texts: list[str], plain_ascii: Callable[[str], object], easy, other) -> list[list[int]]:
-    """Ids of all texts: those in plain ASCII by ``easy``, the rest by ``other``."""
-    wide = [i for i, t in enumerate(texts) if not plain_ascii(t)]
+def split_rows(texts: list[str], is_easy: Callable[[str], object], easy, other) -> list[list[int]]:
+    """Ids of all texts: plain ones by ``easy``, the rest by ``other``."""
+    wide = [i for i, t in enumerate(texts) if not is_easy(t)]
     if not wide:
         return easy(texts)
     known = dict(zip(wide, other([texts[i] for i in wide])))

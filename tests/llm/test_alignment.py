@@ -57,6 +57,13 @@ def plain(pair, text):
     return a_ids, b_ids, group(a_end), group(b_end), overlaps, ending
 
 
+def test_plain_characters_one_by_one(pair):
+    aligner = Aligner(*alignment._files(*vocabularies()))
+    plain_ones = [chr(c) for c in range(9, 0x180) if alignment.EASY(chr(c))]
+    texts_ = [" " + f(c) for c in plain_ones for f in (str, lambda c: f"a{c}b", lambda c: f"1{c}{c}2", lambda c: f"'{c}s'", lambda c: f"x {c} {c}\n")]
+    assert aligner.parts(texts_) == [pair[0].encode(t, add_special_tokens=False).ids for t in texts_]
+
+
 def odd_texts():
     rnd = random.Random(8)
     some = ["a", "the", " ", "  ", "\n", "\t", " ", "　", " ", " ", "\x1c", "\x85", "'s", "1", "12", "é", "é", "東京", "\U0001f600", "!", "?!", "<s>", "<|endoftext|>", "<0x41>", "ﬁ", "\x00"]

@@ -30,6 +30,15 @@ def plain(tokenizer, rows, size):
     return sorted(out)
 
 
+def test_plain_characters_one_by_one(tokenizer):
+    """The short way through the model against the whole tokenizer, for every plain character."""
+    words = packing.WordIds(tokenizer.to_str().encode())
+    plain_ones = [chr(c) for c in range(33, 0x180) if packing.EASY(chr(c))]
+    assert len(plain_ones) == 94 + 23 + 31 + 56 + 23 + 53
+    texts_ = [f(c) for c in plain_ones for f in (str, lambda c: f"a{c}b", lambda c: f"1{c}{c}2", lambda c: f"'{c}S'", lambda c: f"'s{c}")]
+    assert words.parts([t.lower() for t in texts_]) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts_]
+
+
 def check(rows, size):
     """Every sequence is filled gaplessly from 0 and fits; returns the number of sequences."""
     by = defaultdict(list)
