@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagtide.operators.graph import Links, adjacency
+from tagtide.operators.graph import Links, adjacency, dense_index
 from tagtide.operators.skew import hot_keys, spread, spread_join
 from tagtide.session import cut_lineage
 
@@ -142,27 +142,6 @@ def _contract(adj: DataFrame, comm: DataFrame) -> DataFrame:
     return joined.groupBy(F.col("c").alias("u"), F.col("cv").alias("v")).agg(F.sum(weight).alias("w"))
 
 
-def dense_index(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Number the rows 0, 1, 2, … in the order of a unique column.
-
-    Rows are range-partitioned and numbered inside each partition; the sizes of the
-    partitions give the offsets. No task sees more than its own range.
-    """
-    placed = cut_lineage(
-        df.repartitionByRange(F.col(column)).withColumn("_part", F.spark_partition_id())
-    )
-    inside = Window.partitionBy("_part").orderBy(column)
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition of the job: bounded by spark.sql.shuffle.partitions.
-    before = sizes.withColumn(
-        "_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("_part", "_before")
-    numbered = placed.withColumn("_row", F.row_number().over(inside))
-    return numbered.join(F.broadcast(before), "_part").select(
-        *df.columns, (F.col("_before") + F.col("_row") - 1).cast("int").alias(name)
-    )
-
-
 def communities(
     edges: DataFrame, resolution: float = 1.0, threshold: float = 1e-7, patience: int = PATIENCE
 ) -> DataFrame:

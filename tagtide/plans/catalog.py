@@ -15,7 +15,7 @@ from tagtide import schemas
 from tagtide.functions import numbers, sentiment, text, times
 from tagtide.operators import graph, learning, metrics, quality, texts, topk, upkeep
 from tagtide.functions.arrays import unnest
-from tagtide.operators.betweenness import betweenness
+from tagtide.operators.betweenness import betweenness, betweenness_within
 from tagtide.operators.communities import communities, modularity
 from tagtide.operators.skew import is_small, lookup
 from tagtide.session import configure, cut_lineage, scratch_path
@@ -798,6 +798,16 @@ def degree_centrality(spark, sf):
 query(lambda spark, sf: betweenness(_edges(spark, sf)), "betweenness")
 
 
+@query
+def betweenness_checked(spark, sf):
+    """Per tag: whether the estimate is within its bound of the exact result, and the bound within what was asked for."""
+    edges = _edges(spark, sf)
+    found = betweenness_within(edges, 0.2).withColumnRenamed("betweenness_centrality", "estimate")
+    off = F.abs(F.col("estimate") - F.col("betweenness_centrality"))
+    both = betweenness(edges).join(found, "hashtag")
+    return both.select("hashtag", (off <= F.col("error_bound") + 1e-9).alias("within"), (F.col("error_bound") <= 0.2).alias("bounded"))
+
+
 @query
 def pagerank(spark, sf):
     return graph.pagerank(_edges(spark, sf))

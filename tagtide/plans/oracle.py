@@ -875,6 +875,7 @@ ORACLES["raw_source"] = ORACLES["parse_messages"]
 ORACLES["communities_checked"] = (
     f"WITH {DAY_EDGES}, {DEGREE} SELECT hashtag, 1::BIGINT AS times, true AS in_order, true AS gains FROM degree"
 )
+ORACLES["betweenness_checked"] = f"WITH {DAY_EDGES}, {DEGREE} SELECT hashtag, true AS within, true AS bounded FROM degree"
 ORACLES["cluster_users_checked"] = with_posts(
     f"SELECT user_name, 1::BIGINT AS times, true AS in_range, true AS nearest FROM ({features('7 days', 5)})"
 )

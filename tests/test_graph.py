@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagtide.operators import graph
-from tagtide.operators.betweenness import betweenness
-from tagtide.operators.communities import communities, dense_index, modularity
+from tagtide.operators import betweenness as paths
+from tagtide.operators.betweenness import betweenness, betweenness_within
+from tagtide.operators.communities import communities, modularity
+from tagtide.operators.graph import dense_index
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -123,6 +125,48 @@ def test_pivots_of_all_nodes_are_exact(spark):
     )
 
 
+def test_hub_edges_are_split(spark, monkeypatch):
+    """Every (source, node) cut in blocks of two edges."""
+    from tagtide.operators import skew
+
+    monkeypatch.setattr(graph.Links.__init__, "__defaults__", (2,))
+    monkeypatch.setattr(paths, "spread_join", lambda *a: skew.spread_join(*a, block_rows=2))
+    rows = random_graph(4, n=7)
+    got = {r.hashtag: r.betweenness_centrality for r in betweenness(edge_table(spark, rows)).collect()}
+    assert got == pytest.approx(brandes(rows))
+
+
+def test_estimate_within_its_bound(spark, monkeypatch):
+    monkeypatch.setattr(paths, "FIRST_DRAWS", 40)
+    rows = [("c", f"h{i}", 1) for i in range(10)] + [(f"h{i}", f"l{i}{j}", 1 + j % 2) for i in range(10) for j in range(12)]
+    expected = brandes(rows)
+    got = betweenness_within(edge_table(spark, rows), error=0.8, doubt=0.1).collect()
+    assert {r.hashtag for r in got} == set(expected)
+    assert all(abs(r.betweenness_centrality - expected[r.hashtag]) <= r.error_bound <= 0.8 for r in got)
+    assert {r.draws for r in got} in ({40}, {80})
+
+
+def test_estimate_that_would_need_every_source_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(paths, "FIRST_DRAWS", 4)
+    rows = random_graph(6)
+    got = betweenness_within(edge_table(spark, rows), error=0.01).collect()
+    assert {r.hashtag: r.betweenness_centrality for r in got} == pytest.approx(brandes(rows))
+    assert {r.error_bound for r in got} == {0.0}
+    assert betweenness_within(edge_table(spark, [])).collect() == []
+
+
+def test_bound_holds_for_random_means(spark):
+    rng = random.Random(5)
+    misses = 0
+    for _ in range(60):
+        values = [rng.random() ** 4 for _ in range(500)]
+        draws = [rng.choice(values) for _ in range(80)]
+        mean, square = sum(draws) / 80, sum(x * x for x in draws) / 80
+        (bound,) = spark.range(1).select(paths.error_bound(F.lit(mean), F.lit(square), 80, 0.1)).first()
+        misses += abs(mean - sum(values) / 500) > bound
+    assert misses <= 6
+
+
 def test_pagerank_with_hubs(spark, monkeypatch):
     rows = random_graph(5) + [("t00", "t00", 2)]
     plain = {r.hashtag: r.pagerank for r in graph.pagerank(edge_table(spark, rows)).collect()}
