@@ -852,7 +852,7 @@ def cluster_users_checked(spark, sf):
     distance = {m["cluster_id"]: sum(((F.col(c) - m[c]) ** 2 for c in names), F.lit(0.0)) for m in means.collect()}
     least = F.array_min(F.array(*distance.values())) if distance else F.lit(0.0)
     own = F.coalesce(*[F.when(F.col("cluster_id") == i, d) for i, d in distance.items()], F.lit(0.0))
-    nearest = own <= least + 1e-3
+    nearest = own <= least + 1e-6
     return rows.withColumn("nearest", nearest).groupBy("user_name").agg(
         F.count(F.lit(1)).alias("times"),
         F.bool_and(F.col("cluster_id").between(0, 4)).alias("in_range"),
