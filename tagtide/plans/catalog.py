@@ -883,13 +883,16 @@ def ingest_stream(spark, sf):
 def dual_sink(spark, sf):
     """Posts, aspects and processed messages of one query: all rows of each sink."""
     base, checkpoint = scratch_path(spark, "sinks"), scratch_path(spark, "state")
-    rows = ingesting.ingest(fixtures.raw_values_stream(spark, sf), "aspects", now=AS_OF)
     sinks = [
         ingesting.posts_sink(f"{base}/posts", "aspects"),
         ingesting.aspects_sink(f"{base}/aspects"),
         ingesting.processed_sink(f"{base}/processed"),
     ]
-    ingesting.start_ingest(rows, sinks, checkpoint, NOW).awaitTermination()
+    ingesting.start_ingest(
+        fixtures.raw_values_stream(spark, sf), sinks, checkpoint, NOW,
+        prepare=lambda batch: ingesting.ingest(batch, "aspects", now=AS_OF, explode=False),
+        unfold=messages.explode_hashtags, tasks=spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
     kept = ["user_name", "hashtag"]
     posts = tables.read_table(spark, f"{base}/posts").select(F.lit("posts").alias("sink"), *kept, "content", "sentiment")
     found = tables.read_table(spark, f"{base}/aspects", schemas.ASPECT_SENTIMENTS).select(

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tagtide.functions.sentiment import score_simple
 from tagtide.functions.times import AsOf
 from tagtide.operators.texts import enrich_aspects, enrich_basic, enrich_struct
+from tagtide.session import cut_lineage, delete_folder
 from tagtide.sources.messages import explode_hashtags, parse_legacy_messages, parse_messages, to_kafka_value
 from tagtide.sources.tables import jdbc_columns, write_aspects, write_jdbc, write_posts
 
@@ -29,8 +30,9 @@ def ingest(
     legacy: bool = False,
     lexicon: DataFrame | None = None,
     gazetteer: DataFrame | None = None,
+    explode: bool = True,
 ) -> DataFrame:
-    """Raw values to enriched rows, one per tag.
+    """Raw values to enriched rows, one per tag, or one per message if they are not to ``explode``.
 
     ``variant``: ``simple`` adds the processing time only and ``plain`` nothing;
     ``basic``, ``aspects`` and ``struct`` add the features of those consumers. Works on batches
@@ -50,7 +52,7 @@ def ingest(
         rows = enrich_struct(messages, scorer, now, lexicon, gazetteer)
     else:
         raise ValueError(f"unknown variant {variant!r}")
-    return explode_hashtags(rows)
+    return explode_hashtags(rows) if explode else rows
 
 
 def posts_sink(path: str, variant: str = "basic") -> Sink:
@@ -93,26 +95,38 @@ def jdbc_sink(url: str, table: str, properties: dict[str, str], variant: str = "
     return lambda rows, batch_id: write_jdbc(jdbc_columns(rows, variant), url, table, properties)
 
 
-def batch_writer(sinks: Sequence[Sink], prepare: Callable[[DataFrame], DataFrame] | None = None) -> Sink:
+def batch_writer(
+    sinks: Sequence[Sink],
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    unfold: Callable[[DataFrame], DataFrame] | None = None,
+    tasks: int | None = None,
+) -> Sink:
     """One ``foreachBatch`` function for all sinks.
 
-    ``prepare`` turns a batch into the rows to write, and may join it with tables.
-    The batch is kept while it is written several times. An error fails the query, so
-    the batch runs again after a restart; sinks that own a folder per batch then
+    ``prepare`` turns a batch into the rows to write, and may join it with tables; a batch that
+    comes in few splits is dealt to ``tasks`` before. For several sinks its result is computed
+    once and written to the shared folder; ``unfold`` (such as ``explode_hashtags``) is applied to what
+    was written, so that copies of a message are made only where they are read. An error fails the
+    query, so the batch runs again after a restart; sinks that own a folder per batch then
     replace what was written.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
+        if tasks:
+            rows = rows.repartition(tasks, F.xxhash64(*rows.columns))
         if prepare:
             rows = prepare(rows)
+        written = None
         if len(sinks) > 1:
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            rows = written = cut_lineage(rows)
+        if unfold:
+            rows = unfold(rows)
         try:
             for sink in sinks:
                 sink(rows, batch_id)
         finally:
-            if len(sinks) > 1:
-                rows.unpersist()
+            if written is not None:
+                delete_folder(written.sparkSession, written.scratch_path)
 
     return write
 
@@ -124,14 +138,16 @@ def start_ingest(
     trigger: dict | None = None,
     name: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    unfold: Callable[[DataFrame], DataFrame] | None = None,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Start the query. ``rows`` are ingested, or raw with ``prepare`` to ingest each batch.
 
-    ``trigger`` as in ``writeStream.trigger``, e.g. ``{"availableNow": True}``.
+    ``prepare``, ``unfold`` and ``tasks`` as in ``batch_writer``; ``trigger`` as in ``writeStream.trigger``, e.g. ``{"availableNow": True}``.
     """
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.foreachBatch(batch_writer(sinks, prepare)).start()
+    return writer.foreachBatch(batch_writer(sinks, prepare, unfold, tasks)).start()

@@ -47,6 +47,28 @@ def test_ingest_files(spark, tmp_path):
     assert tables.read_table(spark, f"{out}/posts").count() == 4
 
 
+def test_batch_is_computed_once_and_unfolded_from_what_was_written(spark, tmp_path):
+    from tagtide.session import folders, shared_dir
+
+    raw = messages.read_raw(spark, "text", raw_files(tmp_path))
+    out, prepared = str(tmp_path / "out"), []
+
+    def prepare(batch):
+        prepared.append(batch.rdd.getNumPartitions())
+        return ingest.ingest(batch, "aspects", now=AS_OF, explode=False)
+
+    before = set(folders(spark, shared_dir(spark)))
+    sinks = [ingest.posts_sink(f"{out}/posts", "aspects"), ingest.processed_sink(f"{out}/sent")]
+    ingest.start_ingest(
+        raw, sinks, str(tmp_path / "cp"), NOW, prepare=prepare, unfold=messages.explode_hashtags, tasks=5
+    ).awaitTermination()
+    got = sorted((str(r.user_name), r.hashtag) for r in tables.read_table(spark, f"{out}/posts").collect())
+    assert got == [("None", "c"), ("u1", "a"), ("u1", "b"), ("u2", "a")] and prepared == [5]
+    assert spark.read.text(f"{out}/sent").count() == 4
+    # The written batch is gone once the sinks are done.
+    assert not [n for n in set(folders(spark, shared_dir(spark))) - before if n.startswith("table-")]
+
+
 def test_variants_stream_like_the_batch(spark, tmp_path):
     folder = raw_files(tmp_path)
     batch = spark.read.text(folder)
