@@ -330,7 +330,8 @@ def pair_rows(shared, n_parts: int):
         def flush() -> pa.RecordBatch:
             part, kind, owner, other, doc, times = (np.concatenate([w[i] for w in waiting]) for i in range(6))
             keys, learn = (np.concatenate([t[i] for t in texts]) for i in range(2))
-            order = np.lexsort((doc, kind, part))
+            # Texts are numbered in 16 bits, kinds in two.
+            order = np.argsort(part << 18 | kind << 16 | doc)
             part, *rows = (x[order] for x in (part, kind, owner, other, doc, times))
             found, first = np.unique(part, return_index=True)
             ends = np.append(first[1:], len(part))
@@ -421,16 +422,14 @@ def part_sums(shared):
 def filled(keys: np.ndarray, counts: np.ndarray) -> PairFilter:
     """The filter of these pairs, with counts from 1 on."""
     level = level_of(counts, 1.0)
-    data = np.zeros(max(1, -(-int(level.sum()) * ENTRY_BITS // 8)), np.uint8)
-    pairs = PairFilter(data, 1.0)
+    size = 8 * max(1, -(-int(level.sum()) * ENTRY_BITS // 8))
+    # A byte per bit while it is filled: the filter of a part is of the size of its rows.
+    bits = np.zeros(size, bool)
     for q in range(1, int(level.max(initial=0)) + 1):
         start, step = hash_pair(keys[level >= q], q)
         for i in range(HASHES):
-            at = np.unique(((start + np.uint64(i) * step) % pairs.bits).astype(np.int64))
-            byte = at >> 3
-            new = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]]))
-            data[byte[new]] |= np.bitwise_or.reduceat((1 << (at & 7)).astype(np.uint8), new)
-    return pairs
+            bits[((start + np.uint64(i) * step) % np.uint64(size)).astype(np.int64)] = True
+    return PairFilter(np.packbits(bits, bitorder="little"), 1.0)
 
 
 def train(learn: DataFrame, share: float = SHARE) -> Model:
