@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -176,6 +176,16 @@ def give_back() -> None:
         pass  # another C library
 
 
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of a ``mapInArrow``, giving back what it has freed once its task ends."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def word_count(text):
     """Number of words of a text column; null counts none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -222,7 +232,6 @@ def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for p in np.flatnonzero(data.reshape(-1, size).any(1)).tolist():
         bits = data[p * size : (p + 1) * size].tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([bits])], ["part", "bits"])
-    give_back()
 
 
 def _merge_part(rows: pa.Table) -> pa.Table:
@@ -232,7 +241,7 @@ def _merge_part(rows: pa.Table) -> pa.Table:
 
 def key_filter(keys: DataFrame) -> Broadcast:
     """The bits of a KeyFilter of the only column of ``keys``, put together by Spark, then broadcast."""
-    parts = keys.mapInArrow(_filter_parts, "part int, bits binary")
+    parts = keys.mapInArrow(trimmed(_filter_parts), "part int, bits binary")
     found = parts.groupBy("part").applyInArrow(_merge_part, "part int, bits binary").toArrow()
     data = np.zeros(FILTER_BITS // 8, np.uint8)
     for part, bits in zip(found["part"].to_pylist(), found["bits"].to_pylist()):

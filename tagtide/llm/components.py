@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import stored
+from tagtide.llm.common import stored, trimmed
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +61,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     pairs = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).filter("a <> b")
-    stars = stored(pairs.dropna().mapInArrow(_local, "a long, b long"))
+    stars = stored(pairs.dropna().mapInArrow(trimmed(_local), "a long, b long"))
     while not _settled(stars):
         both = stars.union(stars.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))

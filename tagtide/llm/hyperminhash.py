@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, pieces, signed, stored, table, utf8
+from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, pieces, signed, stored, table, trimmed, utf8
 from tagtide.llm.components import components, forest
 
 #: Registers, mantissa bits and rows of a band. If registers were independent, two documents of similarity 0.75
@@ -355,10 +355,10 @@ def small_members(small: DataFrame, percent: int) -> DataFrame:
 
     ``small`` has ``rep, k1, n, shingles``.
     """
-    often = small.select("shingles").mapInArrow(set_rows, "band long").groupBy("band").agg(F.count(F.lit(1)).alias("often"))
+    often = small.select("shingles").mapInArrow(trimmed(set_rows), "band long").groupBy("band").agg(F.count(F.lit(1)).alias("often"))
     often = stored(often.filter("often > 1"))
     shared = key_filter(often.select("band"))
-    rows = small.select("rep", "k1", "shingles").mapInArrow(leading_rows(percent, shared), "rep long, k1 long, left long, band long")
+    rows = small.select("rep", "k1", "shingles").mapInArrow(trimmed(leading_rows(percent, shared)), "rep long, k1 long, left long, band long")
     # What the filter lets pass and occurs once keeps its place between the rarest and the others.
     rarity = Window.partitionBy("rep", "k1").orderBy(F.coalesce("often", F.lit(1)), "band")
     rows = rows.join(often, "band", "left").withColumn("place", F.row_number().over(rarity)).filter("place <= left and often > 1")
@@ -376,7 +376,7 @@ def small_links(members: DataFrame, small: DataFrame, percent: int) -> DataFrame
     two = small.select(F.col("rep").alias("pivot"), F.col("k1").alias("pivot_k1"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     both = pairs.join(one, ["rep", "k1"]).join(two, ["pivot", "pivot_k1"])
     both = both.filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    return stored(both.select(F.col("rep").alias("a"), F.col("pivot").alias("b"), "sa", "sb").mapInArrow(similar_pairs(percent), "a long, b long"))
+    return stored(both.select(F.col("rep").alias("a"), F.col("pivot").alias("b"), "sa", "sb").mapInArrow(trimmed(similar_pairs(percent)), "a long, b long"))
 
 
 def texts_of(reps: DataFrame, texts: DataFrame) -> DataFrame:
@@ -389,12 +389,12 @@ def linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) ->
     """The pairs ``a, b`` that are links: first by their registers, then by their texts."""
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
     known = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
-    likely = stored(known.mapInArrow(plausible_pairs(percent / 100), "a long, b long"))
+    likely = stored(known.mapInArrow(trimmed(plausible_pairs(percent / 100)), "a long, b long"))
     needed = stored(likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct())
     own = texts_of(needed, texts)
     both = likely.join(own.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(own.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
-    return stored(both.select("a", "b", "ta", "tb").mapInArrow(confirmed(percent), "a long, b long"))
+    return stored(both.select("a", "b", "ta", "tb").mapInArrow(trimmed(confirmed(percent)), "a long, b long"))
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -419,7 +419,7 @@ def grouped(docs: DataFrame, percent: int, id_column: str = "doc_id", text: str
     )
     # A set that is similar to one of SMALL shingles has at most so many.
     limit = SMALL * 100 // percent
-    sketch = stored(source.mapInArrow(sketches(limit), SKETCH_SCHEMA))
+    sketch = stored(source.mapInArrow(trimmed(sketches(limit)), SKETCH_SCHEMA))
     full = sketch.filter("n > 0 and doc_id is not null")
     classes = stored(
         full.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "key", "n", "registers", "shingles")).alias("first")).select(
@@ -429,7 +429,7 @@ def grouped(docs: DataFrame, percent: int, id_column: str = "doc_id", text: str
     reps = classes.filter(f"n > {SMALL}").select("rep", "n", "registers")
     small = classes.filter(f"n <= {limit}").select("rep", "k1", "n", "shingles")
     texts = source.select(F.col("key").alias("rep"), "text")
-    bands = reps.select("rep", "registers").mapInArrow(band_keys, "band long, rep long")
+    bands = reps.select("rep", "registers").mapInArrow(trimmed(band_keys), "band long, rep long")
     pivots = bands.groupBy("band").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = stored(bands.join(pivots, "band"))
     first = members.filter("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -492,8 +492,8 @@ def unsettled(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: Data
     """
     open_members = contested(members, roots, ["rep"])
     own = texts_of(stored(open_members.select("rep").distinct()), texts)
-    twice = own.mapInArrow(shingle_rows, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    looks = own.mapInArrow(closer_looks(key_filter(twice.filter("n > 1").select("shingle"))), "rep long, common long, fine binary")
+    twice = own.mapInArrow(trimmed(shingle_rows), "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    looks = own.mapInArrow(trimmed(closer_looks(key_filter(twice.filter("n > 1").select("shingle")))), "rep long, common long, fine binary")
     looks = stored(looks.join(reps, "rep").filter(f"100 * common >= {percent} * n"))
     placed = in_blocks(open_members, looks, ["rep"])
     return placed.groupBy("band", "i", "j").applyInArrow(pairs_of_blocks(percent), "a long, b long")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import PIECE_BYTES, WordHasher, mix64, pieces, table, utf8
+from tagtide.llm.common import PIECE_BYTES, WordHasher, mix64, pieces, table, trimmed, utf8
 
 #: The model is fitted on at most so many documents; scores are made for all.
 MAX_POSITIVE, MAX_UNLABELLED, THRESHOLD = 5_000, 10_000, 0.7
@@ -213,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
                 ["doc_id", "role", "features"],
             )
 
-    found = rows.mapInArrow(run, "doc_id long, role int, features array<double>").toArrow()
+    found = rows.mapInArrow(trimmed(run), "doc_id long, role int, features array<double>").toArrow()
     order = np.lexsort([found["doc_id"].to_numpy(), found["role"].to_numpy()])
     x = np.array(found["features"].to_pylist(), dtype=float).reshape(-1, 23)[order]
     role = found["role"].to_numpy()[order]

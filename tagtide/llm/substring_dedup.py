@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, multipliers, parts_for, pieces, signed, stored, table, utf8
+from tagtide.llm.common import KeyFilter, WordHasher, beside, key_filter, mix64, multipliers, parts_for, pieces, signed, stored, table, trimmed, utf8
 
 #: Words of a window and of an anchor, segments of a shard, distinct segments of an anchor from
 #: which on its windows go to shards one by one.
@@ -249,7 +249,7 @@ def search_shard(window: int):
 
 def shared_anchors(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     """``value`` of the anchors that occur in two documents."""
-    seen = texts.mapInArrow(anchor_rows(window, anchor), "value long, low long, high long")
+    seen = texts.mapInArrow(trimmed(anchor_rows(window, anchor)), "value long, low long, high long")
     return seen.groupBy("value").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("value")
 
 
@@ -260,7 +260,7 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     """
     # The filter has a fixed size; what it lets pass beyond the shared anchors costs time only.
     shared = key_filter(shared_anchors(texts, window, anchor))
-    rows = texts.mapInArrow(segment_rows(window, anchor, shared, True), "value long, k long, doc_id long, words string")
+    rows = texts.mapInArrow(trimmed(segment_rows(window, anchor, shared, True)), "value long, k long, doc_id long, words string")
     segments = rows.groupBy("value", "k", "words").agg(F.min("doc_id").alias("low"))
     segments = stored(segments)
     # Few anchors can have very many segments: at most total / HOT_SEGMENTS.
@@ -287,7 +287,7 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     back = named.join(known_one.withColumnsRenamed({"value": "hv", "k": "hk"}), ["hv", "hk"])
     back = back.groupBy("value", "k").agg(F.sort_array(F.collect_list(F.struct("part", F.col("least")[0].alias("x")))).alias("x"))
     known = stored(known.unionByName(back.select("value", "k", F.col("x.x").alias("least"))))
-    spots = texts.mapInArrow(segment_rows(window, anchor, shared, False), "value long, k long, doc_id long, place int, windows short")
+    spots = texts.mapInArrow(trimmed(segment_rows(window, anchor, shared, False)), "value long, k long, doc_id long, place int, windows short")
     # One row per segment on the right: a passage that very many documents share is split by the skew join.
     met = spots.join(known, ["value", "k"]).filter(F.exists("least", lambda x: x < F.col("doc_id")))
     hit = F.filter(F.sequence(F.lit(0), F.col("windows").cast("int") - 1), lambda i: F.element_at("least", i + 1) < F.col("doc_id"))
@@ -341,7 +341,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     rest = source.join(touched, source["doc_id"] == touched["id"], "left_anti").withColumn("starts", F.lit(None).cast("array<int>"))
     cut = source.join(touched, source["doc_id"] == touched["id"], "left_semi")
     cut = cut.join(found, cut["doc_id"] == found["id"]).select("doc_id", "text", "starts")
-    return rest.unionByName(cut).mapInArrow(cut_rows(window), CUT_SCHEMA)
+    return rest.unionByName(cut).mapInArrow(trimmed(cut_rows(window)), CUT_SCHEMA)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
