@@ -468,18 +468,22 @@ def rich_analysis(
 
     def tag_entry(tag: Column, i: Column, x: Column) -> Column:
         near = F.filter(x["a"], lambda a: F.contains(F.lower(a["context"]), F.lower(tag)))
-        own = mean_score(x["s"], F.get(x["h"], F.size("candidates") + i))
+        own = mean_score(x["s"], F.get(x["h"], x["n"] + i))
         return F.struct(
             tag.alias("hashtag"),
             F.struct(
-                round_binary(F.coalesce(own, F.col("overall")), 3).alias("sentiment"),
+                round_binary(F.coalesce(own, x["o"]), 3).alias("sentiment"),
                 F.slice(F.transform(near, lambda a: a["aspect"]), 1, 3).alias("related_aspects"),
             ).alias("context"),
         )
 
     parts = F.struct(F.col("sentences").alias("s"), F.col("hits").alias("h"))
     rated = matched.withColumn("aspect_sentiments", let(parts, rate))
-    parts = F.struct(F.col("sentences").alias("s"), F.col("hits").alias("h"), F.col("aspect_sentiments").alias("a"))
+    # Bound once: a column that only the lambda reads would be computed for every tag.
+    parts = F.struct(
+        F.col("sentences").alias("s"), F.col("hits").alias("h"), F.col("aspect_sentiments").alias("a"),
+        F.col("overall").alias("o"), F.size("candidates").alias("n"),
+    )
     contexts = let(parts, lambda x: F.transform("tags", lambda t, i: tag_entry(t, i, x)))
     rated = rated.withColumn("hashtag_context", F.map_from_entries(contexts))
     by_strength = F.array_sort(

@@ -501,7 +501,7 @@ def rich_aspect_analysis_lexicon(spark, sf):
 
 @query
 def rich_hashtag_context(spark, sf):
-    entries = _rich(spark, sf).select("post_id", F.explode("hashtag_context").alias("hashtag", "c"))
+    entries = unnest(_rich(spark, sf), ["post_id"], "hashtag_context", "hashtag", "c")
     return entries.select(
         "post_id", "hashtag", F.col("c.sentiment").alias("sentiment"),
         F.array_join("c.related_aspects", "|").alias("related_aspects"),

@@ -37,3 +37,12 @@ def test_streams_read_folders_and_files(spark, tmp_path):
 @pytest.mark.parametrize("name", ["ingest_stream_lexicon", "dual_sink"])
 def test_other_sinks_read_folders(spark, tmp_path, name):
     assert QUERIES[name](spark, written(spark, tmp_path / "parts", 3)).count() > 0
+
+
+def test_hashtag_context_is_computed_once(spark, tmp_path):
+    found = QUERIES["rich_hashtag_context"](spark, written(spark, tmp_path, 1))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    analysis = QUERIES["rich_aspect_analysis"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_entries" in plan and plan.count("sentences#") <= analysis.count("sentences#")
+    assert "Filter (size(map_from_entries" not in plan
+    assert found.count() == 2 * len(DOCUMENTS)
