@@ -39,6 +39,8 @@ SHARE, MU, POWER, RARE_MU = 1e-5, 4.0, 0.8, 24.0
 HASHES, ENTRY_BITS, SEGMENT_BITS, HELD = 10, 24, 1 << 19, 1_500_000
 #: Rows of a part of the other pairs, and rows and texts that a task packs at once (numbered in 16 bits).
 PART_ROWS, PACK_ROWS, PACK_TEXTS = 2_000_000, 1_000_000, 60_000
+#: The tasks that the parts are dealt to: some, and one more for every TASK_PARTS parts.
+SUM_TASKS, TASK_PARTS = 16, 32
 END, BEGIN = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
 
 
@@ -363,12 +365,60 @@ def pair_rows(shared, n_parts: int):
     return run
 
 
+def task_sums(shared):
+    """Rows ``part, data``, ordered by part, to what each text gets from the parts of the task: known words, word and
+    model logarithms.
+
+    Parts are worked off one after another and their sums are added up per text in bounded memory, so that a text has
+    a row per task and not one per part, of which there are the more the larger the corpus is.
+    """
+    names = ["row_key", "known", "base", "model"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_part = part_sums(shared)
+        held: list[tuple[np.ndarray, ...]] = []
+        size, part, data = 0, None, []
+
+        def merged() -> tuple[np.ndarray, ...]:
+            keys, where = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            return keys, *(np.bincount(where, np.concatenate([h[i] for h in held]), len(keys)) for i in (1, 2, 3))
+
+        def rows(sums: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(signed(sums[0])), *map(pa.array, sums[1:])], names)
+
+        def work_off() -> Iterator[pa.RecordBatch]:
+            nonlocal held, size
+            held.append(of_part(data))
+            size += len(held[-1][0])
+            if size > HELD:
+                held = [merged()]
+                size = len(held[0][0])
+                if size > HELD // 2:
+                    yield rows(held[0])
+                    held, size = [], 0
+
+        for batch in batches:
+            for own, blob in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
+                if data and own != part:
+                    yield from work_off()
+                    data = []
+                part = own
+                data.append(blob)
+        if data:
+            yield from work_off()
+        if held:
+            yield rows(merged())
+        give_back()
+
+    return run
+
+
 def part_sums(shared):
-    """All rows of a part to what each text gets from them: known words, word and model logarithms."""
+    """All rows of a part to what each text gets from them: its key, known words, word and model logarithms."""
+    known = Model.made(*shared.value).known
 
-    def run(rows: pa.Table) -> pa.Table:
-        known = Model.made(*shared.value).known
-        blobs = [unpacked(x) for x in rows["data"].to_pylist()]
+    def run(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        blobs = [unpacked(x) for x in data]
         first = np.cumsum([0, *[len(b[0]) for b in blobs]])
         keys, learn = np.concatenate([b[0] for b in blobs]), np.concatenate([b[1] for b in blobs])
         kinds = []
@@ -412,9 +462,7 @@ def part_sums(shared):
                 share, weight = known.share(other.astype(np.int64)), RARE_MU
             model += np.bincount(doc, times * np.log10(1 + q / (weight * share)), n)
         give_back()
-        return pa.table(
-            {"row_key": pa.array(signed(keys)), "known": pa.array(seen), "base": pa.array(base), "model": pa.array(base + model)}
-        )
+        return keys, seen, base, base + model
 
     return run
 
@@ -495,8 +543,11 @@ def score(docs: DataFrame, learn: Column, share: float = SHARE) -> DataFrame:
     texts = source.select("doc_id", "held_out", "text")
     rows = stored(texts.mapInArrow(score_rows(shared), DOC_SCHEMA))
     tokens = rows.agg(F.sum("n_tokens")).first()[0] or 0
-    blobs = texts.mapInArrow(pair_rows(shared, parts_for(tokens, PART_ROWS)), "part int, data binary")
-    sums = blobs.groupBy("part").applyInArrow(part_sums(shared), "row_key long, known double, base double, model double")
+    n_parts = parts_for(tokens, PART_ROWS)
+    blobs = texts.mapInArrow(pair_rows(shared, n_parts), "part int, data binary")
+    # Many parts a task: what a text gets from them leaves the task as one row.
+    dealt = blobs.repartition(SUM_TASKS + n_parts // TASK_PARTS, "part").sortWithinPartitions("part")
+    sums = dealt.mapInArrow(task_sums(shared), "row_key long, known double, base double, model double")
     sums = sums.groupBy("row_key").agg(*[F.sum(c).alias(f"more_{c}") for c in ("known", "base", "model")])
     # Rows of one name were all counted: each gets its share.
     copies = rows.groupBy("row_key").agg(F.count(F.lit(1)).alias("copies"))

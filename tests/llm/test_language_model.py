@@ -157,3 +157,21 @@ def test_empty_table(spark):
     assert score(spark.createDataFrame([], SCHEMA), F.lit(True)).collect() == []
     alone = score(documents(spark, [(1, "no training rows")]), F.lit(False)).collect()[0]
     assert (alone.n_tokens, alone.n_known, alone.train_tokens, alone.base_score) == (4, 0, 0, 0.0)
+
+
+def test_texts_get_one_row_from_all_parts_of_a_task(spark):
+    """However many parts a corpus has, a text that is in all of them has one row a task, and the same sums."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(3_000)}" for _ in range(150)), False) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    shared = spark.sparkContext.broadcast(train(docs, share=0.01).plain())
+    batches = docs.toArrow().to_batches()
+    expected = None
+    for parts in (1, 64):
+        made = pa.Table.from_batches(language_model.pair_rows(shared, parts)(iter(batches))).sort_by("part")
+        assert len(set(made["part"].to_pylist())) == parts
+        sums = pa.Table.from_batches(language_model.task_sums(shared)(iter(made.to_batches(max_chunksize=3)))).sort_by("row_key")
+        assert sums.num_rows == len(rows)
+        found = np.stack([sums[c].to_numpy() for c in ("known", "base", "model")])
+        assert expected is None or np.allclose(found, expected)
+        expected = found
