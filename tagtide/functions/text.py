@@ -114,7 +114,8 @@ def phrases(text: Column, stopwords: Sequence[str] = STOPWORDS, lo: int = MIN_AS
     stop = list(stopwords)
     cut = F.transform(
         words(marked),
-        lambda w: F.when(w.isin(*stop) | w.rlike("^['-]+$"), F.lit("|")).otherwise(w),
+        # Only a word before "." begins with a sign: few are compared with the pattern.
+        lambda w: F.when(w.isin(*stop) | ((w < ".") & w.rlike("^['-]+$")), F.lit("|")).otherwise(w),
     )
     runs = F.transform(F.split(F.array_join(cut, " "), r"\|"), lambda p: F.trim(p))
     return F.filter(runs, lambda p: F.length(p) >= lo)

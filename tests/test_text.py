@@ -179,3 +179,18 @@ def test_positions_of_needles(spark, monkeypatch, run):
     frame = spark.createDataFrame(rows, "id int, sentences array<struct<low: string>>, needles array<string>")
     got = {r.id: r.hits for r in matching.with_hits(frame, "needles").collect()}
     assert got == {i: [[k for k, t in enumerate(ts) if n in t] for n in needles] for i, ts in enumerate(texts_)}
+
+
+def test_needles_of_a_long_text(spark):
+    """Half of 120,000 words begin a phrase: comparing each phrase with the whole text takes minutes."""
+    import time
+
+    from tagtide.operators import matching
+
+    sentences = [f"a{i:x} b{i % 7:x} c{i:x}. the".encode() for i in range(30_000)]
+    needles = [f"a{i:x} b{i % 7:x} c{i:x}".encode() for i in range(30_000)] + [f"b{i % 7:x} c{i:x}".encode() for i in range(30_000)]
+    begin = time.monotonic()
+    found = matching._looked_up(sentences, needles)
+    assert time.monotonic() - begin < 60
+    assert all(i in found[i] and i in found[30_000 + i] for i in range(30_000))
+    assert found[7] == [i for i, s in enumerate(sentences) if b"a7 b0 c7" in s]
